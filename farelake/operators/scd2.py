@@ -48,7 +48,7 @@ def require_unique_key(batch: DataFrame, key: str) -> DataFrame:
         bad,
         F.raise_error(F.concat(F.lit(f"SCD2 batch key {key} is NULL or not unique: "), F.col(key).cast("string"))),
     ).otherwise(F.lit(True))
-    return batch.filter(check.cast("boolean"))
+    return batch.withColumn("_key_ok", check.cast("boolean")).filter(F.col("_key_ok")).drop("_key_ok")
 
 
 def changed_rows(batch: DataFrame, target: DataFrame, key: str, tracked: list[str]) -> DataFrame:

@@ -10,16 +10,23 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from farelake.config import DEFAULT_AS_OF, DEFAULT_JOB
-from farelake.operators import curated, golden, scd2
+from farelake.functions.columns import normalize_flag
+from farelake.operators import curated, golden, matching, quality, scd2, steward
 from farelake.operators.standardize import standardize_trips
 from farelake.operators.validate import valid_fares, valid_trips
-from farelake.sources.lookups import zone_lookup_rows
+from farelake.sources.lookups import ratecode_dictionary, vendor_dictionary, zone_lookup_rows
+from farelake.sources.masters import ACTIVITY_SPLIT, order_activity, vendor_names
+from farelake.sources.tables import read_table
 from farelake.sources.trips import raw_trips
 
 AS_OF = DEFAULT_AS_OF
+AS_OF_NEXT = "2026-01-02 00:00:00"
+AS_OF_BETWEEN = "2026-01-01 12:00:00"
 JOB = DEFAULT_JOB
+STEWARD_APPROVES_FROM = 90.0
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -93,6 +100,134 @@ def q_vendor_performance(spark: SparkSession, base: str) -> DataFrame:
     return curated.vendor_performance(fact(spark, base))
 
 
+def q_flag_normalization(spark: SparkSession, base: str) -> DataFrame:
+    """P5: raw flag value → normalized flag, with trip counts (one scan)."""
+    raw = raw_trips(spark, base).filter(F.col("VendorID").isin(1, 2, 6, 7))
+    return (
+        raw.select(
+            F.col("store_and_fwd_flag").alias("raw_flag"),
+            normalize_flag(F.col("store_and_fwd_flag")).alias("store_and_fwd_flag"),
+        )
+        .groupBy("raw_flag", "store_and_fwd_flag")
+        .agg(F.count(F.lit(1)).alias("trips"))
+    )
+
+
+def q_ratecode_sentinel(spark: SparkSession, base: str) -> DataFrame:
+    return standardized(spark, base).groupBy("RatecodeID").agg(F.count(F.lit(1)).alias("trips"))
+
+
+def q_dq_report(spark: SparkSession, base: str) -> DataFrame:
+    return quality.dq_report(raw_trips(spark, base))
+
+
+def q_dq_gate(spark: SparkSession, base: str) -> DataFrame:
+    return quality.gate_decision(quality.dq_report(processed(spark, base)))
+
+
+def q_golden_vendors(spark: SparkSession, base: str) -> DataFrame:
+    codes = golden.observed_codes(standardized(spark, base), "VendorID", vendor_dictionary(spark), "vendorid")
+    return codes.select("vendorid", "vendor_name", *golden.audit_block(AS_OF, JOB))
+
+
+def q_golden_ratecodes(spark: SparkSession, base: str) -> DataFrame:
+    codes = golden.observed_codes(standardized(spark, base), "RatecodeID", ratecode_dictionary(spark), "ratecodeid")
+    return codes.select("ratecodeid", "ratecode_desc", *golden.audit_block(AS_OF, JOB))
+
+
+def q_audit_columns(spark: SparkSession, base: str) -> DataFrame:
+    return vendor_names(spark, base).select("vendorid", "vendor_name", *golden.audit_block(AS_OF, JOB))
+
+
+def q_events_daily_window(spark: SparkSession, base: str) -> DataFrame:
+    return curated.daily_window_counts(read_table(spark, base, "events"))
+
+
+# -- matching and stewardship ---------------------------------------------------
+
+def matches(spark: SparkSession, base: str) -> DataFrame:
+    return matching.match_vendors(vendor_names(spark, base), min_score=80.0)
+
+
+def queue(spark: SparkSession, base: str) -> DataFrame:
+    return steward.steward_queue(matching.route(matches(spark, base)), AS_OF, JOB)
+
+
+def decided_queue(spark: SparkSession, base: str) -> DataFrame:
+    return steward.record_decisions(queue(spark, base), F.col("confidence") >= STEWARD_APPROVES_FROM)
+
+
+def q_vendor_pairs(spark: SparkSession, base: str) -> DataFrame:
+    return matches(spark, base).select("source_vendorid", "matched_vendorid")
+
+
+def q_vendor_match_scores(spark: SparkSession, base: str) -> DataFrame:
+    return matches(spark, base)
+
+
+def q_vendor_match_routing(spark: SparkSession, base: str) -> DataFrame:
+    return matching.route(matches(spark, base))
+
+
+def q_steward_queue(spark: SparkSession, base: str) -> DataFrame:
+    return queue(spark, base)
+
+
+def q_steward_pending_count(spark: SparkSession, base: str) -> DataFrame:
+    return steward.pending_count(queue(spark, base))
+
+
+def vendor_master(spark: SparkSession, base: str) -> DataFrame:
+    return scd2.initial_load(q_audit_columns(spark, base))
+
+
+def q_steward_promotion(spark: SparkSession, base: str) -> DataFrame:
+    return steward.promote(vendor_master(spark, base), decided_queue(spark, base), AS_OF_NEXT, JOB)
+
+
+def q_steward_mark_processed(spark: SparkSession, base: str) -> DataFrame:
+    return steward.mark_processed(decided_queue(spark, base))
+
+
+# -- type-2 history over two landings of the customer-activity dimension ----------
+
+def activity_first(spark: SparkSession, base: str) -> DataFrame:
+    return order_activity(spark, base, AS_OF, until=ACTIVITY_SPLIT)
+
+
+def activity_next(spark: SparkSession, base: str) -> DataFrame:
+    return order_activity(spark, base, AS_OF_NEXT, since=ACTIVITY_SPLIT)
+
+
+def history(spark: SparkSession, base: str) -> DataFrame:
+    return scd2.apply_batch(scd2.initial_load(activity_first(spark, base)), activity_next(spark, base), "custkey")
+
+
+def q_scd2_initial(spark: SparkSession, base: str) -> DataFrame:
+    return scd2.initial_load(zones(spark, base))
+
+
+def q_scd2_versioning(spark: SparkSession, base: str) -> DataFrame:
+    target = scd2.initial_load(activity_first(spark, base))
+    return scd2.versioned_batch(activity_next(spark, base), target, "custkey")
+
+
+def q_scd2_apply(spark: SparkSession, base: str) -> DataFrame:
+    return history(spark, base)
+
+
+def q_current_dim(spark: SparkSession, base: str) -> DataFrame:
+    return scd2.current_rows(history(spark, base))
+
+
+def q_dim_as_of(spark: SparkSession, base: str) -> DataFrame:
+    return scd2.rows_as_of(history(spark, base), AS_OF_BETWEEN)
+
+
+def q_dim_key_uniqueness(spark: SparkSession, base: str) -> DataFrame:
+    return scd2.key_uniqueness(history(spark, base), "custkey")
+
+
 def queries() -> dict[str, Query]:
     return {
         "raw_trips": q_raw_trips,
@@ -105,4 +240,25 @@ def queries() -> dict[str, Query]:
         "daily_metrics": q_daily_metrics,
         "location_performance": q_location_performance,
         "vendor_performance": q_vendor_performance,
+        "flag_normalization": q_flag_normalization,
+        "ratecode_sentinel": q_ratecode_sentinel,
+        "dq_report": q_dq_report,
+        "dq_gate": q_dq_gate,
+        "golden_vendors": q_golden_vendors,
+        "golden_ratecodes": q_golden_ratecodes,
+        "audit_columns": q_audit_columns,
+        "events_daily_window": q_events_daily_window,
+        "vendor_pairs": q_vendor_pairs,
+        "vendor_match_scores": q_vendor_match_scores,
+        "vendor_match_routing": q_vendor_match_routing,
+        "steward_queue": q_steward_queue,
+        "steward_pending_count": q_steward_pending_count,
+        "steward_promotion": q_steward_promotion,
+        "steward_mark_processed": q_steward_mark_processed,
+        "scd2_initial": q_scd2_initial,
+        "scd2_versioning": q_scd2_versioning,
+        "scd2_apply": q_scd2_apply,
+        "current_dim": q_current_dim,
+        "dim_as_of": q_dim_as_of,
+        "dim_key_uniqueness": q_dim_key_uniqueness,
     }
