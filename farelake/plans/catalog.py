@@ -14,19 +14,29 @@ from pyspark.sql import functions as F
 
 from farelake.config import DEFAULT_AS_OF, DEFAULT_JOB
 from farelake.functions.columns import normalize_flag
-from farelake.operators import curated, golden, matching, quality, scd2, steward
+from farelake.operators import curated, golden, matching, publish, quality, scd2, steward
 from farelake.operators.standardize import standardize_trips
 from farelake.operators.validate import valid_fares, valid_trips
-from farelake.sources.lookups import ratecode_dictionary, vendor_dictionary, zone_lookup_rows
+from farelake.session import scratch_path
+from farelake.sinks.snapshots import append
+from farelake.sources.lookups import (
+    ratecode_dictionary,
+    read_zone_csv,
+    vendor_dictionary,
+    write_zone_csv,
+    zone_lookup_rows,
+)
 from farelake.sources.masters import ACTIVITY_SPLIT, order_activity, vendor_names
 from farelake.sources.tables import read_table
-from farelake.sources.trips import raw_trips
+from farelake.sources.trips import raw_trips, read_landing
+from farelake.streaming.incremental import process_landing, read_processed
 
 AS_OF = DEFAULT_AS_OF
 AS_OF_NEXT = "2026-01-02 00:00:00"
 AS_OF_BETWEEN = "2026-01-01 12:00:00"
 JOB = DEFAULT_JOB
 STEWARD_APPROVES_FROM = 90.0
+SCHEMA_CHANGE_AT = "2008-01-01 00:00:00"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -228,6 +238,97 @@ def q_dim_key_uniqueness(spark: SparkSession, base: str) -> DataFrame:
     return scd2.key_uniqueness(history(spark, base), "custkey")
 
 
+# -- sources and sinks that go through storage (shared folder) -------------------
+
+def q_zones_lookup(spark: SparkSession, base: str) -> DataFrame:
+    """S3: land the lookup as a header CSV, read it back as all-string columns."""
+    path = scratch_path(spark, "zone-lookup")
+    write_zone_csv(zone_lookup_rows(spark, base), path)
+    return read_zone_csv(spark, path)
+
+
+def q_raw_schema_evolution(spark: SparkSession, base: str) -> DataFrame:
+    """Two landings, the older one written before ``cbd_congestion_fee``
+    existed; the merged read has the column, NULL for the old files."""
+    landing = scratch_path(spark, "landing-evolving")
+    raw = raw_trips(spark, base)
+    cutoff = F.lit(SCHEMA_CHANGE_AT).cast("timestamp_ntz")
+    raw.filter(F.col("tpep_pickup_datetime") < cutoff).drop("cbd_congestion_fee").write.parquet(
+        f"{landing}/landing=1"
+    )
+    raw.filter(~(F.col("tpep_pickup_datetime") < cutoff) | F.col("tpep_pickup_datetime").isNull()).write.parquet(
+        f"{landing}/landing=2"
+    )
+    return read_landing(spark, landing).drop("landing")
+
+
+def q_quarantine_batch(spark: SparkSession, base: str) -> DataFrame:
+    """K2: a batch that fails the gate (standardized, not validated) is
+    appended to the quarantine table under its run id."""
+    batch = standardized(spark, base)
+    decision = quality.gate_decision(quality.dq_report(batch)).first()["decision"]
+    if decision != "QUARANTINE":
+        return quality.quarantine_rows(batch, AS_OF).filter(F.lit(False))
+    path = scratch_path(spark, "quarantine")
+    append(quality.quarantine_rows(batch, AS_OF), path, ["quarantine_run_id"])
+    return spark.read.parquet(path)
+
+
+def q_incremental_landing(spark: SparkSession, base: str) -> DataFrame:
+    """Two landings picked up by two ``availableNow`` runs of one
+    checkpointed stream; the result equals a full refresh (``valid_fares``)."""
+    root = scratch_path(spark, "incremental")
+    raw = raw_trips(spark, base)
+    older = F.col("tpep_pickup_datetime") < F.lit(SCHEMA_CHANGE_AT).cast("timestamp_ntz")
+    paths = dict(
+        landing_path=f"{root}/landing",
+        schema=raw.schema,
+        processed_path=f"{root}/processed",
+        quarantine_path=f"{root}/quarantine",
+        checkpoint_path=f"{root}/checkpoint",
+        as_of=AS_OF,
+    )
+    raw.filter(older).write.parquet(f"{root}/landing/file-1")
+    process_landing(spark, **paths)
+    raw.filter(~older | older.isNull()).write.parquet(f"{root}/landing/file-2")
+    process_landing(spark, **paths)
+    return read_processed(spark, f"{root}/processed")
+
+
+def _published(spark: SparkSession, df: DataFrame, table: str) -> DataFrame:
+    path = scratch_path(spark, f"publish-{table}")
+    publish.publish(df, publish.CONTRACTS_BY_NAME[table], path)
+    return spark.read.parquet(path)
+
+
+def q_publish_dim_zones(spark: SparkSession, base: str) -> DataFrame:
+    return _published(spark, scd2.initial_load(zones(spark, base)), "dim_zones")
+
+
+def q_publish_dim_vendors(spark: SparkSession, base: str) -> DataFrame:
+    return _published(spark, scd2.initial_load(q_golden_vendors(spark, base)), "dim_vendors")
+
+
+def q_publish_dim_ratecodes(spark: SparkSession, base: str) -> DataFrame:
+    return _published(spark, scd2.initial_load(q_golden_ratecodes(spark, base)), "dim_ratecodes")
+
+
+def q_publish_trip_details(spark: SparkSession, base: str) -> DataFrame:
+    return _published(spark, fact(spark, base), "trip_details")
+
+
+def q_publish_daily_metrics(spark: SparkSession, base: str) -> DataFrame:
+    return _published(spark, curated.daily_metrics(fact(spark, base)), "daily_metrics")
+
+
+def q_publish_vendor_performance(spark: SparkSession, base: str) -> DataFrame:
+    return _published(spark, curated.vendor_performance(fact(spark, base)), "vendor_performance")
+
+
+def q_publish_location_performance(spark: SparkSession, base: str) -> DataFrame:
+    return _published(spark, curated.location_performance(fact(spark, base), ordered=False), "location_performance")
+
+
 def queries() -> dict[str, Query]:
     return {
         "raw_trips": q_raw_trips,
@@ -261,4 +362,15 @@ def queries() -> dict[str, Query]:
         "current_dim": q_current_dim,
         "dim_as_of": q_dim_as_of,
         "dim_key_uniqueness": q_dim_key_uniqueness,
+        "zones_lookup": q_zones_lookup,
+        "raw_schema_evolution": q_raw_schema_evolution,
+        "quarantine_batch": q_quarantine_batch,
+        "incremental_landing": q_incremental_landing,
+        "publish_dim_zones": q_publish_dim_zones,
+        "publish_dim_vendors": q_publish_dim_vendors,
+        "publish_dim_ratecodes": q_publish_dim_ratecodes,
+        "publish_trip_details": q_publish_trip_details,
+        "publish_daily_metrics": q_publish_daily_metrics,
+        "publish_vendor_performance": q_publish_vendor_performance,
+        "publish_location_performance": q_publish_location_performance,
     }
