@@ -1,0 +1,174 @@
+"""The run-level data flow.
+
+``raw → processed → master → curated → warehouse`` as four plain functions
+over snapshot tables, called in order; the first failure stops the run (a
+failed DQ gate raises ``DataQualityError`` after quarantining the batch).
+
+* **raw → processed**: the standardized, validated batch is written once as
+  a staged snapshot; the ruleset runs over the written files (one aggregate);
+  on success the staged snapshot *becomes* the processed table (metadata
+  change, no rewrite), on failure it is appended to quarantine under the run
+  id and the run stops.
+* **lookup → master**: golden zones/vendors/rate codes are applied to their
+  SCD2 dimensions; vendor names are matched and steward rows are added to
+  the review queue.
+* **steward review** (not part of the chain): approved rows are promoted and
+  marked processed.
+* **processed → curated**: the fact is written once; the marts read the
+  written fact back with only the columns they need (column pruning at the
+  file level instead of caching a 24-column frame).
+* **curated → warehouse**: typed export in contract order.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from farelake.config import DEFAULT_AS_OF, DEFAULT_JOB, MatchRules, TripRules
+from farelake.operators import curated, golden, matching, publish, quality, scd2, steward
+from farelake.operators.validate import processed_trips
+from farelake.sinks.snapshots import SnapshotTable, append
+
+
+class DataQualityError(RuntimeError):
+    """The batch failed the DQ gate and was quarantined."""
+
+
+@dataclass
+class Lakehouse:
+    """Where the tables of one deployment live (a folder on shared storage)."""
+
+    spark: SparkSession
+    root: str
+    prefix: str = "farelake"
+
+    def table(self, name: str) -> SnapshotTable:
+        return SnapshotTable(self.spark, f"{self.prefix}_{name}", f"{self.root.rstrip('/')}/{name}")
+
+    @property
+    def quarantine_path(self) -> str:
+        return f"{self.root.rstrip('/')}/quarantine"
+
+    @property
+    def export_path(self) -> str:
+        return f"{self.root.rstrip('/')}/warehouse_staging"
+
+
+def raw_to_processed(
+    lake: Lakehouse,
+    raw: DataFrame,
+    as_of: str = DEFAULT_AS_OF,
+    rules: TripRules = TripRules(),
+    ruleset: tuple[quality.Rule, ...] = quality.PROCESSED_RULES,
+) -> quality.GateOutcome:
+    table = lake.table("processed")
+    staged_path = table.stage(processed_trips(raw, as_of, rules), as_of)
+    staged = lake.spark.read.parquet(staged_path)
+    outcome = quality.evaluate_gate(staged, ruleset)
+    if outcome.decision == "PUBLISH":
+        table.adopt(staged_path)
+        return outcome
+    append(quality.quarantine_rows(staged, as_of), lake.quarantine_path, ["quarantine_run_id"])
+    failed = [r["Rule"] for r in outcome.report if r["Outcome"] != quality.PASSED]
+    raise DataQualityError(
+        f"batch of {outcome.rows} rows quarantined under run {as_of}; failed rules: {failed}"
+    )
+
+
+def upsert_dimension(table: SnapshotTable, batch: DataFrame, key: str, as_of: str) -> str:
+    """M1 on the first run, M2+M3 afterwards; one new snapshot either way."""
+    if not table.exists():
+        return table.commit(scd2.initial_load(batch), as_of)
+    return table.commit(scd2.apply_batch(table.read(), batch, key), as_of)
+
+
+def lookup_to_master(
+    lake: Lakehouse,
+    zone_lookup: DataFrame,
+    vendors: DataFrame,
+    ratecodes: DataFrame,
+    as_of: str = DEFAULT_AS_OF,
+    job_name: str = DEFAULT_JOB,
+    match_rules: MatchRules = MatchRules(),
+) -> int:
+    """Build the master dimensions; return the number of pending steward rows."""
+    upsert_dimension(lake.table("dim_zones"), golden.golden_zones(zone_lookup, as_of, job_name), "locationid", as_of)
+    vendor_rows = vendors.select("vendorid", "vendor_name", *golden.audit_block(as_of, job_name))
+    upsert_dimension(lake.table("dim_vendors"), vendor_rows, "vendorid", as_of)
+    rate_rows = ratecodes.select("ratecodeid", "ratecode_desc", *golden.audit_block(as_of, job_name))
+    upsert_dimension(lake.table("dim_ratecodes"), rate_rows, "ratecodeid", as_of)
+
+    routed = matching.route(
+        matching.match_vendors(vendors, min_score=match_rules.review_low), match_rules
+    )
+    new_rows = steward.steward_queue(routed, as_of, job_name)
+    queue = lake.table("steward_queue")
+    merged = queue.read().unionByName(new_rows) if queue.exists() else new_rows
+    queue.commit(merged, as_of)
+    return steward.pending_count(lake.table("steward_queue").read()).first()["pending_count"]
+
+
+def steward_review(lake: Lakehouse, as_of: str = DEFAULT_AS_OF, job_name: str = DEFAULT_JOB) -> int:
+    """Promote approved queue rows; return how many vendors were promoted."""
+    queue_table = lake.table("steward_queue")
+    if not queue_table.exists():
+        return 0
+    queue = queue_table.read()
+    if queue.filter(F.col("status") == "APPROVED").isEmpty():
+        return 0
+    vendors = lake.table("dim_vendors")
+    promoted = steward.promotions(queue, as_of, job_name)
+    count = promoted.count()
+    vendors.commit(scd2.apply_batch(vendors.read(), promoted, "vendorid"), as_of)
+    queue_table.commit(steward.mark_processed(queue), as_of)
+    return count
+
+
+def processed_to_curated(lake: Lakehouse, as_of: str = DEFAULT_AS_OF) -> dict[str, str]:
+    """Write the fact once, then the marts from the written fact."""
+    fact = curated.trip_details(
+        lake.table("processed").read(),
+        scd2.current_rows(lake.table("dim_zones").read()),
+        scd2.current_rows(lake.table("dim_vendors").read()),
+        scd2.current_rows(lake.table("dim_ratecodes").read()),
+    )
+    paths = {"trip_details": lake.table("trip_details").commit(fact, as_of)}
+    written = lake.table("trip_details").read()
+    paths["daily_metrics"] = lake.table("daily_metrics").commit(curated.daily_metrics(written), as_of)
+    paths["location_performance"] = lake.table("location_performance").commit(
+        curated.location_performance(written, ordered=False), as_of
+    )
+    paths["vendor_performance"] = lake.table("vendor_performance").commit(
+        curated.vendor_performance(written), as_of
+    )
+    return paths
+
+
+def curated_to_warehouse(lake: Lakehouse) -> list[tuple[str, str, str]]:
+    tables = {}
+    for contract in publish.CONTRACTS:
+        t = lake.table(contract.name)
+        if t.exists():
+            tables[contract.name] = t.read()
+    return publish.publish_all(tables, lake.export_path)
+
+
+def run(
+    lake: Lakehouse,
+    raw: DataFrame,
+    zone_lookup: DataFrame,
+    vendors: DataFrame,
+    ratecodes: DataFrame,
+    as_of: str = DEFAULT_AS_OF,
+    job_name: str = DEFAULT_JOB,
+) -> dict:
+    """The four stages in order; an exception stops the run."""
+    gate = raw_to_processed(lake, raw, as_of)
+    pending = lookup_to_master(lake, zone_lookup, vendors, ratecodes, as_of, job_name)
+    curated_paths = processed_to_curated(lake, as_of)
+    export = curated_to_warehouse(lake)
+    return {"gate": gate.decision, "processed_rows": gate.rows, "pending_review": pending,
+            "curated": curated_paths, "export": export}

@@ -52,10 +52,18 @@ class SnapshotTable:
                 return row["data_type"]
         return None
 
-    def commit(self, df: DataFrame, as_of: str | None = None) -> str:
-        """K1: write ``df`` as the next snapshot and make it current."""
+    def stage(self, df: DataFrame, as_of: str | None = None) -> str:
+        """Write ``df`` as a new snapshot folder without making it current."""
         path = f"{self.root}/v={_label(as_of)}"
         df.write.mode("errorifexists").parquet(path)
+        return path
+
+    def commit(self, df: DataFrame, as_of: str | None = None) -> str:
+        """K1: write ``df`` as the next snapshot and make it current."""
+        return self.adopt(self.stage(df, as_of))
+
+    def adopt(self, path: str) -> str:
+        """Make an already written snapshot folder the current one."""
         if self.exists():
             self.spark.sql(f"ALTER TABLE {self.name} SET LOCATION '{path}'")
             self.spark.sql(f"REFRESH TABLE {self.name}")
