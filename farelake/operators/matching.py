@@ -35,6 +35,8 @@ pairs (no cross join, no per-group all-pairs):
 
 Shuffles: element frequency (partial aggregation), one regroup per key, the
 two candidate joins (AQE splits a skewed element partition), one distinct.
+The profiles and the distinct keys are written once to the shared folder
+(the Python profile runs once per vendor; the branches read files).
 """
 
 from __future__ import annotations
@@ -46,6 +48,7 @@ from farelake.config import MatchRules
 from farelake.constants import MANUAL_RESOLUTION, STEWARD_REVIEW, SYSTEM_AUTO_APPROVED
 from farelake.functions.fuzzy import fuzzy_confidence, name_profile
 from farelake.operators.curated import broadcast_if_small
+from farelake.sinks.snapshots import materialize
 
 
 def _thresholds(min_score: float) -> tuple[float, float]:
@@ -134,12 +137,15 @@ def match_vendors(
     """G1 over the similarity join: ``source_vendorid, source_vendor_name,
     matched_vendorid, matched_vendor_name, confidence`` for every pair with
     ``confidence >= min_score`` (source id < matched id)."""
-    prof = vendor_profiles(vendors, id_col, name_col)
-    keys = prof.groupBy("key").agg(
-        F.min("id").alias("canon_id"),
-        F.min_by("name", "id").alias("canon_name"),
-        F.first("tokens").alias("tokens"),
-        F.first("chars").alias("chars"),
+    prof = materialize(vendor_profiles(vendors, id_col, name_col), "vendor-profiles")
+    keys = materialize(
+        prof.groupBy("key").agg(
+            F.min("id").alias("canon_id"),
+            F.min_by("name", "id").alias("canon_name"),
+            F.first("tokens").alias("tokens"),
+            F.first("chars").alias("chars"),
+        ),
+        "vendor-keys",
     )
     pairs = candidate_key_pairs(keys.select("key", "tokens", "chars"), min_score)
     a = keys.select(F.col("key").alias("ka"), F.col("canon_id").alias("ida"), F.col("canon_name").alias("na"))

@@ -18,7 +18,7 @@ from farelake.operators import curated, golden, matching, publish, quality, scd2
 from farelake.operators.standardize import standardize_trips
 from farelake.operators.validate import valid_fares, valid_trips
 from farelake.session import scratch_path
-from farelake.sinks.snapshots import append
+from farelake.sinks.snapshots import append, materialize
 from farelake.sources.lookups import (
     ratecode_dictionary,
     read_zone_csv,
@@ -60,9 +60,12 @@ def zones(spark: SparkSession, base: str) -> DataFrame:
 
 
 def fact(spark: SparkSession, base: str) -> DataFrame:
+    # the zone dimension is computed once and written (it feeds a size check
+    # and two broadcast joins); the pipeline reads it from its snapshot table
+    zone_dim = materialize(scd2.current_rows(scd2.initial_load(zones(spark, base))), "zone-dim")
     return curated.trip_details(
         processed(spark, base),
-        scd2.current_rows(scd2.initial_load(zones(spark, base))),
+        zone_dim,
         golden.golden_vendors(spark, AS_OF, JOB),
         golden.golden_ratecodes(spark, AS_OF, JOB),
     )

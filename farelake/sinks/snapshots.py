@@ -83,3 +83,17 @@ def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> N
 def register_external(spark: SparkSession, name: str, path: str) -> None:
     """K5: ``CREATE TABLE IF NOT EXISTS ... USING parquet LOCATION``."""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{path}'")
+
+
+def materialize(df: DataFrame, label: str = "materialized") -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back.
+
+    Used where one intermediate feeds several branches of a plan: it is
+    computed once, its lineage is cut (a lost executor re-reads files instead
+    of recomputing the chain) and the reader sees real file sizes.
+    """
+    from farelake.session import scratch_path
+
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -10,7 +10,9 @@ Each micro-batch goes through standardize → validate → the DQ gate:
 * gate fails → the rows are written to the quarantine table under the run id
   and the batch id, and the batch is counted as quarantined.
 
-Writes are keyed by the micro-batch id and use overwrite, so a micro-batch
+Micro-batches are bounded (``max_files_per_trigger``, default 1000 files), so
+a backlog of landed files is worked off in several batches instead of one
+huge one. Writes are keyed by the micro-batch id and use overwrite, so a micro-batch
 that is retried after an executor or driver loss replaces its own output
 instead of duplicating it (effectively exactly-once). The micro-batch is
 persisted for the two actions it needs (gate aggregate + write).
@@ -43,7 +45,7 @@ def process_landing(
     checkpoint_path: str,
     as_of: str = DEFAULT_AS_OF,
     rules: TripRules = TripRules(),
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int | None = 1000,
 ) -> LandingRun:
     """Process every file that landed since the last run, then stop."""
     run = LandingRun()

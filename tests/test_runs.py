@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from farelake.plans import catalog, pipeline
+from farelake.plans import catalog, runs
 from farelake.session import scratch_path
 from farelake.sources.lookups import ratecode_dictionary, vendor_dictionary, zone_lookup_rows
 from farelake.sources.masters import vendor_names
@@ -17,10 +17,10 @@ AS_OF_2 = "2026-01-02 00:00:00"
 
 
 def test_full_run_and_rerun(spark, small_dir):
-    lake = pipeline.Lakehouse(spark, scratch_path(spark, "lake"), prefix="t_run")
+    lake = runs.Lakehouse(spark, scratch_path(spark, "lake"), prefix="t_run")
     raw = raw_trips(spark, small_dir)
     vendors = vendor_dictionary(spark)
-    result = pipeline.run(lake, raw, zone_lookup_rows(spark, small_dir), vendors, ratecode_dictionary(spark), AS_OF)
+    result = runs.run(lake, raw, zone_lookup_rows(spark, small_dir), vendors, ratecode_dictionary(spark), AS_OF)
     assert result["gate"] == "PUBLISH"
     assert {s for _, s, _ in result["export"]} == {"PUBLISHED"}
     processed = lake.table("processed").read()
@@ -32,16 +32,16 @@ def test_full_run_and_rerun(spark, small_dir):
     assert exported.count() == fact.count() and dict(exported.dtypes)["vendorid"] == "int"
 
     # second run of the master job: every key closed and reopened (version 2)
-    pipeline.lookup_to_master(lake, zone_lookup_rows(spark, small_dir), vendors, ratecode_dictionary(spark), AS_OF_2)
+    runs.lookup_to_master(lake, zone_lookup_rows(spark, small_dir), vendors, ratecode_dictionary(spark), AS_OF_2)
     zones = lake.table("dim_zones").read()
     assert zones.filter("is_current_flag").agg(F.min("version"), F.max("version")).first() == (2, 2)
     assert zones.filter(~F.col("is_current_flag")).count() == zones.filter("is_current_flag").count()
 
 
 def test_steward_review_promotes_and_marks(spark, small_dir):
-    lake = pipeline.Lakehouse(spark, scratch_path(spark, "lake"), prefix="t_stew")
+    lake = runs.Lakehouse(spark, scratch_path(spark, "lake"), prefix="t_stew")
     names = vendor_names(spark, small_dir)
-    pending = pipeline.lookup_to_master(
+    pending = runs.lookup_to_master(
         lake, zone_lookup_rows(spark, small_dir), names, ratecode_dictionary(spark), AS_OF
     )
     assert pending > 0
@@ -50,22 +50,22 @@ def test_steward_review_promotes_and_marks(spark, small_dir):
         "status", F.when(F.col("confidence") >= 90, F.lit("APPROVED")).otherwise(F.col("status"))
     )
     queue.commit(decided, AS_OF)
-    promoted = pipeline.steward_review(lake, AS_OF_2)
+    promoted = runs.steward_review(lake, AS_OF_2)
     assert promoted > 0
     statuses = {r["status"] for r in queue.read().collect()}
     assert "APPROVED" not in statuses and "PROCESSED" in statuses
     dim = lake.table("dim_vendors").read()
     assert dim.filter(F.col("approved_by") == "STEWARD_APPROVED").count() == promoted
-    assert pipeline.steward_review(lake, AS_OF_2) == 0  # nothing approved twice
+    assert runs.steward_review(lake, AS_OF_2) == 0  # nothing approved twice
 
 
 def test_failed_gate_quarantines_and_stops(spark, small_dir):
     from farelake.operators.quality import Rule
 
-    lake = pipeline.Lakehouse(spark, scratch_path(spark, "lake"), prefix="t_fail")
+    lake = runs.Lakehouse(spark, scratch_path(spark, "lake"), prefix="t_fail")
     strict = (Rule('ColumnValues "fare_amount" >= 1000000', "fare_amount", "min", 1000000),)
-    with pytest.raises(pipeline.DataQualityError):
-        pipeline.raw_to_processed(lake, raw_trips(spark, small_dir), AS_OF, ruleset=strict)
+    with pytest.raises(runs.DataQualityError):
+        runs.raw_to_processed(lake, raw_trips(spark, small_dir), AS_OF, ruleset=strict)
     q = spark.read.parquet(lake.quarantine_path)
     assert q.select("quarantine_run_id").distinct().first()[0] == "20260101_0000"
     assert q.count() == catalog.processed(spark, small_dir).count()
