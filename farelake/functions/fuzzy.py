@@ -114,12 +114,21 @@ PROFILE_TYPE = T.StructType(
 
 
 @F.pandas_udf(PROFILE_TYPE)
-def name_profile(names: pd.Series) -> pd.DataFrame:
+def _name_profile(names: pd.Series) -> pd.DataFrame:
     rows = [profile(n) for n in names]
     return pd.DataFrame(rows, columns=["key", "tokens", "chars"])
 
 
+# One Python call per name even though three struct fields and a filter use it.
+name_profile = _name_profile.asNondeterministic()
+
+
 @F.pandas_udf(T.DoubleType())
-def fuzzy_confidence(left: pd.Series, right: pd.Series) -> pd.Series:
-    """Arrow-batched G1 over two name columns."""
+def _fuzzy_confidence(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series([confidence(a, b) for a, b in zip(left, right)], dtype="float64")
+
+
+# Arrow-batched G1 over two name columns. Marked non-deterministic only so
+# that the optimizer never duplicates the Python call when a filter on the
+# score is pushed through the projection (one evaluation per pair).
+fuzzy_confidence = _fuzzy_confidence.asNondeterministic()

@@ -81,48 +81,68 @@ def _rarest_first(exploded: DataFrame, element: str, weight) -> DataFrame:
     return ranked.groupBy("key").agg(F.array_sort(F.collect_list("x")).alias("els"))
 
 
-def token_prefixes(keys: DataFrame, c: float) -> DataFrame:
-    """``key, tok`` for the containment prefix of each key's token set."""
+def _suffix_weight(i):
+    """Total weight of ``els`` from 0-based position ``i`` to the end."""
+    return F.aggregate(F.slice("els", i + 1, F.size("els") - i), F.lit(0), lambda acc, y: acc + y["w"])
+
+
+def token_positions(keys: DataFrame) -> DataFrame:
+    """``key, len, tok, pos, sw``: every token of every key in rarest-first
+    order, with the weight of the key's tokens from that position on."""
     toks = keys.select("key", F.explode("tokens").alias("tok"))
     per_key = _rarest_first(toks, "tok", F.length("tok") + 1)
-    need = F.lit(c) * (F.length("key")) + 1
-    suffix_weight = lambda i: F.aggregate(
-        F.slice("els", i + 1, F.size("els") - i), F.lit(0), lambda acc, y: acc + y["w"]
+    placed = F.transform("els", lambda x, i: F.struct(x["e"].alias("tok"), i.alias("pos"), _suffix_weight(i).alias("sw")))
+    return per_key.select("key", F.length("key").alias("len"), F.explode(placed).alias("x")).select(
+        "key", "len", "x.tok", "x.pos", "x.sw"
     )
-    prefix = F.filter("els", lambda x, i: suffix_weight(i) >= need)
-    return per_key.select("key", F.explode(prefix).alias("x")).select("key", F.col("x.e").alias("tok"))
 
 
 def char_prefixes(keys: DataFrame, c: float) -> DataFrame:
-    """``key, e, len`` for the Dice prefix of each key's indexed characters."""
+    """``key, len, e, pos`` for the Dice prefix of each key's indexed characters."""
     chars = keys.select("key", F.explode("chars").alias("ch"))
     per_key = _rarest_first(chars, "ch", F.lit(1))
     n = F.length("key")
-    p = n - F.ceil(F.lit(c) * n) + 1
-    return per_key.select(
-        "key", n.alias("len"), F.explode(F.slice("els", 1, p.cast("int"))).alias("x")
-    ).select("key", "len", F.col("x.e").alias("e"))
+    p = (n - F.ceil(F.lit(c) * n) + 1).cast("int")
+    placed = F.transform(F.slice("els", 1, p), lambda x, i: F.struct(x["e"].alias("e"), i.alias("pos")))
+    return per_key.select("key", n.alias("len"), F.explode(placed).alias("x")).select("key", "len", "x.e", "x.pos")
 
 
 def candidate_key_pairs(keys: DataFrame, min_score: float) -> DataFrame:
     """Every pair of distinct keys that can score ≥ ``min_score`` (plus some
-    that cannot; they are removed by verification). Columns ``ka < kb``."""
-    _, c = _thresholds(min_score)
-    tp = token_prefixes(keys, c)
-    all_tokens = keys.select(F.col("key").alias("kb"), F.explode("tokens").alias("tok"))
+    that cannot; they are removed by verification). Columns ``ka < kb``.
+
+    Positional filters (exact): on the *first* shared element of a pair all
+    other shared elements come later in both rarest-first orders, so
+
+    * tokens: the shared weight is at most B's suffix weight from there, and
+      must reach ``c·|A| + 1``;
+    * characters: the overlap is at most ``1 + min(rest of A, rest of B)``
+      and must reach ``t·(|A| + |B|) / 2``.
+
+    A join row failing its bound is dropped; the row of the first shared
+    element of a qualifying pair always passes.
+    """
+    t, c = _thresholds(min_score)
+    tp = token_positions(keys)
+    need = F.lit(c) * F.col("la") + 1
+    probe = tp.filter(F.col("sw") >= F.lit(c) * F.col("len") + 1).select(
+        F.col("key").alias("ka"), F.col("len").alias("la"), "tok"
+    )
+    index = tp.select(F.col("key").alias("kb"), "tok", F.col("sw").alias("swb"))
     by_token = (
-        tp.withColumnRenamed("key", "ka")
-        .join(all_tokens, "tok")
-        .filter(F.col("ka") != F.col("kb"))
+        probe.join(index, "tok")
+        .filter((F.col("ka") != F.col("kb")) & (F.col("swb") >= need))
         .select(F.least("ka", "kb").alias("ka"), F.greatest("ka", "kb").alias("kb"))
     )
     cp = char_prefixes(keys, c)
-    left = cp.select(F.col("key").alias("ka"), F.col("len").alias("la"), "e")
-    right = cp.select(F.col("key").alias("kb"), F.col("len").alias("lb"), "e")
+    left = cp.select(F.col("key").alias("ka"), F.col("len").alias("la"), "e", F.col("pos").alias("pa"))
+    right = cp.select(F.col("key").alias("kb"), F.col("len").alias("lb"), "e", F.col("pos").alias("pb"))
+    overlap_bound = F.least(F.col("la") - F.col("pa"), F.col("lb") - F.col("pb"))
     by_chars = (
         left.join(right, "e")
         .filter(F.col("ka") < F.col("kb"))
         .filter(F.least("la", "lb") >= F.lit(c) * F.greatest("la", "lb"))
+        .filter(overlap_bound >= F.lit(t) * (F.col("la") + F.col("lb")) / 2)
         .select("ka", "kb")
     )
     return by_token.unionByName(by_chars).distinct()
