@@ -30,7 +30,8 @@ from pyspark.sql import functions as F
 from farelake.config import DEFAULT_AS_OF, DEFAULT_JOB, MatchRules, TripRules
 from farelake.operators import curated, golden, matching, publish, quality, scd2, steward
 from farelake.operators.validate import processed_trips
-from farelake.sinks.snapshots import SnapshotTable, append
+from farelake.functions.columns import run_id
+from farelake.sinks.snapshots import SnapshotTable, append, register_external
 
 
 class DataQualityError(RuntimeError):
@@ -52,6 +53,10 @@ class Lakehouse:
     def quarantine_path(self) -> str:
         return f"{self.root.rstrip('/')}/quarantine"
 
+    @property
+    def dq_results_path(self) -> str:
+        return f"{self.root.rstrip('/')}/dq_results"
+
     @property
     def export_path(self) -> str:
         return f"{self.root.rstrip('/')}/warehouse_staging"
@@ -68,16 +73,32 @@ def raw_to_processed(
     staged_path = table.stage(processed_trips(raw, as_of, rules), as_of)
     staged = lake.spark.read.parquet(staged_path)
     outcome = quality.evaluate_gate(staged, ruleset)
+    publish_rule_results(lake, outcome, as_of)
     if outcome.decision == "PUBLISH":
         table.adopt(staged_path)
         return outcome
     append(quality.quarantine_rows(staged, as_of), lake.quarantine_path, ["quarantine_run_id"])
+    register_external(lake.spark, f"{lake.prefix}_quarantine", lake.quarantine_path, partitioned=True)
     failed = [r["Rule"] for r in outcome.report if r["Outcome"] != quality.PASSED]
     raise DataQualityError(
         f"batch of {outcome.rows} rows quarantined under run {as_of}; failed rules: {failed}"
     )
 
 
+def publish_rule_results(lake: Lakehouse, outcome: quality.GateOutcome, as_of: str) -> None:
+    """Q6: append this run's rule results (one row per rule) to ``dq_results``."""
+    spark = lake.spark
+    if not outcome.report:
+        return
+    report = spark.createDataFrame(
+        [tuple(r) for r in outcome.report],
+        "Rule string, Outcome string, FailureReason string, failed_rows bigint, evaluated_rows bigint",
+    )
+    rows = report.withColumn("decision", F.lit(outcome.decision)).withColumn("run_id", run_id(as_of))
+    append(rows, lake.dq_results_path, ["run_id"])
+    register_external(spark, f"{lake.prefix}_dq_results", lake.dq_results_path, partitioned=True)
+
+
 def upsert_dimension(table: SnapshotTable, batch: DataFrame, key: str, as_of: str) -> str:
     """M1 on the first run, M2+M3 afterwards; one new snapshot either way."""
     if not table.exists():

@@ -80,9 +80,16 @@ def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> N
     writer.parquet(path)
 
 
-def register_external(spark: SparkSession, name: str, path: str) -> None:
-    """K5: ``CREATE TABLE IF NOT EXISTS ... USING parquet LOCATION``."""
+def register_external(spark: SparkSession, name: str, path: str, partitioned: bool = False) -> None:
+    """K5: ``CREATE TABLE IF NOT EXISTS ... USING parquet LOCATION``.
+
+    For a partitioned folder the catalog learns new partitions with
+    ``MSCK REPAIR TABLE`` (call again after each append).
+    """
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{path}'")
+    if partitioned:
+        spark.sql(f"MSCK REPAIR TABLE {name}")
+        spark.sql(f"REFRESH TABLE {name}")
 
 
 def materialize(df: DataFrame, label: str = "materialized") -> DataFrame:

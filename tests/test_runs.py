@@ -22,6 +22,8 @@ def test_full_run_and_rerun(spark, small_dir):
     vendors = vendor_dictionary(spark)
     result = runs.run(lake, raw, zone_lookup_rows(spark, small_dir), vendors, ratecode_dictionary(spark), AS_OF)
     assert result["gate"] == "PUBLISH"
+    dq = spark.read.parquet(lake.dq_results_path)
+    assert dq.count() == 6 and {r["Outcome"] for r in dq.collect()} == {"Passed"}
     assert {s for _, s, _ in result["export"]} == {"PUBLISHED"}
     processed = lake.table("processed").read()
     fact = lake.table("trip_details").read()
@@ -70,6 +72,8 @@ def test_failed_gate_quarantines_and_stops(spark, small_dir):
     assert q.select("quarantine_run_id").distinct().first()[0] == "20260101_0000"
     assert q.count() == catalog.processed(spark, small_dir).count()
     assert not lake.table("processed").exists()
+    assert spark.table("t_fail_quarantine").count() == q.count()
+    assert spark.read.parquet(lake.dq_results_path).first()["decision"] == "QUARANTINE"
 
 
 def test_incremental_equals_full_refresh(spark, small_dir):
