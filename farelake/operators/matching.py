@@ -19,18 +19,25 @@ pairs (no cross join, no per-group all-pairs):
    through ``ratio(i, x)`` / ``ratio(i, y)``:
 
    * ``ratio(x, y) >= t`` ⇒ the character multisets of the two keys have
-     Dice ≥ t (LCS ≤ multiset overlap). Standard prefix filtering: order
-     elements globally rarest-first; each key keeps its first
-     ``|key| - ceil(c·|key|) + 1`` elements; two keys with Dice ≥ t share a
-     prefix element, and their lengths are within a factor ``c``.
+     Dice ≥ t (LCS ≤ multiset overlap), hence lengths within a factor ``c``
+     and an overlap of at least ``ceil(c·|key|)`` for either key. Order the
+     indexed characters globally rarest-first; by the k-prefix lemma two
+     such keys share two elements inside their first
+     ``|key| - ceil(c·|key|) + 2`` elements, so every pair of prefix
+     elements is a join signature (keys too short for an overlap of two use
+     single elements; they are few and only meet each other).
    * ``ratio(i, x) >= t`` ⇔ ``|i| >= c·|x|``: the shared tokens carry at
      least ``c·|x| + 1`` of key A's token weight (weight = length + 1).
      Token prefix filtering: A keeps its rarest-first tokens until the rest
      weighs less than that; B must contain one of them.
 
-   Both candidate sets are equi-joins on a prefix element, so every pair
-   that can reach ``min_score`` is generated (exact) and hot elements only
-   enter a prefix when a key has nothing rarer.
+   Both candidate sets are equi-joins on prefix signatures with positional
+   and length bounds in the join condition, so every pair that can reach
+   ``min_score`` is generated (exact) and a single common character or
+   token never forms a join group of its own unless a key has nothing rarer.
+   Measured on 1,600 deliberately uniform names (64 product names × 25
+   brands, 6% of all pairs truly match): 352 k candidates for 1.28 M pairs,
+   equal to brute force.
 3. **Verification** of each candidate with the exact score (Arrow UDF).
 
 Shuffles: element frequency (partial aggregation), one regroup per key, the
@@ -51,6 +58,9 @@ from farelake.operators.curated import broadcast_if_small
 from farelake.sinks.snapshots import materialize
 
 
+SIG_SEP = "\x1e"
+
+
 def _thresholds(min_score: float) -> tuple[float, float]:
     t = (min_score - 0.5) / 100.0 - 1e-9
     t = max(t, 1e-9)
@@ -97,30 +107,75 @@ def token_positions(keys: DataFrame) -> DataFrame:
     )
 
 
-def char_prefixes(keys: DataFrame, c: float) -> DataFrame:
-    """``key, len, e, pos`` for the Dice prefix of each key's indexed characters."""
+def char_signatures(keys: DataFrame, c: float) -> DataFrame:
+    """``key, len, sig, pos`` — 2-element signatures of each key's Dice prefix.
+
+    k-prefix lemma: if two keys share at least α elements, their prefixes of
+    length ``|x| - α + 2`` share at least two, and the two rarest shared
+    elements form a common signature. A per-key lower bound of α is
+    ``ceil(c·|x|)`` (the length filter makes it valid for every partner), so
+    the prefix is ``|x| - ceil(c·|x|) + 2`` elements (at most ``|x|``) and
+    every pair of prefix elements (in rarest-first order) is a signature.
+    A single very common character therefore never forms a join group on its
+    own. ``pos`` is the position of the signature's later element.
+    """
     chars = keys.select("key", F.explode("chars").alias("ch"))
     per_key = _rarest_first(chars, "ch", F.lit(1))
     n = F.length("key")
-    p = (n - F.ceil(F.lit(c) * n) + 1).cast("int")
-    placed = F.transform(F.slice("els", 1, p), lambda x, i: F.struct(x["e"].alias("e"), i.alias("pos")))
-    return per_key.select("key", n.alias("len"), F.explode(placed).alias("x")).select("key", "len", "x.e", "x.pos")
+    p = F.least(n - F.ceil(F.lit(c) * n) + 2, n).cast("int")
+    pre = F.slice("els", 1, p)
+    sigs = F.flatten(
+        F.transform(
+            F.sequence(F.lit(0), p - 2),
+            lambda i: F.transform(
+                F.sequence(i + 1, p - 1),
+                lambda j: F.struct(
+                    F.concat(pre[i]["e"], F.lit(SIG_SEP), pre[j]["e"]).alias("sig"), j.alias("pos")
+                ),
+            ),
+        )
+    )
+    return (
+        per_key.filter(n >= 2)
+        .select("key", n.alias("len"), F.explode(sigs).alias("x"))
+        .select("key", "len", "x.sig", "x.pos")
+    )
+
+
+def short_key_pairs(keys: DataFrame, t: float, c: float) -> DataFrame:
+    """Pairs the 2-signature lemma does not cover: both keys so short that
+    an overlap of one element could already be enough (``|x| <= 1/c``).
+    Such keys are few (their number is bounded by the alphabet), and they
+    only pair with each other because of the length filter."""
+    limit = int(1.0 / c)
+    short = keys.filter(F.length("key") <= limit).select(
+        "key", F.length("key").alias("len"), F.explode("chars").alias("e")
+    )
+    left = short.select(F.col("key").alias("ka"), F.col("len").alias("la"), "e")
+    right = short.select(F.col("key").alias("kb"), F.col("len").alias("lb"), "e")
+    return (
+        left.join(right, "e")
+        .filter(F.col("ka") < F.col("kb"))
+        .filter(F.least("la", "lb") >= F.lit(c) * F.greatest("la", "lb"))
+        .select("ka", "kb")
+    )
 
 
 def candidate_key_pairs(keys: DataFrame, min_score: float) -> DataFrame:
     """Every pair of distinct keys that can score ≥ ``min_score`` (plus some
     that cannot; they are removed by verification). Columns ``ka < kb``.
 
-    Positional filters (exact): on the *first* shared element of a pair all
-    other shared elements come later in both rarest-first orders, so
+    Positional filters (exact): on the *first* shared element (signature) of a
+    pair all other shared elements come later in both rarest-first orders, so
 
     * tokens: the shared weight is at most B's suffix weight from there, and
       must reach ``c·|A| + 1``;
-    * characters: the overlap is at most ``1 + min(rest of A, rest of B)``
-      and must reach ``t·(|A| + |B|) / 2``.
+    * characters: the overlap is at most ``2 + min(rest of A, rest of B)``
+      after the signature's later element, and must reach
+      ``t·(|A| + |B|) / 2``.
 
     A join row failing its bound is dropped; the row of the first shared
-    element of a qualifying pair always passes.
+    signature of a qualifying pair always passes.
     """
     t, c = _thresholds(min_score)
     tp = token_positions(keys)
@@ -134,18 +189,18 @@ def candidate_key_pairs(keys: DataFrame, min_score: float) -> DataFrame:
         .filter((F.col("ka") != F.col("kb")) & (F.col("swb") >= need))
         .select(F.least("ka", "kb").alias("ka"), F.greatest("ka", "kb").alias("kb"))
     )
-    cp = char_prefixes(keys, c)
-    left = cp.select(F.col("key").alias("ka"), F.col("len").alias("la"), "e", F.col("pos").alias("pa"))
-    right = cp.select(F.col("key").alias("kb"), F.col("len").alias("lb"), "e", F.col("pos").alias("pb"))
-    overlap_bound = F.least(F.col("la") - F.col("pa"), F.col("lb") - F.col("pb"))
+    cs = char_signatures(keys, c)
+    left = cs.select(F.col("key").alias("ka"), F.col("len").alias("la"), "sig", F.col("pos").alias("pa"))
+    right = cs.select(F.col("key").alias("kb"), F.col("len").alias("lb"), "sig", F.col("pos").alias("pb"))
+    overlap_bound = F.least(F.col("la") - F.col("pa"), F.col("lb") - F.col("pb")) + 1
     by_chars = (
-        left.join(right, "e")
+        left.join(right, "sig")
         .filter(F.col("ka") < F.col("kb"))
         .filter(F.least("la", "lb") >= F.lit(c) * F.greatest("la", "lb"))
         .filter(overlap_bound >= F.lit(t) * (F.col("la") + F.col("lb")) / 2)
         .select("ka", "kb")
     )
-    return by_token.unionByName(by_chars).distinct()
+    return by_token.unionByName(by_chars).unionByName(short_key_pairs(keys, t, c)).distinct()
 
 
 def match_vendors(

@@ -98,3 +98,23 @@ def test_no_cartesian_product_in_plan(spark):
     df = spark.createDataFrame([(i, f"name {i}") for i in range(20)], "vendorid bigint, vendor_name string")
     plan = matching.match_vendors(df)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+
+
+def test_similarity_join_is_exact_on_short_random_strings(spark):
+    from farelake.functions.fuzzy import profile
+
+    rnd = random.Random(7)
+    raw = ["".join(rnd.choice("abcd  ") for _ in range(rnd.randint(1, 9))) for _ in range(120)]
+    seen, kept = set(), []
+    for n in raw:
+        key = profile(n)[0]
+        if key and key not in seen:
+            seen.add(key)
+            kept.append(n)
+    df = spark.createDataFrame(list(enumerate(kept)), "vendorid bigint, vendor_name string")
+    for min_score in (50.0, 60.0, 80.0):
+        got = {
+            (r["source_vendorid"], r["matched_vendorid"], r["confidence"])
+            for r in matching.match_vendors(df, min_score=min_score).collect()
+        }
+        assert got == _brute(kept, min_score), min_score
