@@ -167,7 +167,12 @@ def queue(spark: SparkSession, base: str) -> DataFrame:
 
 
 def decided_queue(spark: SparkSession, base: str) -> DataFrame:
-    return steward.record_decisions(queue(spark, base), F.col("confidence") >= STEWARD_APPROVES_FROM)
+    # the queue is a table in the real flow; written once here, read by both
+    # branches of the SCD2 promotion
+    return materialize(
+        steward.record_decisions(queue(spark, base), F.col("confidence") >= STEWARD_APPROVES_FROM),
+        "steward-queue",
+    )
 
 
 def q_vendor_pairs(spark: SparkSession, base: str) -> DataFrame:
@@ -205,11 +210,13 @@ def q_steward_mark_processed(spark: SparkSession, base: str) -> DataFrame:
 # -- type-2 history over two landings of the customer-activity dimension ----------
 
 def activity_first(spark: SparkSession, base: str) -> DataFrame:
-    return order_activity(spark, base, AS_OF, until=ACTIVITY_SPLIT)
+    # each landing is written once (as a landed batch would be) and read by
+    # the close and the versioning branch of the SCD2 plan
+    return materialize(order_activity(spark, base, AS_OF, until=ACTIVITY_SPLIT), "activity-1")
 
 
 def activity_next(spark: SparkSession, base: str) -> DataFrame:
-    return order_activity(spark, base, AS_OF_NEXT, since=ACTIVITY_SPLIT)
+    return materialize(order_activity(spark, base, AS_OF_NEXT, since=ACTIVITY_SPLIT), "activity-2")
 
 
 def history(spark: SparkSession, base: str) -> DataFrame:
