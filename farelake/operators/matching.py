@@ -55,6 +55,7 @@ from farelake.config import MatchRules
 from farelake.constants import MANUAL_RESOLUTION, STEWARD_REVIEW, SYSTEM_AUTO_APPROVED
 from farelake.functions.fuzzy import fuzzy_confidence, name_profile
 from farelake.operators.curated import broadcast_if_small
+from farelake.session import ship_package
 from farelake.sinks.snapshots import materialize
 
 
@@ -69,6 +70,7 @@ def _thresholds(min_score: float) -> tuple[float, float]:
 
 def vendor_profiles(vendors: DataFrame, id_col: str, name_col: str) -> DataFrame:
     """``id, name, key, tokens, chars`` for every vendor with a non-empty key."""
+    ship_package(vendors.sparkSession)
     return (
         vendors.select(F.col(id_col).alias("id"), F.col(name_col).alias("name"))
         .withColumn("p", name_profile(F.col("name")))
@@ -212,6 +214,7 @@ def match_vendors(
     """G1 over the similarity join: ``source_vendorid, source_vendor_name,
     matched_vendorid, matched_vendor_name, confidence`` for every pair with
     ``confidence >= min_score`` (source id < matched id)."""
+    ship_package(vendors.sparkSession)
     prof = materialize(vendor_profiles(vendors, id_col, name_col), "vendor-profiles")
     keys = materialize(
         prof.groupBy("key").agg(

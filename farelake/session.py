@@ -12,10 +12,41 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
 
+def cluster_conf(
+    initial_shuffle_partitions: int = 16384,
+    partition_bytes: str = "256m",
+    broadcast_bytes: str = "64m",
+) -> dict[str, str]:
+    """Settings for a large cluster (thousands of cores, ~100 TB inputs).
+
+    Shuffles start wide (``initialPartitionNum``) and AQE coalesces them to
+    ``partition_bytes`` per task from the real map-output sizes, so a task's
+    input fits executor memory at any scale; file splits have the same size;
+    a shuffle partition more than 5× the median (and over the size) is split
+    by the skew-join rule; only relations under ``broadcast_bytes`` are
+    broadcast by the planner (dimensions are additionally row-checked).
+    """
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial_shuffle_partitions),
+        "spark.sql.shuffle.partitions": str(initial_shuffle_partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": partition_bytes,
+        "spark.sql.files.maxPartitionBytes": partition_bytes,
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": partition_bytes,
+        "spark.sql.autoBroadcastJoinThreshold": broadcast_bytes,
+        "spark.sql.parquet.compression.codec": "zstd",
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
 def build_session(
     master: str = "local[*]",
     shuffle_partitions: int = 8,
@@ -86,3 +117,33 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unique folder path under the shared working folder."""
     return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex[:12]}")
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``farelake`` importable in the Python workers (``--py-files``).
+
+    Needed before any Python UDF of the library runs; done once per
+    application. The archive is written under the shared folder and handed
+    to ``addPyFile``; Spark distributes it to every executor.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    package_dir = os.path.dirname(os.path.abspath(__file__))
+    target = scratch_path(spark, "pyfiles")
+    local_target = target[len("file:"):] if target.startswith("file:") else target
+    if "://" in local_target:  # remote shared storage: build locally, Spark uploads it
+        local_target = tempfile.mkdtemp(prefix="farelake-pyfiles-")
+    os.makedirs(local_target, exist_ok=True)
+    archive = os.path.join(local_target, "farelake.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as zf:
+        for root, _, files in os.walk(package_dir):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(root, name)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(package_dir)))
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)

@@ -145,3 +145,18 @@ def test_filters_collapse_into_one_scan_stage(spark, small_dir):
     plan = processed(spark, small_dir)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
     assert plan.count("FileScan") == 1
+
+
+def test_predicates_reach_the_scan_on_landed_files(spark, small_dir, tmp_path):
+    from farelake.operators.validate import processed_trips
+    from farelake.sources.trips import raw_trips, read_landing
+
+    path = str(tmp_path / "landing")
+    raw_trips(spark, small_dir).write.parquet(path)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    plan = processed_trips(read_landing(spark, path), AS_OF)._jdf.queryExecution().executedPlan().toString()
+    scan = [ln for ln in plan.splitlines() if "FileScan" in ln][0]
+    pushed = scan.split("PushedFilters: [")[1].split("], ReadSchema")[0]
+    for predicate in ["In(VendorID", "LessThanOrEqual(tpep_pickup_datetime", "GreaterThanOrEqual(PULocationID",
+                      "LessThanOrEqual(DOLocationID"]:
+        assert predicate in pushed, (predicate, pushed)
