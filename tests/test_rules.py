@@ -160,3 +160,21 @@ def test_predicates_reach_the_scan_on_landed_files(spark, small_dir, tmp_path):
     for predicate in ["In(VendorID", "LessThanOrEqual(tpep_pickup_datetime", "GreaterThanOrEqual(PULocationID",
                       "LessThanOrEqual(DOLocationID"]:
         assert predicate in pushed, (predicate, pushed)
+
+
+def test_stored_sql_step_with_named_parameters(spark, small_dir, tmp_path):
+    from farelake.plans.catalog import standardized
+    from farelake.sources.sql_text import load_sql, run_sql
+
+    path = tmp_path / "trip_bounds.sql"
+    path.write_text(
+        "SELECT * FROM {trips}\n"
+        "WHERE tpep_pickup_datetime < tpep_dropoff_datetime\n"
+        "  AND tpep_pickup_datetime BETWEEN CAST(:lo AS TIMESTAMP_NTZ) AND CAST(:as_of AS TIMESTAMP_NTZ)\n"
+        "  AND PULocationID BETWEEN 1 AND 263 AND DOLocationID BETWEEN 1 AND 263;\n"
+    )
+    trips = standardized(spark, small_dir)
+    text = load_sql(spark, str(path))
+    out = run_sql(spark, text, {"lo": "2000-01-01 00:00:00", "as_of": AS_OF}, trips=trips)
+    expected = valid_trips(trips, AS_OF)
+    assert out.count() == expected.count() and out.exceptAll(expected).count() == 0
