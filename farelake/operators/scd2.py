@@ -56,7 +56,7 @@ def changed_rows(batch: DataFrame, target: DataFrame, key: str, tracked: list[st
     current = target.filter(F.col("is_current_flag")).select(
         key, F.lit(True).alias("_has_current"), *[F.col(c).alias(f"_cur_{c}") for c in tracked]
     )
-    same = all_of([F.col(c).eqNullSafe(F.col(f"_cur_{c}")) for c in tracked])
+    same = all_of([F.col(c).eqNullSafe(F.col(f"_cur_{c}")) for c in tracked]) if tracked else F.lit(True)
     joined = batch.join(current, key, "left")
     keep = F.col("_has_current").isNull() | ~same
     return joined.filter(keep).select(*batch.columns)

@@ -135,7 +135,10 @@ def ship_package(spark: SparkSession) -> None:
     package_dir = os.path.dirname(os.path.abspath(__file__))
     target = scratch_path(spark, "pyfiles")
     local_target = target[len("file:"):] if target.startswith("file:") else target
-    if "://" in local_target:  # remote shared storage: build locally, Spark uploads it
+    if "://" in local_target:
+        # remote shared storage: the archive is built on the driver and Spark
+        # itself serves it to the executors (as with --py-files); executors
+        # never read the driver's disk
         local_target = tempfile.mkdtemp(prefix="farelake-pyfiles-")
     os.makedirs(local_target, exist_ok=True)
     archive = os.path.join(local_target, "farelake.zip")
