@@ -1,0 +1,42 @@
+"""Size-checked broadcast: the only way the library broadcasts a relation.
+
+A broadcast ships the whole relation through the driver to every executor,
+so it is only requested after the relation's row count is *proven* under a
+bound; beyond it the planner keeps a shuffle join (AQE may still convert it
+at run time from measured sizes, and splits skewed partitions).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A relation with more rows than this is joined by shuffle, not broadcast.
+# Callers project to the join columns first, so a row is a few dozen bytes
+# and the broadcast stays in the tens of MB even at the bound.
+BROADCAST_ROW_LIMIT = 500_000
+
+
+def _literal_rows(df: DataFrame) -> int | None:
+    """Row count of a frame the optimizer folded into a local literal relation."""
+    try:
+        plan = df._jdf.queryExecution().optimizedPlan()
+        if plan.getClass().getSimpleName() == "LocalRelation":
+            return int(plan.data().size())
+    except Exception:  # noqa: BLE001 - e.g. Spark Connect: fall back to counting
+        return None
+    return None
+
+
+def broadcast_if_small(dim: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+    """Broadcast hint only after the row count is proven ≤ ``max_rows``.
+
+    A literal relation (a dictionary) is counted from its plan; otherwise the
+    check reads at most ``max_rows + 1`` rows of the (small, pruned)
+    dimension. A larger dimension is returned unchanged and the planner picks
+    a shuffle join (AQE may still convert it at run time from real sizes).
+    """
+    rows = _literal_rows(dim)
+    if rows is None:
+        rows = dim.limit(max_rows + 1).count()
+    return F.broadcast(dim) if rows <= max_rows else dim

@@ -54,7 +54,7 @@ from pyspark.sql import functions as F
 from farelake.config import MatchRules
 from farelake.constants import MANUAL_RESOLUTION, STEWARD_REVIEW, SYSTEM_AUTO_APPROVED
 from farelake.functions.fuzzy import fuzzy_confidence, name_profile
-from farelake.operators.curated import broadcast_if_small
+from farelake.operators.joins import broadcast_if_small
 from farelake.session import ship_package
 from farelake.sinks.snapshots import materialize
 

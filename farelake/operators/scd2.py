@@ -16,18 +16,22 @@ The result is written as a new snapshot (see ``farelake.sinks``); readers of
 the old snapshot never see a key without a current row. Parquet tables have no
 row-level MERGE, so the close step is a left join plus ``when``.
 
-Scale: the target is read twice (max version per key, and the close join);
-both joins shuffle on the key only. A key can have at most one batch row
-(checked lazily, the job fails on a duplicate instead of fanning out).
+Scale: the target is read twice (max version per key, and the close join).
+The batch side of each join (batch keys, max version per key) is broadcast
+when its row count is proven small, so the target is not shuffled; beyond
+the bound both joins shuffle on the key only (AQE splits a skewed key). A
+key can have at most one batch row: checked by one aggregate before
+anything is written, so the job fails instead of fanning out.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farelake.constants import AUDIT_COLUMNS
 from farelake.functions.columns import all_of, ts_literal_like
+from farelake.operators.joins import broadcast_if_small
 
 
 def initial_load(batch: DataFrame) -> DataFrame:
@@ -36,19 +40,23 @@ def initial_load(batch: DataFrame) -> DataFrame:
 
 
 def require_unique_key(batch: DataFrame, key: str) -> DataFrame:
-    """Fail the job if a key is NULL or occurs twice in ``batch``.
+    """Fail if a key is NULL or occurs twice in ``batch``; return ``batch``.
 
-    Evaluated inside the plan (``raise_error``), so no extra pass over the
-    data; the window's hash partitioning on ``key`` is reused by the joins
-    that follow.
+    One partial + final aggregate (a hot key costs one row per map task) and
+    a single summary row to the driver, before anything is written.
     """
-    n = F.count(F.lit(1)).over(Window.partitionBy(key))
-    bad = F.col(key).isNull() | (n > 1)
-    check = F.when(
-        bad,
-        F.raise_error(F.concat(F.lit(f"SCD2 batch key {key} is NULL or not unique: "), F.col(key).cast("string"))),
-    ).otherwise(F.lit(True))
-    return batch.withColumn("_key_ok", check.cast("boolean")).filter(F.col("_key_ok")).drop("_key_ok")
+    per_key = batch.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    stats = per_key.agg(
+        F.coalesce(F.max("_n"), F.lit(0)).alias("max_rows"),
+        F.count_if(F.col("_n") > 1).alias("duplicate_keys"),
+        F.coalesce(F.sum(F.when(F.col(key).isNull(), F.col("_n"))), F.lit(0)).alias("null_keys"),
+    ).first()
+    if stats["null_keys"] or stats["duplicate_keys"]:
+        raise ValueError(
+            f"SCD2 batch key {key} is NULL or not unique: {stats['duplicate_keys']} duplicated keys, "
+            f"{stats['null_keys']} NULL keys"
+        )
+    return batch
 
 
 def changed_rows(batch: DataFrame, target: DataFrame, key: str, tracked: list[str]) -> DataFrame:
@@ -73,7 +81,7 @@ def versioned_batch(batch: DataFrame, target: DataFrame, key: str) -> DataFrame:
         .agg(F.max("version").alias("_max_v"))
     )
     return (
-        batch.join(max_v, key, "left")
+        batch.join(broadcast_if_small(max_v), key, "left")
         .withColumn("version", F.coalesce(F.col("_max_v") + 1, F.lit(1)))
         .drop("_max_v")
     )
@@ -87,7 +95,7 @@ def close_current(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
         F.col("updated_by").alias("_close_by"),
         F.lit(True).alias("_hit"),
     )
-    joined = target.join(closing, key, "left")
+    joined = target.join(broadcast_if_small(closing), key, "left")
     hit = F.coalesce(F.col("_hit"), F.lit(False)) & F.col("is_current_flag")
     replaced = {
         "is_current_flag": F.when(hit, F.lit(False)).otherwise(F.col("is_current_flag")),
