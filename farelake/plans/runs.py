@@ -62,7 +62,7 @@ class Lakehouse:
         return f"{self.root.rstrip('/')}/warehouse_staging"
 
 
-def raw_to_processed(
+def publish_processed(
     lake: Lakehouse,
     raw: DataFrame,
     as_of: str = DEFAULT_AS_OF,
@@ -106,7 +106,7 @@ def upsert_dimension(table: SnapshotTable, batch: DataFrame, key: str, as_of: st
     return table.commit(scd2.apply_batch(table.read(), batch, key), as_of)
 
 
-def lookup_to_master(
+def build_masters(
     lake: Lakehouse,
     zone_lookup: DataFrame,
     vendors: DataFrame,
@@ -132,7 +132,7 @@ def lookup_to_master(
     return steward.pending_count(lake.table("steward_queue").read()).first()["pending_count"]
 
 
-def steward_review(lake: Lakehouse, as_of: str = DEFAULT_AS_OF, job_name: str = DEFAULT_JOB) -> int:
+def review_queue(lake: Lakehouse, as_of: str = DEFAULT_AS_OF, job_name: str = DEFAULT_JOB) -> int:
     """Promote approved queue rows; return how many vendors were promoted."""
     queue_table = lake.table("steward_queue")
     if not queue_table.exists():
@@ -148,7 +148,7 @@ def steward_review(lake: Lakehouse, as_of: str = DEFAULT_AS_OF, job_name: str =
     return count
 
 
-def processed_to_curated(lake: Lakehouse, as_of: str = DEFAULT_AS_OF) -> dict[str, str]:
+def build_curated(lake: Lakehouse, as_of: str = DEFAULT_AS_OF) -> dict[str, str]:
     """Write the fact once, then the marts from the written fact."""
     fact = curated.trip_details(
         lake.table("processed").read(),
@@ -168,7 +168,7 @@ def processed_to_curated(lake: Lakehouse, as_of: str = DEFAULT_AS_OF) -> dict[st
     return paths
 
 
-def curated_to_warehouse(lake: Lakehouse) -> list[tuple[str, str, str]]:
+def export_warehouse(lake: Lakehouse) -> list[tuple[str, str, str]]:
     tables = {}
     for contract in publish.CONTRACTS:
         t = lake.table(contract.name)
@@ -187,9 +187,9 @@ def run(
     job_name: str = DEFAULT_JOB,
 ) -> dict:
     """The four stages in order; an exception stops the run."""
-    gate = raw_to_processed(lake, raw, as_of)
-    pending = lookup_to_master(lake, zone_lookup, vendors, ratecodes, as_of, job_name)
-    curated_paths = processed_to_curated(lake, as_of)
-    export = curated_to_warehouse(lake)
+    gate = publish_processed(lake, raw, as_of)
+    pending = build_masters(lake, zone_lookup, vendors, ratecodes, as_of, job_name)
+    curated_paths = build_curated(lake, as_of)
+    export = export_warehouse(lake)
     return {"gate": gate.decision, "processed_rows": gate.rows, "pending_review": pending,
             "curated": curated_paths, "export": export}

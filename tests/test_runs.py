@@ -34,7 +34,7 @@ def test_full_run_and_rerun(spark, small_dir):
     assert exported.count() == fact.count() and dict(exported.dtypes)["vendorid"] == "int"
 
     # second run of the master job: every key closed and reopened (version 2)
-    runs.lookup_to_master(lake, zone_lookup_rows(spark, small_dir), vendors, ratecode_dictionary(spark), AS_OF_2)
+    runs.build_masters(lake, zone_lookup_rows(spark, small_dir), vendors, ratecode_dictionary(spark), AS_OF_2)
     zones = lake.table("dim_zones").read()
     assert zones.filter("is_current_flag").agg(F.min("version"), F.max("version")).first() == (2, 2)
     assert zones.filter(~F.col("is_current_flag")).count() == zones.filter("is_current_flag").count()
@@ -43,7 +43,7 @@ def test_full_run_and_rerun(spark, small_dir):
 def test_steward_review_promotes_and_marks(spark, small_dir):
     lake = runs.Lakehouse(spark, scratch_path(spark, "lake"), prefix="t_stew")
     names = vendor_names(spark, small_dir)
-    pending = runs.lookup_to_master(
+    pending = runs.build_masters(
         lake, zone_lookup_rows(spark, small_dir), names, ratecode_dictionary(spark), AS_OF
     )
     assert pending > 0
@@ -52,13 +52,13 @@ def test_steward_review_promotes_and_marks(spark, small_dir):
         "status", F.when(F.col("confidence") >= 90, F.lit("APPROVED")).otherwise(F.col("status"))
     )
     queue.commit(decided, AS_OF)
-    promoted = runs.steward_review(lake, AS_OF_2)
+    promoted = runs.review_queue(lake, AS_OF_2)
     assert promoted > 0
     statuses = {r["status"] for r in queue.read().collect()}
     assert "APPROVED" not in statuses and "PROCESSED" in statuses
     dim = lake.table("dim_vendors").read()
     assert dim.filter(F.col("approved_by") == "STEWARD_APPROVED").count() == promoted
-    assert runs.steward_review(lake, AS_OF_2) == 0  # nothing approved twice
+    assert runs.review_queue(lake, AS_OF_2) == 0  # nothing approved twice
 
 
 def test_failed_gate_quarantines_and_stops(spark, small_dir):
@@ -67,7 +67,7 @@ def test_failed_gate_quarantines_and_stops(spark, small_dir):
     lake = runs.Lakehouse(spark, scratch_path(spark, "lake"), prefix="t_fail")
     strict = (Rule('ColumnValues "fare_amount" >= 1000000', "fare_amount", "min", 1000000),)
     with pytest.raises(runs.DataQualityError):
-        runs.raw_to_processed(lake, raw_trips(spark, small_dir), AS_OF, ruleset=strict)
+        runs.publish_processed(lake, raw_trips(spark, small_dir), AS_OF, ruleset=strict)
     q = spark.read.parquet(lake.quarantine_path)
     assert q.select("quarantine_run_id").distinct().first()[0] == "20260101_0000"
     assert q.count() == catalog.processed(spark, small_dir).count()
