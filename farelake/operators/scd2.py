@@ -40,22 +40,17 @@ def initial_load(batch: DataFrame) -> DataFrame:
 
 
 def require_unique_key(batch: DataFrame, key: str) -> DataFrame:
-    """Fail if a key is NULL or occurs twice in ``batch``; return ``batch``.
+    """Fail if a non-NULL key occurs twice in ``batch``; return ``batch``.
 
-    One partial + final aggregate (a hot key costs one row per map task) and
-    a single summary row to the driver, before anything is written.
+    A duplicated key would make the close step ambiguous. A NULL key matches
+    no target row (as in a MERGE), so such rows are simply appended as
+    version 1. One partial + final aggregate (a hot key costs one row per map
+    task) and a single summary row to the driver, before anything is written.
     """
-    per_key = batch.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    stats = per_key.agg(
-        F.coalesce(F.max("_n"), F.lit(0)).alias("max_rows"),
-        F.count_if(F.col("_n") > 1).alias("duplicate_keys"),
-        F.coalesce(F.sum(F.when(F.col(key).isNull(), F.col("_n"))), F.lit(0)).alias("null_keys"),
-    ).first()
-    if stats["null_keys"] or stats["duplicate_keys"]:
-        raise ValueError(
-            f"SCD2 batch key {key} is NULL or not unique: {stats['duplicate_keys']} duplicated keys, "
-            f"{stats['null_keys']} NULL keys"
-        )
+    per_key = batch.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    duplicates = per_key.agg(F.count_if(F.col("_n") > 1).alias("duplicate_keys")).first()["duplicate_keys"]
+    if duplicates:
+        raise ValueError(f"SCD2 batch key {key} is not unique: {duplicates} duplicated keys")
     return batch
 
 

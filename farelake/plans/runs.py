@@ -31,7 +31,7 @@ from farelake.config import DEFAULT_AS_OF, DEFAULT_JOB, MatchRules, TripRules
 from farelake.operators import curated, golden, matching, publish, quality, scd2, steward
 from farelake.operators.validate import processed_trips
 from farelake.functions.columns import run_id
-from farelake.sinks.snapshots import SnapshotTable, append, register_external
+from farelake.sinks.snapshots import SnapshotTable, append, materialize, register_external
 
 
 class DataQualityError(RuntimeError):
@@ -100,7 +100,12 @@ def publish_rule_results(lake: Lakehouse, outcome: quality.GateOutcome, as_of: s
 
 
 def upsert_dimension(table: SnapshotTable, batch: DataFrame, key: str, as_of: str) -> str:
-    """M1 on the first run, M2+M3 afterwards; one new snapshot either way."""
+    """M1 on the first run, M2+M3 afterwards; one new snapshot either way.
+
+    The batch is written once first (the key check and both branches of the
+    apply read files instead of recomputing it).
+    """
+    batch = materialize(batch, f"{table.name}-batch")
     if not table.exists():
         return table.commit(scd2.initial_load(batch), as_of)
     return table.commit(scd2.apply_batch(table.read(), batch, key), as_of)

@@ -90,3 +90,11 @@ def test_golden_zone_selection(spark):
     assert out[7]["borough"] == "Queens" and out[7]["zone"] == "Astoria"  # desc, NULLs last
     assert out[None]["zone"] == "Pad" and out[None]["service_zone"] == "EWR"  # non-numeric id → NULL, trimmed
     assert out[8]["approved_by"] == "SYSTEM_AUTO_APPROVED" and out[8]["is_current_flag"] is True
+
+
+def test_null_keys_are_appended_not_matched(spark):
+    target = scd2.initial_load(batch(spark, [(1, "a")], T1))
+    after = scd2.apply_batch(target, batch(spark, [(None, "x"), (None, "y"), (1, "b")], T2), "id")
+    rows = after.filter("id IS NULL").collect()
+    assert len(rows) == 2 and all(r["version"] == 1 and r["is_current_flag"] for r in rows)
+    assert after.filter("id = 1").count() == 2
