@@ -1,7 +1,8 @@
 """Benchmark of the headline queries.
 
 Runs each query at ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on
-``local[$BENCH_CPUS]`` (default 8): one warm-up, then the median of
+``local[$BENCH_CPUS]`` (default 8) with ``$BENCH_MEMORY`` driver heap
+(default 8g): one warm-up, then the median of
 ``$BENCH_RUNS`` (default 5) timed runs. A run executes the full plan into
 Spark's ``noop`` sink, so nothing is collected on the driver. Prints one JSON
 line; ``value`` is the sum of the per-query medians.
@@ -41,7 +42,13 @@ def main() -> None:
     from farelake.plans.catalog import queries
     from farelake.session import build_session
 
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus, app_name="farelake-bench")
+    memory = os.environ.get("BENCH_MEMORY", "8g")
+    spark = build_session(
+        f"local[{cpus}]",
+        shuffle_partitions=cpus,
+        app_name="farelake-bench",
+        extra={"spark.driver.memory": memory},
+    )
     registry = queries()
     timings: dict[str, float] = {}
     for name in names:
@@ -62,6 +69,7 @@ def main() -> None:
                 "queries": timings,
                 "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
                 "cpus": cpus,
+                "memory": memory,
                 "runs": runs,
             }
         )

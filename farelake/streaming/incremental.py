@@ -46,6 +46,7 @@ def process_landing(
     as_of: str = DEFAULT_AS_OF,
     rules: TripRules = TripRules(),
     max_files_per_trigger: int | None = 1000,
+    dq_results_path: str | None = None,
 ) -> LandingRun:
     """Process every file that landed since the last run, then stop."""
     run = LandingRun()
@@ -58,6 +59,13 @@ def process_landing(
         out = processed_trips(batch, as_of, rules).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             outcome = quality.evaluate_gate(out)
+            if dq_results_path and outcome.report:
+                rows = spark.createDataFrame(
+                    [tuple(r) + (outcome.decision,) for r in outcome.report],
+                    "Rule string, Outcome string, FailureReason string, failed_rows bigint, "
+                    "evaluated_rows bigint, decision string",
+                )
+                rows.write.mode("overwrite").parquet(f"{dq_results_path}/epoch={epoch_id}")
             if outcome.decision == "PUBLISH":
                 out.write.mode("overwrite").parquet(f"{processed_path}/epoch={epoch_id}")
             else:

@@ -83,6 +83,7 @@ def test_incremental_equals_full_refresh(spark, small_dir):
     args = dict(
         landing_path=f"{root}/landing", schema=raw.schema, processed_path=f"{root}/processed",
         quarantine_path=f"{root}/quarantine", checkpoint_path=f"{root}/checkpoint", as_of=AS_OF,
+        dq_results_path=f"{root}/dq_results",
     )
     raw.filter(older).write.parquet(f"{root}/landing/f1")
     first = process_landing(spark, **args)
@@ -95,3 +96,4 @@ def test_incremental_equals_full_refresh(spark, small_dir):
     full = catalog.processed(spark, small_dir)
     assert first.batches and total.count() == full.count() > n1
     assert total.exceptAll(full).count() == 0
+    assert spark.read.parquet(f"{root}/dq_results").select("epoch").distinct().count() == 2
