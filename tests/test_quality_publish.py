@@ -65,7 +65,7 @@ def test_publish_all_reports_skips(spark, tmp_path):
 
 def test_fact_layout_splits_hot_key(spark):
     df = spark.range(0, 2000).select(
-        F.lit(132).alias("pulocationid"), F.col("id").cast("timestamp").alias("tpep_pickup_datetime")
+        F.lit(132).alias("pulocationid"), (F.col("id") * 86400).cast("timestamp").alias("tpep_pickup_datetime")
     )
     contract = publish.TableContract("t", (), "curated", dist_key="pulocationid", sort_keys=("tpep_pickup_datetime",))
     laid = publish.lay_out(df, contract)
