@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelake.config import DEFAULT_AS_OF, DEFAULT_JOB
+from farelake.config import DEFAULT_AS_OF, DEFAULT_JOB, TripRules
 from farelake.functions.columns import normalize_flag
 from farelake.operators import curated, golden, matching, publish, quality, scd2, steward
 from farelake.operators.standardize import standardize_trips
@@ -61,7 +61,7 @@ def zones(spark: SparkSession, base: str) -> DataFrame:
 
 def fact(spark: SparkSession, base: str) -> DataFrame:
     # the zone dimension is computed once and written (it feeds a size check
-    # and two broadcast joins); the pipeline reads it from its snapshot table
+    # and two broadcast joins); the run flow reads it from its snapshot table
     zone_dim = materialize(scd2.current_rows(scd2.initial_load(zones(spark, base))), "zone-dim")
     return curated.trip_details(
         processed(spark, base),
@@ -115,7 +115,7 @@ def q_vendor_performance(spark: SparkSession, base: str) -> DataFrame:
 
 def q_flag_normalization(spark: SparkSession, base: str) -> DataFrame:
     """P5: raw flag value → normalized flag, with trip counts (one scan)."""
-    raw = raw_trips(spark, base).filter(F.col("VendorID").isin(1, 2, 6, 7))
+    raw = raw_trips(spark, base).filter(F.col("VendorID").isin(*TripRules().vendor_ids))
     return (
         raw.select(
             F.col("store_and_fwd_flag").alias("raw_flag"),
@@ -274,8 +274,9 @@ def q_raw_schema_evolution(spark: SparkSession, base: str) -> DataFrame:
 
 def q_quarantine_batch(spark: SparkSession, base: str) -> DataFrame:
     """K2: a batch that fails the gate (standardized, not validated) is
-    appended to the quarantine table under its run id."""
-    batch = standardized(spark, base)
+    appended to the quarantine table under its run id. The batch is staged
+    once; the gate and the quarantine write read the staged files."""
+    batch = materialize(standardized(spark, base), "gate-candidate")
     decision = quality.gate_decision(quality.dq_report(batch)).first()["decision"]
     if decision != "QUARANTINE":
         return quality.quarantine_rows(batch, AS_OF).filter(F.lit(False))
