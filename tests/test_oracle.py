@@ -37,6 +37,9 @@ def test_query_matches_oracle(spark, duck, name):
     cur = duck.execute(SQL[name])
     drows = cur.fetchall()
     dcols = [d[0] for d in cur.description]
+    plan = sdf._jdf.queryExecution().executedPlan().toString()
+    for forbidden in ("CartesianProduct", "NestedLoopJoin", "BatchEvalPython"):
+        assert forbidden not in plan, f"{name}: {forbidden} in plan"
     scols, smulti = canon(sdf.columns, srows)
     dcols, dmulti = canon(dcols, drows)
     assert scols == dcols
