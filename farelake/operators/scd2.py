@@ -16,12 +16,12 @@ The result is written as a new snapshot (see ``farelake.sinks``); readers of
 the old snapshot never see a key without a current row. Parquet tables have no
 row-level MERGE, so the close step is a left join plus ``when``.
 
-Scale: the target is read twice (max version per key, and the close join).
-The batch side of each join (batch keys, max version per key) is broadcast
-when its row count is proven small, so the target is not shuffled; beyond
-the bound both joins shuffle on the key only (AQE splits a skewed key). A
-key can have at most one batch row: checked by one aggregate before
-anything is written, so the job fails instead of fanning out.
+Scale: one aggregate over the batch proves its keys unique (a duplicate fails
+the apply before anything is written) and bounds its size. Below the bound
+the batch side of both joins is broadcast, so the target is read twice (close
+join; semi-join to the touched keys before the max-version aggregate) and
+never shuffled; beyond it both joins shuffle on the key only (AQE splits a
+skewed key).
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from farelake.constants import AUDIT_COLUMNS
 from farelake.functions.columns import all_of, ts_literal_like
-from farelake.operators.joins import broadcast_if_small
+from farelake.operators.joins import BROADCAST_ROW_LIMIT, broadcast_if_small
 
 
 def initial_load(batch: DataFrame) -> DataFrame:
@@ -39,18 +39,27 @@ def initial_load(batch: DataFrame) -> DataFrame:
     return batch.withColumn("version", F.lit(1))
 
 
-def require_unique_key(batch: DataFrame, key: str) -> DataFrame:
-    """Fail if a non-NULL key occurs twice in ``batch``; return ``batch``.
+def unique_key_count(batch: DataFrame, key: str) -> int:
+    """Number of batch rows, failing if a non-NULL key occurs twice.
 
     A duplicated key would make the close step ambiguous. A NULL key matches
     no target row (as in a MERGE), so such rows are simply appended as
     version 1. One partial + final aggregate (a hot key costs one row per map
     task) and a single summary row to the driver, before anything is written.
     """
-    per_key = batch.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    duplicates = per_key.agg(F.count_if(F.col("_n") > 1).alias("duplicate_keys")).first()["duplicate_keys"]
-    if duplicates:
-        raise ValueError(f"SCD2 batch key {key} is not unique: {duplicates} duplicated keys")
+    per_key = batch.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    stats = per_key.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
+        F.count_if(F.col(key).isNotNull() & (F.col("_n") > 1)).alias("duplicate_keys"),
+    ).first()
+    if stats["duplicate_keys"]:
+        raise ValueError(f"SCD2 batch key {key} is not unique: {stats['duplicate_keys']} duplicated keys")
+    return int(stats["rows"])
+
+
+def require_unique_key(batch: DataFrame, key: str) -> DataFrame:
+    """``batch`` unchanged, after ``unique_key_count`` found no duplicate."""
+    unique_key_count(batch, key)
     return batch
 
 
@@ -65,24 +74,35 @@ def changed_rows(batch: DataFrame, target: DataFrame, key: str, tracked: list[st
     return joined.filter(keep).select(*batch.columns)
 
 
-def versioned_batch(batch: DataFrame, target: DataFrame, key: str) -> DataFrame:
+def _maybe_broadcast(df: DataFrame, small: bool | None) -> DataFrame:
+    if small is None:
+        return broadcast_if_small(df)
+    return F.broadcast(df) if small else df
+
+
+def versioned_batch(batch: DataFrame, target: DataFrame, key: str, small: bool | None = None) -> DataFrame:
     """J4 + A4: batch rows with ``version`` = max current version + 1, else 1.
 
-    ``USING`` join, so the key becomes the first column.
+    Only the target rows of keys in the batch are aggregated: a semi-join
+    with the (size-checked, broadcast) batch keys, so a large target is
+    filtered where it is read instead of being shuffled. ``small`` is the
+    caller's size decision for the batch (``None``: check here). ``USING``
+    join, so the key becomes the first column.
     """
-    max_v = (
-        target.filter(F.col("is_current_flag"))
-        .groupBy(key)
-        .agg(F.max("version").alias("_max_v"))
-    )
+    keys = batch.select(key).filter(F.col(key).isNotNull())
+    keys = _maybe_broadcast(keys, small)
+    touched = target.filter(F.col("is_current_flag")).join(keys, key, "left_semi")
+    max_v = touched.groupBy(key).agg(F.max("version").alias("_max_v"))
+    if small is None or small:
+        max_v = F.broadcast(max_v)  # at most one row per batch key
     return (
-        batch.join(broadcast_if_small(max_v), key, "left")
+        batch.join(max_v, key, "left")
         .withColumn("version", F.coalesce(F.col("_max_v") + 1, F.lit(1)))
         .drop("_max_v")
     )
 
 
-def close_current(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
+def close_current(target: DataFrame, batch: DataFrame, key: str, small: bool | None = None) -> DataFrame:
     """Close the current target row of every key in ``batch``."""
     closing = batch.select(
         key,
@@ -90,7 +110,7 @@ def close_current(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
         F.col("updated_by").alias("_close_by"),
         F.lit(True).alias("_hit"),
     )
-    joined = target.join(broadcast_if_small(closing), key, "left")
+    joined = target.join(_maybe_broadcast(closing, small), key, "left")
     hit = F.coalesce(F.col("_hit"), F.lit(False)) & F.col("is_current_flag")
     replaced = {
         "is_current_flag": F.when(hit, F.lit(False)).otherwise(F.col("is_current_flag")),
@@ -113,15 +133,16 @@ def apply_batch(
     ``version``. By default every key in the batch is closed and reopened
     (no change detection). With ``change_only=True`` only new keys and keys
     whose ``tracked`` columns differ null-safely from the current row are
-    versioned.
+    versioned. One aggregate over the batch both proves its keys unique and
+    decides whether its side of the two joins is broadcast.
     """
-    batch = require_unique_key(batch, key)
+    small = unique_key_count(batch, key) <= BROADCAST_ROW_LIMIT
     if change_only:
         if tracked is None:
             tracked = [c for c in batch.columns if c != key and c not in AUDIT_COLUMNS]
         batch = changed_rows(batch, target, key, tracked)
-    closed = close_current(target, batch, key)
-    new_rows = versioned_batch(batch, target, key).select(*target.columns)
+    closed = close_current(target, batch, key, small)
+    new_rows = versioned_batch(batch, target, key, small).select(*target.columns)
     return closed.unionByName(new_rows)
 
 
