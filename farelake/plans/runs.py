@@ -102,12 +102,13 @@ def publish_rule_results(lake: Lakehouse, outcome: quality.GateOutcome, as_of: s
 def upsert_dimension(table: SnapshotTable, batch: DataFrame, key: str, as_of: str) -> str:
     """M1 on the first run, M2+M3 afterwards; one new snapshot either way.
 
-    The batch is written once first (the key check and both branches of the
-    apply read files instead of recomputing it).
+    For an apply, the batch is written once first (the key check and both
+    branches of the apply read files instead of recomputing it); an initial
+    load writes it only once, as the snapshot itself.
     """
-    batch = materialize(batch, f"{table.name}-batch")
     if not table.exists():
         return table.commit(scd2.initial_load(batch), as_of)
+    batch = materialize(batch, f"{table.name}-batch")
     return table.commit(scd2.apply_batch(table.read(), batch, key), as_of)
 
 
