@@ -178,17 +178,24 @@ def lay_out(df: DataFrame, contract: TableContract) -> DataFrame:
     return df
 
 
-def publish(df: DataFrame, contract: TableContract, path: str) -> None:
-    """K6: conform, lay out and write one table as Parquet."""
-    mode = "overwrite" if contract.replace else "append"
+def publish(df: DataFrame, contract: TableContract, path: str, mode: str | None = None) -> None:
+    """K6 + K7: conform, lay out and write one table as Parquet.
+
+    ``mode`` is ``overwrite`` (default, re-publishing replaces) or ``append``
+    (re-publishing adds rows, as a create-if-missing + load would).
+    """
+    mode = mode or ("overwrite" if contract.replace else "append")
     lay_out(conform(df, contract), contract).write.mode(mode).parquet(path)
 
 
-def publish_all(tables: dict[str, DataFrame], root: str) -> list[tuple[str, str, str]]:
+def publish_all(
+    tables: dict[str, DataFrame], root: str, modes: dict[str, str] | None = None
+) -> list[tuple[str, str, str]]:
     """K4 + K6 over all contracts in order; returns ``(table, status, detail)``.
 
-    A table that is missing or fails is reported as skipped and the export
-    continues with the next table (the failure is returned, not swallowed).
+    ``modes`` optionally sets ``overwrite``/``append`` per table (K7). A table
+    that is missing or fails is reported as skipped and the export continues
+    with the next table (the failure is returned, not swallowed).
     """
     report = []
     for contract in CONTRACTS:
@@ -198,7 +205,7 @@ def publish_all(tables: dict[str, DataFrame], root: str) -> list[tuple[str, str,
             continue
         path = f"{root.rstrip('/')}/{contract.name}"
         try:
-            publish(df, contract, path)
+            publish(df, contract, path, (modes or {}).get(contract.name))
             report.append((contract.name, "PUBLISHED", path))
         except Exception as exc:  # noqa: BLE001 - reported to the caller
             report.append((contract.name, "SKIPPED", f"{type(exc).__name__}: {str(exc)[:500]}"))

@@ -76,3 +76,13 @@ def test_fact_layout_splits_hot_key(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert len(sizes) > 1  # one hot zone still spreads over several partitions
+
+
+def test_publish_modes_overwrite_or_append(spark, tmp_path):
+    df = spark.createDataFrame([("Helix", 3, 0.01)], "vendor_name string, total_trips long, revenue_in_M double")
+    root = str(tmp_path / "wh")
+    for _ in range(2):
+        publish.publish_all({"vendor_performance": df, "location_performance": None}, root)
+    assert spark.read.parquet(f"{root}/vendor_performance").count() == 1
+    publish.publish_all({"vendor_performance": df}, root, modes={"vendor_performance": "append"})
+    assert spark.read.parquet(f"{root}/vendor_performance").count() == 2
