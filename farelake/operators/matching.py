@@ -25,7 +25,9 @@ pairs (no cross join, no per-group all-pairs):
      such keys share two elements inside their first
      ``|key| - ceil(c·|key|) + 2`` elements, so every pair of prefix
      elements is a join signature (keys too short for an overlap of two use
-     single elements; they are few and only meet each other).
+     single elements; they are few and only meet each other; keys longer
+     than ``SIG_MAX_LEN`` also use single elements, so no key emits more
+     join rows than linear in its length).
    * ``ratio(i, x) >= t`` ⇔ ``|i| >= c·|x|``: the shared tokens carry at
      least ``c·|x| + 1`` of key A's token weight (weight = length + 1).
      Token prefix filtering: A keeps its rarest-first tokens until the rest
@@ -60,6 +62,10 @@ from farelake.sinks.snapshots import materialize
 
 
 SIG_SEP = "\x1e"
+# Keys up to this length use 2-element signatures (at most C(p, 2) per key);
+# longer keys use single prefix elements, so no key ever emits more than a
+# linear number of join rows in its length.
+SIG_MAX_LEN = 64
 
 
 def _thresholds(min_score: float) -> tuple[float, float]:
@@ -138,12 +144,36 @@ def char_signatures(keys: DataFrame, c: float) -> DataFrame:
         )
     )
     return (
-        per_key.filter(n >= 2)
+        per_key.filter((n >= 2) & (n <= SIG_MAX_LEN))
         .select("key", n.alias("len"), F.explode(sigs).alias("x"))
         .select("key", "len", "x.sig", "x.pos")
     )
 
 
+def long_key_pairs(keys: DataFrame, t: float, c: float) -> DataFrame:
+    """Pairs with at least one key longer than ``SIG_MAX_LEN``: single-element
+    Dice prefixes (``|x| - ceil(c·|x|) + 1`` rarest elements, the k = 1
+    lemma) with the positional bound ``1 + min(rest of A, rest of B)``. Only
+    keys of length ≥ ``c·SIG_MAX_LEN`` can pair with such a key."""
+    chars = keys.filter(F.length("key") >= int(c * SIG_MAX_LEN)).select("key", F.explode("chars").alias("ch"))
+    per_key = _rarest_first(chars, "ch", F.lit(1))
+    n = F.length("key")
+    p = (n - F.ceil(F.lit(c) * n) + 1).cast("int")
+    placed = F.transform(F.slice("els", 1, p), lambda x, i: F.struct(x["e"].alias("e"), i.alias("pos")))
+    cp = per_key.select("key", n.alias("len"), F.explode(placed).alias("x")).select("key", "len", "x.e", "x.pos")
+    left = cp.select(F.col("key").alias("ka"), F.col("len").alias("la"), "e", F.col("pos").alias("pa"))
+    right = cp.select(F.col("key").alias("kb"), F.col("len").alias("lb"), "e", F.col("pos").alias("pb"))
+    bound = F.least(F.col("la") - F.col("pa"), F.col("lb") - F.col("pb"))
+    return (
+        left.join(right, "e")
+        .filter(F.col("ka") < F.col("kb"))
+        .filter(F.greatest("la", "lb") > SIG_MAX_LEN)
+        .filter(F.least("la", "lb") >= F.lit(c) * F.greatest("la", "lb"))
+        .filter(bound >= F.lit(t) * (F.col("la") + F.col("lb")) / 2)
+        .select("ka", "kb")
+    )
+
+
 def short_key_pairs(keys: DataFrame, t: float, c: float) -> DataFrame:
     """Pairs the 2-signature lemma does not cover: both keys so short that
     an overlap of one element could already be enough (``|x| <= 1/c``).
@@ -202,7 +232,12 @@ def candidate_key_pairs(keys: DataFrame, min_score: float) -> DataFrame:
         .filter(overlap_bound >= F.lit(t) * (F.col("la") + F.col("lb")) / 2)
         .select("ka", "kb")
     )
-    return by_token.unionByName(by_chars).unionByName(short_key_pairs(keys, t, c)).distinct()
+    return (
+        by_token.unionByName(by_chars)
+        .unionByName(short_key_pairs(keys, t, c))
+        .unionByName(long_key_pairs(keys, t, c))
+        .distinct()
+    )
 
 
 def match_vendors(

@@ -118,3 +118,31 @@ def test_similarity_join_is_exact_on_short_random_strings(spark):
             for r in matching.match_vendors(df, min_score=min_score).collect()
         }
         assert got == _brute(kept, min_score), min_score
+
+
+def test_similarity_join_is_exact_with_long_names(spark):
+    from farelake.functions.fuzzy import profile
+
+    rnd = random.Random(11)
+    base = ["".join(rnd.choice("abcdefgh ") for _ in range(rnd.randint(40, 90))) for _ in range(12)]
+    raw = []
+    for b in base:
+        raw.append(b)
+        for _ in range(4):  # near copies: a few random edits
+            chars = list(b)
+            for _ in range(rnd.randint(1, 8)):
+                chars[rnd.randrange(len(chars))] = rnd.choice("abcdefgh ")
+            raw.append("".join(chars))
+    seen, kept = set(), []
+    for n in raw:
+        key = profile(n)[0]
+        if key and key not in seen:
+            seen.add(key)
+            kept.append(n)
+    df = spark.createDataFrame(list(enumerate(kept)), "vendorid bigint, vendor_name string")
+    for min_score in (60.0, 80.0):
+        got = {
+            (r["source_vendorid"], r["matched_vendorid"], r["confidence"])
+            for r in matching.match_vendors(df, min_score=min_score).collect()
+        }
+        assert got == _brute(kept, min_score), min_score
