@@ -56,7 +56,6 @@ from pyspark.sql import functions as F
 from farelake.config import MatchRules
 from farelake.constants import MANUAL_RESOLUTION, STEWARD_REVIEW, SYSTEM_AUTO_APPROVED
 from farelake.functions.fuzzy import fuzzy_confidence, name_profile
-from farelake.operators.joins import broadcast_if_small
 from farelake.session import ship_package
 from farelake.sinks.snapshots import materialize
 
@@ -86,9 +85,14 @@ def vendor_profiles(vendors: DataFrame, id_col: str, name_col: str) -> DataFrame
 
 
 def _with_frequency(exploded: DataFrame, element: str) -> DataFrame:
-    """Attach the global document frequency of each element."""
+    """Attach the global document frequency of each element.
+
+    The frequency table is the output of an aggregation stage, so AQE sees its
+    measured size before planning the join and broadcasts it only when it is
+    small; otherwise both sides shuffle on the element (skewed elements are
+    split by AQE)."""
     freq = exploded.groupBy(element).agg(F.count(F.lit(1)).alias("df"))
-    return exploded.join(broadcast_if_small(freq), element, "inner")
+    return exploded.join(freq, element, "inner")
 
 
 def _rarest_first(exploded: DataFrame, element: str, weight) -> DataFrame:
@@ -115,7 +119,16 @@ def token_positions(keys: DataFrame) -> DataFrame:
     )
 
 
-def char_signatures(keys: DataFrame, c: float) -> DataFrame:
+def char_ranks(keys: DataFrame) -> DataFrame:
+    """``key, els``: each key's indexed characters, globally rarest-first.
+
+    Computed once and shared by the signature and the long-key paths (any
+    fixed global order keeps prefix filtering exact)."""
+    chars = keys.select("key", F.explode("chars").alias("ch"))
+    return _rarest_first(chars, "ch", F.lit(1))
+
+
+def char_signatures(per_key: DataFrame, c: float) -> DataFrame:
     """``key, len, sig, pos`` — 2-element signatures of each key's Dice prefix.
 
     k-prefix lemma: if two keys share at least α elements, their prefixes of
@@ -127,8 +140,6 @@ def char_signatures(keys: DataFrame, c: float) -> DataFrame:
     A single very common character therefore never forms a join group on its
     own. ``pos`` is the position of the signature's later element.
     """
-    chars = keys.select("key", F.explode("chars").alias("ch"))
-    per_key = _rarest_first(chars, "ch", F.lit(1))
     n = F.length("key")
     p = F.least(n - F.ceil(F.lit(c) * n) + 2, n).cast("int")
     pre = F.slice("els", 1, p)
@@ -150,13 +161,12 @@ def char_signatures(keys: DataFrame, c: float) -> DataFrame:
     )
 
 
-def long_key_pairs(keys: DataFrame, t: float, c: float) -> DataFrame:
+def long_key_pairs(per_key: DataFrame, t: float, c: float) -> DataFrame:
     """Pairs with at least one key longer than ``SIG_MAX_LEN``: single-element
     Dice prefixes (``|x| - ceil(c·|x|) + 1`` rarest elements, the k = 1
     lemma) with the positional bound ``1 + min(rest of A, rest of B)``. Only
     keys of length ≥ ``c·SIG_MAX_LEN`` can pair with such a key."""
-    chars = keys.filter(F.length("key") >= int(c * SIG_MAX_LEN)).select("key", F.explode("chars").alias("ch"))
-    per_key = _rarest_first(chars, "ch", F.lit(1))
+    per_key = per_key.filter(F.length("key") >= int(c * SIG_MAX_LEN))
     n = F.length("key")
     p = (n - F.ceil(F.lit(c) * n) + 1).cast("int")
     placed = F.transform(F.slice("els", 1, p), lambda x, i: F.struct(x["e"].alias("e"), i.alias("pos")))
@@ -221,7 +231,8 @@ def candidate_key_pairs(keys: DataFrame, min_score: float) -> DataFrame:
         .filter((F.col("ka") != F.col("kb")) & (F.col("swb") >= need))
         .select(F.least("ka", "kb").alias("ka"), F.greatest("ka", "kb").alias("kb"))
     )
-    cs = char_signatures(keys, c)
+    ranked = char_ranks(keys)
+    cs = char_signatures(ranked, c)
     left = cs.select(F.col("key").alias("ka"), F.col("len").alias("la"), "sig", F.col("pos").alias("pa"))
     right = cs.select(F.col("key").alias("kb"), F.col("len").alias("lb"), "sig", F.col("pos").alias("pb"))
     overlap_bound = F.least(F.col("la") - F.col("pa"), F.col("lb") - F.col("pb")) + 1
@@ -232,12 +243,14 @@ def candidate_key_pairs(keys: DataFrame, min_score: float) -> DataFrame:
         .filter(overlap_bound >= F.lit(t) * (F.col("la") + F.col("lb")) / 2)
         .select("ka", "kb")
     )
-    return (
-        by_token.unionByName(by_chars)
-        .unionByName(short_key_pairs(keys, t, c))
-        .unionByName(long_key_pairs(keys, t, c))
-        .distinct()
-    )
+    out = by_token.unionByName(by_chars)
+    # plan the short- and long-key branches only when some key needs them
+    lengths = keys.agg(F.min(F.length("key")).alias("lo"), F.max(F.length("key")).alias("hi")).first()
+    if lengths["lo"] is not None and lengths["lo"] <= int(1.0 / c):
+        out = out.unionByName(short_key_pairs(keys, t, c))
+    if lengths["hi"] is not None and lengths["hi"] > SIG_MAX_LEN:
+        out = out.unionByName(long_key_pairs(ranked, t, c))
+    return out.distinct()
 
 
 def match_vendors(
