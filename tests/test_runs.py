@@ -30,6 +30,17 @@ def test_full_run_and_rerun(spark, small_dir):
     assert fact.count() == processed.count() == catalog.processed(spark, small_dir).count()
     for mart, col in [("daily_metrics", "total_trips"), ("vendor_performance", "total_trips"), ("location_performance", "pickup_count")]:
         assert lake.table(mart).read().agg(F.sum(col)).first()[0] == fact.count()
+    from farelake.operators import curated
+
+    one_mart = {
+        "daily_metrics": curated.daily_metrics(fact),
+        "location_performance": curated.location_performance(fact, ordered=False),
+        "vendor_performance": curated.vendor_performance(fact),
+    }
+    for name, expected in one_mart.items():
+        got = lake.table(name).read()
+        assert got.columns == expected.columns
+        assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0, name
     exported = spark.read.parquet(f"{lake.export_path}/trip_details")
     assert exported.count() == fact.count() and dict(exported.dtypes)["vendorid"] == "int"
 
