@@ -44,6 +44,7 @@ def cluster_conf(
         "spark.sql.autoBroadcastJoinThreshold": broadcast_bytes,
         "spark.sql.parquet.compression.codec": "zstd",
         "spark.sql.session.timeZone": "UTC",
+        "spark.cleaner.periodicGC.interval": "5min",
     }
 
 
@@ -71,6 +72,9 @@ def build_session(
         .config("spark.sql.parquet.compression.codec", "zstd")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # long-running drivers: let the context cleaner release broadcast
+        # blocks and shuffle files of finished queries promptly
+        .config("spark.cleaner.periodicGC.interval", "1min")
     )
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
