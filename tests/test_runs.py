@@ -108,3 +108,17 @@ def test_incremental_equals_full_refresh(spark, small_dir):
     assert first.batches and total.count() == full.count() > n1
     assert total.exceptAll(full).count() == 0
     assert spark.read.parquet(f"{root}/dq_results").select("epoch").distinct().count() == 2
+
+
+def test_snapshot_swap_keeps_previous_version(spark):
+    from farelake.sinks.snapshots import SnapshotTable
+
+    table = SnapshotTable(spark, "t_snap", scratch_path(spark, "snap"))
+    first = table.commit(spark.range(3).toDF("x"), AS_OF)
+    assert table.read().count() == 3 and table.location().rstrip("/").endswith(first.split("/")[-1])
+    # the next snapshot is computed from the current one (read while writing elsewhere)
+    second = table.commit(table.read().union(spark.range(10, 12).toDF("x")), AS_OF_2)
+    assert first != second and table.read().count() == 5
+    assert spark.read.parquet(first).count() == 3  # previous snapshot kept for rollback
+    table.adopt(first)
+    assert table.read().count() == 3
