@@ -2,14 +2,32 @@
 
 from __future__ import annotations
 
-from farelake.llm import licenses, secrets, sharding
+from farelake.llm import (
+    licenses,
+    metric_join,
+    mixing,
+    pieces,
+    quality,
+    secrets,
+    sharding,
+    simhash,
+    spotsigs,
+    templates,
+)
 
 
 def queries() -> dict:
     """Query name → ``(spark, sf_dir) -> DataFrame``."""
     return {
+        "op1_spotsigs": spotsigs.query,
+        "op2_log_templates": templates.query,
+        "op3_metric_range_join": metric_join.query,
         "op4_license_scan": licenses.query,
+        "op5_quality_bayes": quality.query,
         "op6_rendezvous_sharding": sharding.query,
+        "op7_mixture_blocks": mixing.query,
+        "op8_simhash_tiles": simhash.query,
+        "op9_piece_codec": pieces.query,
         "op10_secret_scan": secrets.query,
     }
 
