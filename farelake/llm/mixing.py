@@ -152,7 +152,8 @@ def permuted(index: np.ndarray, size: np.ndarray, key: np.ndarray) -> np.ndarray
         h, m, k = half[todo], mask[todo], key[todo]
         left, right = out[todo] >> h, out[todo] & m
         for r in range(ROUNDS):
-            mixed = (right ^ k) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(r + 1) * np.uint64(0xBF58476D1CE4E5B9)
+            salt = np.uint64((r + 1) * 0xBF58476D1CE4E5B9 % (1 << 64))
+            mixed = (right ^ k) * np.uint64(0x9E3779B97F4A7C15) + salt
             mixed ^= mixed >> np.uint64(29)
             mixed *= np.uint64(0x94D049BB133111EB)
             mixed ^= mixed >> np.uint64(32)
