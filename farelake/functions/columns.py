@@ -35,6 +35,25 @@ def to_int(column: Column) -> Column:
     return column.try_cast(T.IntegerType())
 
 
+def numeric(df: DataFrame, name: str) -> Column:
+    """A column as a number: strings are parsed (NULL when malformed), numbers stay."""
+    column = F.col(name)
+    return column.try_cast("double") if isinstance(df.schema[name].dataType, T.StringType) else column
+
+
+def defaulted(df: DataFrame, name: str, default: int, target: str | None = None) -> Column:
+    """``default`` for NULL, else the value as a number (cast to ``target``).
+
+    A malformed string or an overflow gives NULL: it is not a missing value,
+    so it does not become the default.
+    """
+    value = numeric(df, name)
+    if target is None and not isinstance(df.schema[name].dataType, T.StringType):
+        return F.coalesce(value, F.lit(default))
+    value = value.try_cast(target) if target else value
+    return F.when(F.col(name).isNull(), F.lit(default)).otherwise(value)
+
+
 def normalize_flag(column: Column) -> Column:
     """``TRIM(UPPER(x))``: 'Y' → 'Y', 'N' → 'N', anything else or NULL → 'U'."""
     cleaned = F.trim(F.upper(column))

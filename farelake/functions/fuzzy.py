@@ -15,9 +15,10 @@ Definition (the public token-set ratio with full processing):
 costs 1, a substitution 2), so Spark's ``levenshtein`` is *not* this number.
 LCS uses the bit-parallel recurrence (one big-int step per character).
 
-The per-row work here is a small helper; batching is Arrow (``pandas_udf``),
-and the pairs it sees are produced by a Spark similarity join
-(``farelake.operators.matching``), never by a cross product.
+The plain functions define the score. On columns, tokenizing, set operations
+and the ratios are built-in functions; only the LCS of two prepared strings is
+an Arrow ``pandas_udf``, over pairs that a Spark similarity join produced
+(``farelake.operators.matching``), never over a cross product.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from __future__ import annotations
 import re
 
 import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -104,31 +106,55 @@ def profile(value: str | None) -> tuple[str, list[str], list[str]]:
     return key, tokens, chars
 
 
-PROFILE_TYPE = T.StructType(
-    [
-        T.StructField("key", T.StringType()),
-        T.StructField("tokens", T.ArrayType(T.StringType())),
-        T.StructField("chars", T.ArrayType(T.StringType())),
-    ]
-)
+def key_column(name: Column) -> Column:
+    """Canonical key of a name (``profile``'s first part) from built-in functions."""
+    kept = F.lower(F.regexp_replace(F.regexp_replace(name, "[\\u0080-\\u00FF]", ""), r"[^\p{L}\p{N}_]", " "))
+    tokens = F.array_remove(F.split(kept, " +", -1), "")
+    return F.coalesce(F.array_join(F.array_sort(F.array_distinct(tokens)), " "), F.lit(""))
 
 
-@F.pandas_udf(PROFILE_TYPE)
-def _name_profile(names: pd.Series) -> pd.DataFrame:
-    rows = [profile(n) for n in names]
-    return pd.DataFrame(rows, columns=["key", "tokens", "chars"])
+def indexed_chars(key: Column) -> Column:
+    """``c␟k`` for the k-th occurrence of each character ``c`` of a key."""
+    def numbered(c: Column, i: Column) -> Column:
+        prefix = F.substring(key, F.lit(1), i + 1)
+        seen = F.char_length(prefix) - F.char_length(F.replace(prefix, c))
+        return F.concat(c, F.lit(ELEMENT_SEP), seen.cast("string"))
 
+    return F.transform(F.filter(F.split(key, "", -1), lambda c: c != ""), numbered)
 
-# One Python call per name even though three struct fields and a filter use it.
-name_profile = _name_profile.asNondeterministic()
 
+@F.pandas_udf(T.LongType())
+def _lcs(left: pd.Series, right: pd.Series) -> pd.Series:
+    return pd.Series([lcs_length(a, b) for a, b in zip(left, right, strict=True)], dtype="int64")
 
-@F.pandas_udf(T.DoubleType())
-def _fuzzy_confidence(left: pd.Series, right: pd.Series) -> pd.Series:
-    return pd.Series([confidence(a, b) for a, b in zip(left, right)], dtype="float64")
 
+# Marked non-deterministic only so that the optimizer never repeats the Python
+# call when a filter on the score is pushed through the projection.
+lcs_column = _lcs.asNondeterministic()
 
-# Arrow-batched G1 over two name columns. Marked non-deterministic only so
-# that the optimizer never duplicates the Python call when a filter on the
-# score is pushed through the projection (one evaluation per pair).
-fuzzy_confidence = _fuzzy_confidence.asNondeterministic()
+
+def _percent(common: Column, u: Column, v: Column) -> Column:
+    total = F.char_length(u) + F.char_length(v)
+    return F.bround(F.lit(100.0) * (F.lit(2) * common / total), 0)
+
+
+def add_confidence(pairs: DataFrame, left: str, right: str) -> DataFrame:
+    """``pairs`` with ``confidence`` (0..100) of two canonical keys.
+
+    The shared tokens are a prefix of either full string, so their two ratios
+    need lengths only; Python computes one LCS per pair, on prepared strings.
+    """
+    a, b = F.split(left, " "), F.split(right, " ")
+    shared = F.array_intersect(a, b)
+    rest = lambda t: F.filter(t, lambda w: ~F.array_contains(shared, w))
+    text = pairs.withColumns(
+        {
+            "__i": F.array_join(shared, " "),
+            "__x": F.array_join(F.concat(shared, rest(a)), " "),
+            "__y": F.array_join(F.concat(shared, rest(b)), " "),
+        }
+    ).withColumn("__lcs", lcs_column("__x", "__y"))
+    i, x, y = F.col("__i"), F.col("__x"), F.col("__y")
+    prefix = lambda s: F.when(i == "", F.lit(0.0)).otherwise(_percent(F.char_length(i), i, s))
+    score = F.greatest(prefix(x), prefix(y), _percent(F.col("__lcs"), x, y))
+    return text.withColumn("confidence", score.cast("double")).drop("__i", "__x", "__y", "__lcs")

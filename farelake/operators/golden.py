@@ -8,14 +8,13 @@ key and map task crosses the network, however many duplicates a key has.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from farelake.config import DEFAULT_AS_OF, DEFAULT_JOB
 from farelake.constants import SYSTEM_AUTO_APPROVED
 from farelake.functions.columns import to_int, ts_literal
-from farelake.sources.lookups import ratecode_dictionary, vendor_dictionary
 
 
 def audit_block(
@@ -67,28 +66,14 @@ def golden_zones(
 
 
 def golden_vendors(
-    spark: SparkSession, as_of: str = DEFAULT_AS_OF, job_name: str = DEFAULT_JOB
+    vendors: DataFrame, as_of: str = DEFAULT_AS_OF, job_name: str = DEFAULT_JOB
 ) -> DataFrame:
-    """Vendor dictionary + audit block."""
-    return vendor_dictionary(spark).select("vendorid", "vendor_name", *audit_block(as_of, job_name))
+    """Every row of the vendor master ``(vendorid, vendor_name)`` + audit block."""
+    return vendors.select("vendorid", "vendor_name", *audit_block(as_of, job_name))
 
 
 def golden_ratecodes(
-    spark: SparkSession, as_of: str = DEFAULT_AS_OF, job_name: str = DEFAULT_JOB
+    ratecodes: DataFrame, as_of: str = DEFAULT_AS_OF, job_name: str = DEFAULT_JOB
 ) -> DataFrame:
-    """Rate-code dictionary + audit block."""
-    return ratecode_dictionary(spark).select(
-        "ratecodeid", "ratecode_desc", *audit_block(as_of, job_name)
-    )
-
-
-def observed_codes(
-    trips: DataFrame, code_column: str, dictionary: DataFrame, key: str
-) -> DataFrame:
-    """Dictionary rows for the codes that occur in ``trips``.
-
-    ``distinct`` is a partial + final hash aggregate: each map task ships at
-    most one row per code, so the shuffle is tiny however large ``trips`` is.
-    """
-    codes = trips.select(F.col(code_column).cast("bigint").alias(key)).distinct()
-    return dictionary.join(codes, key, "left_semi")
+    """Every row of the rate-code master ``(ratecodeid, ratecode_desc)`` + audit block."""
+    return ratecodes.select("ratecodeid", "ratecode_desc", *audit_block(as_of, job_name))

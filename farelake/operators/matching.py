@@ -40,7 +40,10 @@ pairs (no cross join, no per-group all-pairs):
    Measured on 1,600 deliberately uniform names (64 product names × 25
    brands, 6% of all pairs truly match): 352 k candidates for 1.28 M pairs,
    equal to brute force.
-3. **Verification** of each candidate with the exact score (Arrow UDF).
+3. **Verification** of each candidate with the exact score (one LCS per pair
+   in an Arrow UDF, the rest built-in functions).
+4. **Members.** ``resolve_members`` brings the matches of canonical vendors to
+   every member of their classes by equi-joins, one row per member and class.
 
 Shuffles: element frequency (partial aggregation), one regroup per key, the
 two candidate joins (AQE splits a skewed element partition), one distinct.
@@ -55,7 +58,7 @@ from pyspark.sql import functions as F
 
 from farelake.config import MatchRules
 from farelake.constants import MANUAL_RESOLUTION, STEWARD_REVIEW, SYSTEM_AUTO_APPROVED
-from farelake.functions.fuzzy import fuzzy_confidence, name_profile
+from farelake.functions.fuzzy import add_confidence, indexed_chars, key_column
 from farelake.session import ship_package
 from farelake.sinks.snapshots import materialize
 
@@ -74,12 +77,10 @@ def _thresholds(min_score: float) -> tuple[float, float]:
 
 
 def vendor_profiles(vendors: DataFrame, id_col: str, name_col: str) -> DataFrame:
-    """``id, name, key, tokens, chars`` for every vendor with a non-empty key."""
-    ship_package(vendors.sparkSession)
+    """``id, name, key`` for every vendor with a non-empty key."""
     return (
         vendors.select(F.col(id_col).alias("id"), F.col(name_col).alias("name"))
-        .withColumn("p", name_profile(F.col("name")))
-        .select("id", "name", "p.key", "p.tokens", "p.chars")
+        .withColumn("key", key_column(F.col("name")))
         .filter(F.length("key") > 0)
     )
 
@@ -244,12 +245,7 @@ def candidate_key_pairs(keys: DataFrame, min_score: float) -> DataFrame:
         .select("ka", "kb")
     )
     out = by_token.unionByName(by_chars)
-    # plan the short- and long-key branches only when some key needs them
-    lengths = keys.agg(F.min(F.length("key")).alias("lo"), F.max(F.length("key")).alias("hi")).first()
-    if lengths["lo"] is not None and lengths["lo"] <= int(1.0 / c):
-        out = out.unionByName(short_key_pairs(keys, t, c))
-    if lengths["hi"] is not None and lengths["hi"] > SIG_MAX_LEN:
-        out = out.unionByName(long_key_pairs(ranked, t, c))
+    out = out.unionByName(short_key_pairs(keys, t, c)).unionByName(long_key_pairs(ranked, t, c))
     return out.distinct()
 
 
@@ -260,27 +256,115 @@ def match_vendors(
     min_score: float = 80.0,
 ) -> DataFrame:
     """G1 over the similarity join: ``source_vendorid, source_vendor_name,
-    matched_vendorid, matched_vendor_name, confidence`` for every pair with
-    ``confidence >= min_score`` (source id < matched id)."""
+    matched_vendorid, matched_vendor_name, confidence`` for every pair of
+    canonical vendors with ``confidence >= min_score`` (source id < matched
+    id), and for every other member of a class against its canonical vendor.
+    ``vendor_classes`` has the members of every class."""
     ship_package(vendors.sparkSession)
-    prof = materialize(vendor_profiles(vendors, id_col, name_col), "vendor-profiles")
+    classes = materialize(vendor_classes(vendors, id_col, name_col), "vendor-classes")
+    return _match_classes(classes, min_score)
+
+
+def vendor_classes(vendors: DataFrame, id_col: str = "vendorid", name_col: str = "vendor_name") -> DataFrame:
+    """The linear membership table: every vendor with its class.
+
+    ``id, name, key, canon_id, canon_name, last_id, last_name``: vendors with
+    the same canonical key score the same against everyone; the class is named
+    by its smallest id, ``last_id`` is its largest. One aggregate (combined
+    map-side) and one equi-join on the key.
+    """
+    prof = vendor_profiles(vendors, id_col, name_col)
+    keys = prof.groupBy("key").agg(
+        F.min("id").alias("canon_id"),
+        F.min_by("name", "id").alias("canon_name"),
+        F.max("id").alias("last_id"),
+        F.max_by("name", "id").alias("last_name"),
+    )
+    return prof.join(materialize(keys, "vendor-keys"), "key")
+
+
+def resolve_members(matches: DataFrame, classes: DataFrame) -> DataFrame:
+    """Matches of canonical vendors → one row per member and similar class.
+
+    Every vendor that would be the smaller id of some pair with a member of
+    the other class is a source here, against one member of that class with a
+    larger id: the smallest if that is larger, else the largest. All pairs
+    between two classes are never built; the rows grow with the members. Rows
+    inside a class (score 100 by construction) stay as they are.
+    """
+    heads = classes.filter(F.col("id") == F.col("canon_id")).select(
+        F.col("id").alias("head"), "last_id", "last_name"
+    )
+    across = matches.join(
+        classes.filter(F.col("id") != F.col("canon_id")).select(F.col("id").alias("matched_vendorid"), F.lit(True).alias("inner")),
+        "matched_vendorid",
+        "left",
+    )
+    inside = across.filter(F.col("inner").isNotNull()).select(*matches.columns)
+    pairs = across.filter(F.col("inner").isNull())
+    one_way = pairs.select(
+        F.col("source_vendorid").alias("mine"),
+        F.col("matched_vendorid").alias("head"),
+        F.col("matched_vendor_name").alias("head_name"),
+        *[c for c in matches.columns if c not in MATCH_COLUMNS[:4]],
+    )
+    other_way = pairs.select(
+        F.col("matched_vendorid").alias("mine"),
+        F.col("source_vendorid").alias("head"),
+        F.col("source_vendor_name").alias("head_name"),
+        *[c for c in matches.columns if c not in MATCH_COLUMNS[:4]],
+    )
+    members = classes.select(F.col("canon_id").alias("mine"), "id", "name")
+    first = F.col("head") > F.col("id")
+    resolved = (
+        one_way.unionByName(other_way)
+        .join(heads, "head")
+        .join(members, "mine")
+        .filter(F.col("last_id") > F.col("id"))
+        .select(
+            F.col("id").alias("source_vendorid"),
+            F.col("name").alias("source_vendor_name"),
+            F.when(first, F.col("head")).otherwise(F.col("last_id")).alias("matched_vendorid"),
+            F.when(first, F.col("head_name")).otherwise(F.col("last_name")).alias("matched_vendor_name"),
+            *[c for c in matches.columns if c not in MATCH_COLUMNS[:4]],
+        )
+    )
+    return resolved.unionByName(inside)
+
+
+def match_members(
+    vendors: DataFrame,
+    id_col: str = "vendorid",
+    name_col: str = "vendor_name",
+    min_score: float = 80.0,
+) -> DataFrame:
+    """``match_vendors`` resolved to every member vendor, same columns."""
+    ship_package(vendors.sparkSession)
+    classes = materialize(vendor_classes(vendors, id_col, name_col), "vendor-classes")
+    matches = materialize(_match_classes(classes, min_score), "vendor-matches")
+    return resolve_members(matches, classes)
+
+
+MATCH_COLUMNS = ["source_vendorid", "source_vendor_name", "matched_vendorid", "matched_vendor_name", "confidence"]
+
+
+def _match_classes(classes: DataFrame, min_score: float) -> DataFrame:
+    canonical = classes.filter(F.col("id") == F.col("canon_id"))
     keys = materialize(
-        prof.groupBy("key").agg(
-            F.min("id").alias("canon_id"),
-            F.min_by("name", "id").alias("canon_name"),
-            F.first("tokens").alias("tokens"),
-            F.first("chars").alias("chars"),
-        ),
-        "vendor-keys",
+        canonical.select(
+            "key",
+            "canon_id",
+            "canon_name",
+            F.split("key", " ").alias("tokens"),
+            indexed_chars(F.col("key")).alias("chars"),
+        ).dropDuplicates(["key"]),
+        "vendor-canonical",
     )
     pairs = candidate_key_pairs(keys.select("key", "tokens", "chars"), min_score)
     a = keys.select(F.col("key").alias("ka"), F.col("canon_id").alias("ida"), F.col("canon_name").alias("na"))
     b = keys.select(F.col("key").alias("kb"), F.col("canon_id").alias("idb"), F.col("canon_name").alias("nb"))
-    scored = (
-        pairs.join(a, "ka")
-        .join(b, "kb")
-        .withColumn("confidence", fuzzy_confidence(F.col("na"), F.col("nb")))
-        .filter(F.col("confidence") >= min_score)
+    scored = add_confidence(pairs.join(a, "ka").join(b, "kb"), "ka", "kb").filter(
+        F.col("confidence") >= min_score
     )
     swap = F.col("ida") > F.col("idb")
     across = scored.select(
@@ -291,8 +375,7 @@ def match_vendors(
         "confidence",
     )
     members = (
-        prof.join(keys.select("key", "canon_id", "canon_name"), "key")
-        .filter(F.col("id") != F.col("canon_id"))
+        classes.filter(F.col("id") != F.col("canon_id"))
         .select(
             F.col("canon_id").alias("source_vendorid"),
             F.col("canon_name").alias("source_vendor_name"),

@@ -10,12 +10,13 @@ Parquet (zstd).
 
 Layout at scale:
 
-* ``DISTSTYLE KEY`` (the fact): hash-partition on ``(dist key, day of the
-  first sort key)`` and sort within partitions by ``(dist key, sort key)``.
-  A hot distribution key (one pickup zone with a third of all trips) is
-  spread over as many tasks as it has days instead of landing in one, no
-  sampling pass is needed (range partitioning would read the fact twice),
-  and each file is ordered by zone and pickup time.
+* ``DISTSTYLE KEY`` (the fact): rebalance on ``(dist key, day of the first
+  sort key)`` and sort within partitions by ``(dist key, sort key)``. The
+  rebalance is a hash shuffle whose large partitions AQE splits and whose
+  small ones it merges to the advisory size, so a hot zone, even on a single
+  day, becomes several files of bounded size. No sampling pass is needed
+  (range partitioning would read the fact twice), and each file is ordered by
+  zone and pickup time.
 * ``DISTSTYLE ALL`` (dimensions, marts): small by construction; sorted within
   partitions by the sort keys, readers broadcast them after a size check.
 """
@@ -172,7 +173,9 @@ def lay_out(df: DataFrame, contract: TableContract) -> DataFrame:
         spread = [F.col(contract.dist_key)]
         if contract.sort_keys:
             spread.append(F.to_date(F.col(contract.sort_keys[0])))
-        return df.repartition(*spread).sortWithinPartitions(*keys)
+        laid = df.withColumn("__day", spread[1]) if len(spread) > 1 else df
+        by = [contract.dist_key, *(["__day"] if len(spread) > 1 else [])]
+        return laid.hint("rebalance", *by).drop("__day").sortWithinPartitions(*keys)
     if contract.sort_keys:
         return df.sortWithinPartitions(*contract.sort_keys)
     return df

@@ -16,12 +16,13 @@ The result is written as a new snapshot (see ``farelake.sinks``); readers of
 the old snapshot never see a key without a current row. Parquet tables have no
 row-level MERGE, so the close step is a left join plus ``when``.
 
-Scale: one aggregate over the batch proves its keys unique (a duplicate fails
-the apply before anything is written) and bounds its size. Below the bound
-the batch side of both joins is broadcast, so the target is read twice (close
-join; semi-join to the touched keys before the max-version aggregate) and
-never shuffled; beyond it both joins shuffle on the key only (AQE splits a
-skewed key).
+Scale: one aggregate over the batch proves its keys unique; a duplicate fails
+the apply before anything is written. No join carries a broadcast hint: the
+batch is a written table, so the planner (and AQE at run time) compares its
+bytes with the broadcast threshold. A small batch is broadcast and the target
+is read twice (close join; semi-join to the touched keys before the
+max-version aggregate) without a shuffle; beyond the threshold the joins
+shuffle on the key only (AQE splits a skewed key).
 """
 
 from __future__ import annotations
@@ -31,7 +32,6 @@ from pyspark.sql import functions as F
 
 from farelake.constants import AUDIT_COLUMNS
 from farelake.functions.columns import all_of, ts_literal_like
-from farelake.operators.joins import BROADCAST_ROW_LIMIT, broadcast_if_small
 
 
 def initial_load(batch: DataFrame) -> DataFrame:
@@ -74,27 +74,16 @@ def changed_rows(batch: DataFrame, target: DataFrame, key: str, tracked: list[st
     return joined.filter(keep).select(*batch.columns)
 
 
-def _maybe_broadcast(df: DataFrame, small: bool | None) -> DataFrame:
-    if small is None:
-        return broadcast_if_small(df)
-    return F.broadcast(df) if small else df
-
-
-def versioned_batch(batch: DataFrame, target: DataFrame, key: str, small: bool | None = None) -> DataFrame:
+def versioned_batch(batch: DataFrame, target: DataFrame, key: str) -> DataFrame:
     """J4 + A4: batch rows with ``version`` = max current version + 1, else 1.
 
     Only the target rows of keys in the batch are aggregated: a semi-join
-    with the (size-checked, broadcast) batch keys, so a large target is
-    filtered where it is read instead of being shuffled. ``small`` is the
-    caller's size decision for the batch (``None``: check here). ``USING``
-    join, so the key becomes the first column.
+    with the batch keys, so a large target is filtered where it is read when
+    the batch is small. ``USING`` join, so the key becomes the first column.
     """
     keys = batch.select(key).filter(F.col(key).isNotNull())
-    keys = _maybe_broadcast(keys, small)
     touched = target.filter(F.col("is_current_flag")).join(keys, key, "left_semi")
     max_v = touched.groupBy(key).agg(F.max("version").alias("_max_v"))
-    if small is None or small:
-        max_v = F.broadcast(max_v)  # at most one row per batch key
     return (
         batch.join(max_v, key, "left")
         .withColumn("version", F.coalesce(F.col("_max_v") + 1, F.lit(1)))
@@ -102,7 +91,7 @@ def versioned_batch(batch: DataFrame, target: DataFrame, key: str, small: bool |
     )
 
 
-def close_current(target: DataFrame, batch: DataFrame, key: str, small: bool | None = None) -> DataFrame:
+def close_current(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     """Close the current target row of every key in ``batch``."""
     closing = batch.select(
         key,
@@ -110,7 +99,7 @@ def close_current(target: DataFrame, batch: DataFrame, key: str, small: bool | N
         F.col("updated_by").alias("_close_by"),
         F.lit(True).alias("_hit"),
     )
-    joined = target.join(_maybe_broadcast(closing, small), key, "left")
+    joined = target.join(closing, key, "left")
     hit = F.coalesce(F.col("_hit"), F.lit(False)) & F.col("is_current_flag")
     replaced = {
         "is_current_flag": F.when(hit, F.lit(False)).otherwise(F.col("is_current_flag")),
@@ -133,17 +122,19 @@ def apply_batch(
     ``version``. By default every key in the batch is closed and reopened
     (no change detection). With ``change_only=True`` only new keys and keys
     whose ``tracked`` columns differ null-safely from the current row are
-    versioned. One aggregate over the batch both proves its keys unique and
-    decides whether its side of the two joins is broadcast.
+    versioned. A business column that only one side has is added to the other
+    as a typed NULL, so neither new nor retired columns are lost.
     """
-    small = unique_key_count(batch, key) <= BROADCAST_ROW_LIMIT
+    require_unique_key(batch, key)
     if change_only:
         if tracked is None:
             tracked = [c for c in batch.columns if c != key and c not in AUDIT_COLUMNS]
         batch = changed_rows(batch, target, key, tracked)
-    closed = close_current(target, batch, key, small)
-    new_rows = versioned_batch(batch, target, key, small).select(*target.columns)
-    return closed.unionByName(new_rows)
+    closed = close_current(target, batch, key)
+    new_rows = versioned_batch(batch, target, key)
+    merged = closed.unionByName(new_rows, allowMissingColumns=True)
+    business = [c for c in merged.columns if c not in AUDIT_COLUMNS]
+    return merged.select(*business, *[c for c in merged.columns if c in AUDIT_COLUMNS])
 
 
 def current_rows(dim: DataFrame) -> DataFrame:

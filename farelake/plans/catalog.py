@@ -12,13 +12,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelake.config import DEFAULT_AS_OF, DEFAULT_JOB, TripRules
+from farelake.config import DEFAULT_AS_OF, DEFAULT_JOB, MatchRules, TripRules
 from farelake.functions.columns import normalize_flag
 from farelake.operators import curated, golden, matching, publish, quality, scd2, steward
 from farelake.operators.standardize import standardize_trips
 from farelake.operators.validate import valid_fares, valid_trips
 from farelake.session import scratch_path
-from farelake.sinks.snapshots import append, materialize
+from farelake.plans import runs
+from farelake.sinks.snapshots import SnapshotTable, append, materialize
 from farelake.sources.lookups import (
     ratecode_dictionary,
     read_zone_csv,
@@ -26,17 +27,26 @@ from farelake.sources.lookups import (
     write_zone_csv,
     zone_lookup_rows,
 )
-from farelake.sources.masters import ACTIVITY_SPLIT, order_activity, vendor_names
+from farelake.sources.masters import (
+    ACTIVITY_SPLIT,
+    order_activity,
+    ratecode_master,
+    vendor_master,
+    vendor_names,
+    vendor_parts,
+)
 from farelake.sources.tables import read_table
 from farelake.sources.trips import raw_trips, read_landing
-from farelake.streaming.incremental import process_landing, read_processed
+from farelake.streaming.incremental import process_landing
 
 AS_OF = DEFAULT_AS_OF
 AS_OF_NEXT = "2026-01-02 00:00:00"
 AS_OF_BETWEEN = "2026-01-01 12:00:00"
 JOB = DEFAULT_JOB
 STEWARD_APPROVES_FROM = 90.0
-SCHEMA_CHANGE_AT = "2008-01-01 00:00:00"
+ROUTING = MatchRules(auto_above=84.0, review_low=75.0)
+SCHEMA_CHANGE_AT = "2005-01-01 00:00:00"
+SECOND_CHANGE_AT = "2006-06-01 00:00:00"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -60,14 +70,13 @@ def zones(spark: SparkSession, base: str) -> DataFrame:
 
 
 def fact(spark: SparkSession, base: str) -> DataFrame:
-    # the zone dimension is computed once and written (it feeds a size check
-    # and two broadcast joins); the run flow reads it from its snapshot table
-    zone_dim = materialize(scd2.current_rows(scd2.initial_load(zones(spark, base))), "zone-dim")
+    # the dimensions are written tables, as in the run flow, so the planner
+    # knows their bytes; the zone dimension feeds two joins
     return curated.trip_details(
         processed(spark, base),
-        zone_dim,
-        golden.golden_vendors(spark, AS_OF, JOB),
-        golden.golden_ratecodes(spark, AS_OF, JOB),
+        materialize(zones(spark, base), "zone-dim"),
+        materialize(vendor_dictionary(spark), "vendor-dim"),
+        materialize(ratecode_dictionary(spark), "ratecode-dim"),
     )
 
 
@@ -94,7 +103,7 @@ def q_golden_zones(spark: SparkSession, base: str) -> DataFrame:
 
 
 def q_zone_role_join(spark: SparkSession, base: str) -> DataFrame:
-    return curated.zone_role_join(processed(spark, base), zones(spark, base))
+    return curated.zone_role_join(processed(spark, base), materialize(zones(spark, base), "zone-dim"))
 
 
 def q_trip_details(spark: SparkSession, base: str) -> DataFrame:
@@ -139,13 +148,11 @@ def q_dq_gate(spark: SparkSession, base: str) -> DataFrame:
 
 
 def q_golden_vendors(spark: SparkSession, base: str) -> DataFrame:
-    codes = golden.observed_codes(standardized(spark, base), "VendorID", vendor_dictionary(spark), "vendorid")
-    return codes.select("vendorid", "vendor_name", *golden.audit_block(AS_OF, JOB))
+    return golden.golden_vendors(vendor_master(spark, base), AS_OF, JOB)
 
 
 def q_golden_ratecodes(spark: SparkSession, base: str) -> DataFrame:
-    codes = golden.observed_codes(standardized(spark, base), "RatecodeID", ratecode_dictionary(spark), "ratecodeid")
-    return codes.select("ratecodeid", "ratecode_desc", *golden.audit_block(AS_OF, JOB))
+    return golden.golden_ratecodes(ratecode_master(spark, base), AS_OF, JOB)
 
 
 def q_audit_columns(spark: SparkSession, base: str) -> DataFrame:
@@ -184,7 +191,9 @@ def q_vendor_match_scores(spark: SparkSession, base: str) -> DataFrame:
 
 
 def q_vendor_match_routing(spark: SparkSession, base: str) -> DataFrame:
-    return matching.route(matches(spark, base))
+    """G2 with bands inside the matched range, so that every route occurs."""
+    found = matching.match_vendors(vendor_names(spark, base), min_score=70.0)
+    return matching.route(found, ROUTING)
 
 
 def q_steward_queue(spark: SparkSession, base: str) -> DataFrame:
@@ -195,12 +204,26 @@ def q_steward_pending_count(spark: SparkSession, base: str) -> DataFrame:
     return steward.pending_count(queue(spark, base))
 
 
-def vendor_master(spark: SparkSession, base: str) -> DataFrame:
-    return scd2.initial_load(q_audit_columns(spark, base))
+def q_steward_promotion(spark: SparkSession, base: str) -> DataFrame:
+    vendors = scd2.initial_load(q_audit_columns(spark, base))
+    return steward.promote(vendors, decided_queue(spark, base), AS_OF_NEXT, JOB)
+
 
+def q_vendor_member_matches(spark: SparkSession, base: str) -> DataFrame:
+    """J5/G1 over vendors whose names repeat: one row per member and similar class."""
+    return matching.match_members(vendor_parts(spark, base), min_score=80.0)
 
-def q_steward_promotion(spark: SparkSession, base: str) -> DataFrame:
-    return steward.promote(vendor_master(spark, base), decided_queue(spark, base), AS_OF_NEXT, JOB)
+
+def member_queue(spark: SparkSession, base: str) -> DataFrame:
+    return steward.steward_queue(matching.route(q_vendor_member_matches(spark, base)), AS_OF, JOB)
+
+
+def q_member_promotions(spark: SparkSession, base: str) -> DataFrame:
+    """M4 over vendors whose names repeat: the promotion of every approved member."""
+    decided = steward.record_decisions(
+        member_queue(spark, base), F.col("confidence") >= STEWARD_APPROVES_FROM
+    )
+    return steward.promotions(materialize(decided, "member-queue"), AS_OF_NEXT, JOB)
 
 
 def q_steward_mark_processed(spark: SparkSession, base: str) -> DataFrame:
@@ -258,18 +281,25 @@ def q_zones_lookup(spark: SparkSession, base: str) -> DataFrame:
 
 
 def q_raw_schema_evolution(spark: SparkSession, base: str) -> DataFrame:
-    """Two landings, the older one written before ``cbd_congestion_fee``
-    existed; the merged read has the column, NULL for the old files."""
+    """Three landings. The oldest was written before ``cbd_congestion_fee``
+    existed, the second with counts as integers and amounts as strings, the
+    last with a column of its own; the read has the declared columns."""
     landing = scratch_path(spark, "landing-evolving")
     raw = raw_trips(spark, base)
-    cutoff = F.lit(SCHEMA_CHANGE_AT).cast("timestamp_ntz")
-    raw.filter(F.col("tpep_pickup_datetime") < cutoff).drop("cbd_congestion_fee").write.parquet(
-        f"{landing}/landing=1"
-    )
-    raw.filter(~(F.col("tpep_pickup_datetime") < cutoff) | F.col("tpep_pickup_datetime").isNull()).write.parquet(
-        f"{landing}/landing=2"
+    pickup = F.col("tpep_pickup_datetime")
+    first, second = (F.lit(t).cast("timestamp_ntz") for t in (SCHEMA_CHANGE_AT, SECOND_CHANGE_AT))
+    raw.filter(pickup < first).drop("cbd_congestion_fee").write.parquet(f"{landing}/landing=1")
+    raw.filter((pickup >= first) & (pickup < second)).withColumns(
+        {
+            "passenger_count": F.col("passenger_count").cast("bigint"),
+            "payment_type": F.col("payment_type").cast("string"),
+            "extra": F.col("extra").cast("string"),
+        }
+    ).write.parquet(f"{landing}/landing=2")
+    raw.filter((pickup >= second) | pickup.isNull()).withColumn("sensor", F.lit("new")).write.parquet(
+        f"{landing}/landing=3"
     )
-    return read_landing(spark, landing).drop("landing")
+    return read_landing(spark, landing).drop("sensor")
 
 
 def q_quarantine_batch(spark: SparkSession, base: str) -> DataFrame:
@@ -291,10 +321,11 @@ def q_incremental_landing(spark: SparkSession, base: str) -> DataFrame:
     root = scratch_path(spark, "incremental")
     raw = raw_trips(spark, base)
     older = F.col("tpep_pickup_datetime") < F.lit(SCHEMA_CHANGE_AT).cast("timestamp_ntz")
+    table = SnapshotTable(spark, "processed", f"{root}/processed")
     paths = dict(
         landing_path=f"{root}/landing",
         schema=raw.schema,
-        processed_path=f"{root}/processed",
+        processed=table,
         quarantine_path=f"{root}/quarantine",
         checkpoint_path=f"{root}/checkpoint",
         as_of=AS_OF,
@@ -303,7 +334,57 @@ def q_incremental_landing(spark: SparkSession, base: str) -> DataFrame:
     process_landing(spark, **paths)
     raw.filter(~older | older.isNull()).write.parquet(f"{root}/landing/file-2")
     process_landing(spark, **paths)
-    return read_processed(spark, f"{root}/processed")
+    return table.read()
+
+
+def q_landed_marts(spark: SparkSession, base: str) -> DataFrame:
+    """L1 + R1: two landings, each followed by masters, marts and export; the
+    vendor mart after the second run covers both."""
+    root = scratch_path(spark, "landed")
+    lake = runs.Lakehouse(spark, f"{root}/lake", prefix="landed")
+    raw = raw_trips(spark, base)
+    older = F.col("tpep_pickup_datetime") < F.lit(SCHEMA_CHANGE_AT).cast("timestamp_ntz")
+    for n, rows, clock in ((1, older, AS_OF), (2, ~older | older.isNull(), AS_OF_NEXT)):
+        raw.filter(rows).write.parquet(f"{root}/landing/file-{n}")
+        runs.run_landed(
+            lake, f"{root}/landing", f"{root}/checkpoint", raw.schema, zone_lookup_rows(spark, base),
+            vendor_dictionary(spark), ratecode_dictionary(spark), clock, JOB,
+        )
+    return lake.table("vendor_performance").read()
+
+
+# -- tables that outlive a session ------------------------------------------------
+
+def q_snapshot_overwrite(spark: SparkSession, base: str) -> DataFrame:
+    """Overwrite a snapshot by one of another schema, then append."""
+    root = scratch_path(spark, "snapshot-overwrite")
+    orders = read_table(spark, base, "orders")
+    split = F.lit(ACTIVITY_SPLIT).cast("timestamp_ntz")
+    SnapshotTable(spark, "orders", root).commit(orders.select("o_orderkey", F.lit(1).alias("retired")))
+    wide = orders.select("o_orderkey", F.col("o_totalprice").cast("string").alias("price"), "o_orderdate")
+    SnapshotTable(spark, "orders", root).commit(wide.filter(F.col("o_orderdate") < split))
+    SnapshotTable(spark, "orders", root).append(wide.filter(F.col("o_orderdate") >= split))
+    # found by its path alone
+    return SnapshotTable(spark, "any name", root).read().select("o_orderkey", "o_orderdate")
+
+
+def q_scd2_second_run(spark: SparkSession, base: str) -> DataFrame:
+    """M1–M3 through snapshot tables: two applies, each on a table found by its path."""
+    root = scratch_path(spark, "scd2-runs")
+    for batch, clock in ((activity_first(spark, base), AS_OF), (activity_next(spark, base), AS_OF_NEXT)):
+        runs.upsert_dimension(SnapshotTable(spark, "activity", root), batch, "custkey", clock)
+    return SnapshotTable(spark, "activity", root).read()
+
+
+def q_marts_one_pass(spark: SparkSession, base: str) -> DataFrame:
+    """A1–A3: all marts from one scan, their trip counts and groups per mart."""
+    combined = materialize(curated.marts_one_pass(fact(spark, base)), "marts")
+    parts = [
+        df.select(F.lit(name).alias("mart"), F.col("pickup_count" if name.startswith("loc") else "total_trips").alias("trips"))
+        for name, df in curated.split_marts(combined).items()
+    ]
+    every = parts[0].union(parts[1]).union(parts[2])
+    return every.groupBy("mart").agg(F.count("*").alias("groups"), F.sum("trips").alias("trips"))
 
 
 def _published(spark: SparkSession, df: DataFrame, table: str) -> DataFrame:
@@ -367,16 +448,22 @@ def queries() -> dict[str, Query]:
         "steward_pending_count": q_steward_pending_count,
         "steward_promotion": q_steward_promotion,
         "steward_mark_processed": q_steward_mark_processed,
+        "vendor_member_matches": q_vendor_member_matches,
+        "vendor_member_promotions": q_member_promotions,
         "scd2_initial": q_scd2_initial,
         "scd2_versioning": q_scd2_versioning,
         "scd2_apply": q_scd2_apply,
         "current_dim": q_current_dim,
         "dim_as_of": q_dim_as_of,
         "dim_key_uniqueness": q_dim_key_uniqueness,
+        "scd2_second_run": q_scd2_second_run,
+        "snapshot_overwrite": q_snapshot_overwrite,
+        "marts_one_pass": q_marts_one_pass,
         "zones_lookup": q_zones_lookup,
         "raw_schema_evolution": q_raw_schema_evolution,
         "quarantine_batch": q_quarantine_batch,
         "incremental_landing": q_incremental_landing,
+        "landed_marts": q_landed_marts,
         "publish_dim_zones": q_publish_dim_zones,
         "publish_dim_vendors": q_publish_dim_vendors,
         "publish_dim_ratecodes": q_publish_dim_ratecodes,

@@ -10,10 +10,13 @@ failed DQ gate raises ``DataQualityError`` after quarantining the batch).
   change, no rewrite), on failure it is appended to quarantine under the run
   id and the run stops.
 * **lookup → master**: golden zones/vendors/rate codes are applied to their
-  SCD2 dimensions; vendor names are matched and steward rows are added to
-  the review queue.
+  SCD2 dimensions, each checked for one row per key before anything is
+  written; vendor names are matched, the matches are resolved to every member
+  vendor, and the steward rows are appended to the review queue.
 * **steward review** (not part of the chain): approved rows are promoted and
-  marked processed.
+  marked processed. The promotions are written once; the dimension commit
+  carries the queue version it came from, so a repeated step after a failure
+  between the two commits does not promote twice.
 * **processed → curated**: the fact is written once; the three marts come
   from one scan of the written fact (a grouping-sets aggregate over 7 of its
   24 columns) instead of three scans or a cached 24-column frame.
@@ -26,16 +29,15 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from farelake.config import DEFAULT_AS_OF, DEFAULT_JOB, MatchRules, TripRules
+from farelake.functions.columns import run_id
 from farelake.operators import curated, golden, matching, publish, quality, scd2, steward
+from farelake.operators.quality import DataQualityError
 from farelake.operators.validate import processed_trips
-from farelake.functions.columns import run_id
 from farelake.sinks.snapshots import SnapshotTable, append, materialize, register_external
-
-
-class DataQualityError(RuntimeError):
-    """The batch failed the DQ gate and was quarantined."""
+from farelake.streaming.incremental import process_landing
 
 
 @dataclass
@@ -102,13 +104,14 @@ def publish_rule_results(lake: Lakehouse, outcome: quality.GateOutcome, as_of: s
 def upsert_dimension(table: SnapshotTable, batch: DataFrame, key: str, as_of: str) -> str:
     """M1 on the first run, M2+M3 afterwards; one new snapshot either way.
 
-    For an apply, the batch is written once first (the key check and both
-    branches of the apply read files instead of recomputing it); an initial
-    load writes it only once, as the snapshot itself.
+    The batch is written once first: the key check and the branches of the
+    apply read files instead of recomputing it. A key that occurs twice fails
+    before the dimension changes, also on the initial load, so a dimension has
+    one current row per key and no fact join can repeat a trip.
     """
-    if not table.exists():
-        return table.commit(scd2.initial_load(batch), as_of)
     batch = materialize(batch, f"{table.name}-batch")
+    if not table.exists():
+        return table.commit(scd2.initial_load(scd2.require_unique_key(batch, key)), as_of)
     return table.commit(scd2.apply_batch(table.read(), batch, key), as_of)
 
 
@@ -121,21 +124,17 @@ def build_masters(
     job_name: str = DEFAULT_JOB,
     match_rules: MatchRules = MatchRules(),
 ) -> int:
-    """Build the master dimensions; return the number of pending steward rows."""
+    """Build the master dimensions; return the number of steward rows this run adds."""
     upsert_dimension(lake.table("dim_zones"), golden.golden_zones(zone_lookup, as_of, job_name), "locationid", as_of)
-    vendor_rows = vendors.select("vendorid", "vendor_name", *golden.audit_block(as_of, job_name))
-    upsert_dimension(lake.table("dim_vendors"), vendor_rows, "vendorid", as_of)
-    rate_rows = ratecodes.select("ratecodeid", "ratecode_desc", *golden.audit_block(as_of, job_name))
+    upsert_dimension(lake.table("dim_vendors"), golden.golden_vendors(vendors, as_of, job_name), "vendorid", as_of)
+    rate_rows = golden.golden_ratecodes(ratecodes, as_of, job_name)
     upsert_dimension(lake.table("dim_ratecodes"), rate_rows, "ratecodeid", as_of)
 
-    routed = matching.route(
-        matching.match_vendors(vendors, min_score=match_rules.review_low), match_rules
-    )
-    new_rows = steward.steward_queue(routed, as_of, job_name)
+    matches = matching.match_members(vendors, min_score=match_rules.review_low)
     queue = lake.table("steward_queue")
-    merged = queue.read().unionByName(new_rows) if queue.exists() else new_rows
-    queue.commit(merged, as_of)
-    return steward.pending_count(lake.table("steward_queue").read()).first()["pending_count"]
+    new_rows = steward.steward_queue(matching.route(matches, match_rules), as_of, job_name)
+    written = queue.append(new_rows, as_of)
+    return steward.pending_count(lake.spark.read.parquet(written)).first()["pending_count"]
 
 
 def review_queue(lake: Lakehouse, as_of: str = DEFAULT_AS_OF, job_name: str = DEFAULT_JOB) -> int:
@@ -143,13 +142,16 @@ def review_queue(lake: Lakehouse, as_of: str = DEFAULT_AS_OF, job_name: str = DE
     queue_table = lake.table("steward_queue")
     if not queue_table.exists():
         return 0
+    version = queue_table.versions()[-1]
     queue = queue_table.read()
-    if queue.filter(F.col("status") == "APPROVED").isEmpty():
-        return 0
     vendors = lake.table("dim_vendors")
-    promoted = steward.promotions(queue, as_of, job_name)
+    promoted = materialize(steward.promotions(queue, as_of, job_name), "promotions")
     count = promoted.count()
-    vendors.commit(scd2.apply_batch(vendors.read(), promoted, "vendorid"), as_of)
+    if not count:
+        return 0
+    done = f"promotes {queue_table.name} {version}"
+    if not vendors.has_tag(done):
+        vendors.commit(scd2.apply_batch(vendors.read(), promoted, "vendorid"), as_of, [done])
     queue_table.commit(steward.mark_processed(queue), as_of)
     return count
 
@@ -172,13 +174,14 @@ def build_curated(lake: Lakehouse, as_of: str = DEFAULT_AS_OF) -> dict[str, str]
     return paths
 
 
-def export_warehouse(lake: Lakehouse) -> list[tuple[str, str, str]]:
+def export_warehouse(lake: Lakehouse, modes: dict[str, str] | None = None) -> list[tuple[str, str, str]]:
+    """Typed export; ``modes`` sets ``overwrite`` or ``append`` per table (K7)."""
     tables = {}
     for contract in publish.CONTRACTS:
         t = lake.table(contract.name)
         if t.exists():
             tables[contract.name] = t.read()
-    return publish.publish_all(tables, lake.export_path)
+    return publish.publish_all(tables, lake.export_path, modes)
 
 
 def run(
@@ -189,11 +192,39 @@ def run(
     ratecodes: DataFrame,
     as_of: str = DEFAULT_AS_OF,
     job_name: str = DEFAULT_JOB,
+    modes: dict[str, str] | None = None,
 ) -> dict:
     """The four stages in order; an exception stops the run."""
     gate = publish_processed(lake, raw, as_of)
     pending = build_masters(lake, zone_lookup, vendors, ratecodes, as_of, job_name)
     curated_paths = build_curated(lake, as_of)
-    export = export_warehouse(lake)
+    export = export_warehouse(lake, modes)
     return {"gate": gate.decision, "processed_rows": gate.rows, "pending_review": pending,
             "curated": curated_paths, "export": export}
+
+
+def run_landed(
+    lake: Lakehouse,
+    landing_path: str,
+    checkpoint_path: str,
+    schema: T.StructType,
+    zone_lookup: DataFrame,
+    vendors: DataFrame,
+    ratecodes: DataFrame,
+    as_of: str = DEFAULT_AS_OF,
+    job_name: str = DEFAULT_JOB,
+    modes: dict[str, str] | None = None,
+) -> dict:
+    """L1 + R1: process what landed since the last run, then masters, marts and export.
+
+    The stream appends to the processed table that ``build_curated`` reads; a
+    micro-batch that fails the gate is quarantined and stops the run.
+    """
+    batches = process_landing(
+        lake.spark, landing_path, schema, lake.table("processed"), lake.quarantine_path, checkpoint_path,
+        as_of, dq_results_path=lake.dq_results_path,
+    ).batches
+    pending = build_masters(lake, zone_lookup, vendors, ratecodes, as_of, job_name)
+    curated_paths = build_curated(lake, as_of)
+    return {"batches": batches, "pending_review": pending, "curated": curated_paths,
+            "export": export_warehouse(lake, modes)}

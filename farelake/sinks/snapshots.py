@@ -2,21 +2,30 @@
 
 Plain Parquet cannot be overwritten while it is being read, and has no
 row-level MERGE/UPDATE. A mutable table is therefore a folder of immutable
-snapshots (``<root>/v=<label>/``) plus a catalog table that points at the
-current one:
-
-* ``commit`` writes the new snapshot completely, then moves the catalog
-  table with ``ALTER TABLE ... SET LOCATION`` (a single metadata change, so a
-  reader sees either the old or the new snapshot, never a half state);
-* the previous snapshot stays on storage for rollback;
-* one writer per table (runs of a job are not concurrent).
+data folders (``<root>/v=<label>/``) plus a commit log (``<root>/_commits/``).
+Commit ``n`` is one small file, created once and never changed, that lists the
+data folders of version ``n``; the highest complete commit is the current
+version. The table is found by its path alone, so its state outlives the
+session and any catalog:
+
+* ``commit`` writes the new snapshot completely, then creates the next commit
+  file (a reader sees either the old or the new version, never a half state);
+  the schema is that of the new snapshot;
+* ``append`` writes only the new rows and lists them after the current folders;
+* the previous versions stay on storage for rollback;
+* a commit may carry tags; a step that is repeated after a failure looks for
+  its tag and does nothing if its commit is already there;
+* creating a commit file fails if it exists, so of two concurrent writers one
+  fails instead of hiding the other's version.
 
 Every write lands under the shared folder, so a lost executor only costs the
-retried tasks; a finished snapshot cuts the lineage of the next run.
+retried tasks; a finished snapshot cuts the lineage of the next run. Catalog
+registration is an optional extra (``register``).
 """
 
 from __future__ import annotations
 
+import json
 import re
 import uuid
 
@@ -29,48 +38,120 @@ def _label(as_of: str | None) -> str:
 
 
 class SnapshotTable:
-    """A catalog table whose content is replaced snapshot by snapshot."""
+    """A table under ``root`` whose content is replaced version by version."""
 
     def __init__(self, spark: SparkSession, name: str, root: str):
         self.spark = spark
         self.name = name
         self.root = root.rstrip("/")
 
-    def exists(self) -> bool:
-        return self.spark.catalog.tableExists(self.name)
+    # -- the commit log ----------------------------------------------------------
+
+    def _file(self, path: str):
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return target.getFileSystem(self.spark._jsc.hadoopConfiguration()), target
+
+    def versions(self) -> list[int]:
+        """Version numbers of all commits, ascending."""
+        fs, log = self._file(f"{self.root}/_commits")
+        if not fs.exists(log):
+            return []
+        names = [status.getPath().getName() for status in fs.listStatus(log)]
+        return sorted(int(n[:-5]) for n in names if re.fullmatch(r"\d+\.json", n))
+
+    def _entry(self, version: int) -> dict | None:
+        """Content of a commit; None if its writer was lost while creating it."""
+        fs, target = self._file(f"{self.root}/_commits/{version:010d}.json")
+        stream = fs.open(target)
+        try:
+            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        try:
+            return json.loads(text)
+        except ValueError:
+            return None
+
+    def _current(self) -> dict | None:
+        for version in reversed(self.versions()):
+            entry = self._entry(version)
+            if entry is not None:
+                return entry
+        return None
 
-    def read(self) -> DataFrame:
-        self.spark.sql(f"REFRESH TABLE {self.name}")
-        return self.spark.table(self.name)
+    def _record(self, paths: list[str], tags: list[str]) -> None:
+        inside = f"{self.root}/"
+        body = {"paths": [p.removeprefix(inside) for p in paths], "tags": tags}
+        version = (self.versions() or [0])[-1] + 1
+        fs, target = self._file(f"{self.root}/_commits/{version:010d}.json")
+        stream = fs.create(target, False)
+        try:
+            stream.write(json.dumps(body).encode("utf-8"))
+        finally:
+            stream.close()
+
+    def _full(self, path: str) -> str:
+        return path if "/" in path else f"{self.root}/{path}"
+
+    # -- reading -----------------------------------------------------------------
+
+    def exists(self) -> bool:
+        return self._current() is not None
+
+    def paths(self, version: int | None = None) -> list[str]:
+        """Data folders of a version (default: the current one)."""
+        entry = self._current() if version is None else self._entry(version)
+        return [self._full(p) for p in entry["paths"]] if entry else []
+
+    def read(self, version: int | None = None) -> DataFrame:
+        """One version of the table, with that version's schema."""
+        paths = self.paths(version)
+        if not paths:
+            raise FileNotFoundError(f"no snapshot of {self.name} under {self.root}")
+        reader = self.spark.read
+        if len(paths) > 1:
+            reader = reader.option("mergeSchema", "true")
+        return reader.parquet(*paths)
 
     def location(self) -> str | None:
-        if not self.exists():
-            return None
-        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name}").collect()
-        for row in rows:
-            if row["col_name"] == "Location":
-                return row["data_type"]
-        return None
+        """Folder of the current snapshot (the last one appended)."""
+        paths = self.paths()
+        return paths[-1] if paths else None
+
+    def has_tag(self, tag: str) -> bool:
+        """Whether any commit carries ``tag``."""
+        return any(tag in (self._entry(v) or {"tags": []})["tags"] for v in self.versions())
+
+    # -- writing -----------------------------------------------------------------
 
     def stage(self, df: DataFrame, as_of: str | None = None) -> str:
-        """Write ``df`` as a new snapshot folder without making it current."""
+        """Write ``df`` as a new data folder without making it current."""
         path = f"{self.root}/v={_label(as_of)}"
         df.write.mode("errorifexists").parquet(path)
         return path
 
-    def commit(self, df: DataFrame, as_of: str | None = None) -> str:
+    def commit(self, df: DataFrame, as_of: str | None = None, tags: list[str] | None = None) -> str:
         """K1: write ``df`` as the next snapshot and make it current."""
-        return self.adopt(self.stage(df, as_of))
-
-    def adopt(self, path: str) -> str:
-        """Make an already written snapshot folder the current one."""
-        if self.exists():
-            self.spark.sql(f"ALTER TABLE {self.name} SET LOCATION '{path}'")
-            self.spark.sql(f"REFRESH TABLE {self.name}")
-        else:
-            self.spark.sql(f"CREATE TABLE {self.name} USING parquet LOCATION '{path}'")
+        return self.adopt(self.stage(df, as_of), tags)
+
+    def adopt(self, path: str, tags: list[str] | None = None) -> str:
+        """Make an already written data folder the current snapshot."""
+        self._record([path], tags or [])
         return path
 
+    def append(self, df: DataFrame, as_of: str | None = None, tags: list[str] | None = None) -> str:
+        """K3: add rows; what is already there is not rewritten."""
+        return self.adopt_more(self.stage(df, as_of), tags)
+
+    def adopt_more(self, path: str, tags: list[str] | None = None) -> str:
+        """Add an already written data folder to the current snapshot."""
+        self._record([*self.paths(), path], tags or [])
+        return path
+
+    def register(self) -> None:
+        """Make the current version readable by name in this session's catalog."""
+        self.read().createOrReplaceTempView(self.name)
+
 
 def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """K2 / K3: append rows (optionally partitioned) to a Parquet folder."""

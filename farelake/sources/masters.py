@@ -3,6 +3,10 @@
 * ``vendor_names``: the vendor list to de-duplicate, one row per distinct
   ``part.p_name`` with the smallest ``p_partkey`` as its id (a partial +
   final aggregate over the whole ``part`` table).
+* ``vendor_parts``: the same names with one row per ``p_partkey``, so names
+  repeat.
+* ``vendor_master`` / ``ratecode_master``: the vendor and rate-code master
+  lists, every row of ``supplier`` and ``nation``.
 * ``order_activity``: one landing of a customer-activity dimension from the
   orders of a time slice — the latest order of each customer (golden record)
   gives ``last_order_date``, ``last_order_status``, ``last_order_priority``.
@@ -34,6 +38,25 @@ def vendor_names(spark: SparkSession, base_dir: str) -> DataFrame:
     )
 
 
+def vendor_parts(spark: SparkSession, base_dir: str) -> DataFrame:
+    part = read_table(spark, base_dir, "part")
+    return part.select(F.col("p_partkey").alias("vendorid"), F.col("p_name").alias("vendor_name"))
+
+
+def vendor_master(spark: SparkSession, base_dir: str) -> DataFrame:
+    supplier = read_table(spark, base_dir, "supplier")
+    return supplier.select(
+        F.col("s_suppkey").cast("bigint").alias("vendorid"), F.col("s_name").alias("vendor_name")
+    )
+
+
+def ratecode_master(spark: SparkSession, base_dir: str) -> DataFrame:
+    nation = read_table(spark, base_dir, "nation")
+    return nation.select(
+        F.col("n_nationkey").cast("bigint").alias("ratecodeid"), F.col("n_name").alias("ratecode_desc")
+    )
+
+
 def order_activity(
     spark: SparkSession,
     base_dir: str,

@@ -1,24 +1,8 @@
-"""Readers for the Parquet tables a run starts from."""
+"""Reader for the Parquet tables a run starts from."""
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
-
-# Inferred schemas of input tables, keyed by (path, size, mtime). Inference
-# runs a Spark job over file footers; the schema of an unchanged input is
-# taken from here instead, so repeated reads plan without touching files.
-_SCHEMAS: dict[tuple, T.StructType] = {}
-
-
-def _stamp(path: str) -> tuple | None:
-    local = path[len("file:"):] if path.startswith("file:") else path
-    if "://" in local or not os.path.exists(local):
-        return None
-    st = os.stat(local)
-    return (local, st.st_size, st.st_mtime_ns)
 
 
 def read_table(spark: SparkSession, base_dir: str, name: str) -> DataFrame:
@@ -27,12 +11,4 @@ def read_table(spark: SparkSession, base_dir: str, name: str) -> DataFrame:
     Column pruning and filter push-down reach the scan because callers only
     express projections/filters on the returned frame.
     """
-    path = f"{base_dir.rstrip('/')}/{name}.parquet"
-    stamp = _stamp(path)
-    schema = _SCHEMAS.get(stamp) if stamp else None
-    if schema is not None:
-        return spark.read.schema(schema).parquet(path)
-    df = spark.read.parquet(path)
-    if stamp:
-        _SCHEMAS[stamp] = df.schema
-    return df
+    return spark.read.parquet(f"{base_dir.rstrip('/')}/{name}.parquet")

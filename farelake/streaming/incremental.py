@@ -4,31 +4,34 @@ A file-source stream over the landing folder with ``trigger(availableNow)``:
 each run processes exactly the files that arrived since the previous run (the
 checkpoint remembers what was read), in bounded micro-batches, and stops.
 
-Each micro-batch goes through standardize → validate → the DQ gate:
+Each micro-batch goes through standardize → validate and is written once, as a
+data folder of the processed table. The DQ gate reads the written files:
 
-* gate passes → the rows are written to ``<processed>/epoch=<id>/``;
+* gate passes → the folder is appended to the processed table (a commit, no
+  rewrite), the same table the marts are built from;
 * gate fails → the rows are written to the quarantine table under the run id
-  and the batch id, and the batch is counted as quarantined.
+  and the batch id and the run stops with ``DataQualityError``. The checkpoint
+  does not advance past the batch; the next run judges it again.
 
 Micro-batches are bounded (``max_files_per_trigger``, default 1000 files), so
 a backlog of landed files is worked off in several batches instead of one
-huge one. Writes are keyed by the micro-batch id and use overwrite, so a micro-batch
-that is retried after an executor or driver loss replaces its own output
-instead of duplicating it (effectively exactly-once). The micro-batch is
-persisted for the two actions it needs (gate aggregate + write).
+huge one. The commit of a micro-batch carries the checkpoint and the batch id
+as its tag; a batch that is retried after its commit is not appended twice.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from farelake.config import DEFAULT_AS_OF, TripRules
 from farelake.operators import quality
+from farelake.operators.quality import DataQualityError
 from farelake.operators.validate import processed_trips
+from farelake.sinks.snapshots import SnapshotTable
 
 
 @dataclass
@@ -40,11 +43,12 @@ def process_landing(
     spark: SparkSession,
     landing_path: str,
     schema: T.StructType,
-    processed_path: str,
+    processed: SnapshotTable,
     quarantine_path: str,
     checkpoint_path: str,
     as_of: str = DEFAULT_AS_OF,
     rules: TripRules = TripRules(),
+    ruleset: tuple[quality.Rule, ...] = quality.PROCESSED_RULES,
     max_files_per_trigger: int | None = 1000,
     dq_results_path: str | None = None,
 ) -> LandingRun:
@@ -55,26 +59,31 @@ def process_landing(
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     stream = reader.parquet(landing_path)
 
+    failed: list[DataQualityError] = []
+
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        out = processed_trips(batch, as_of, rules).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            outcome = quality.evaluate_gate(out)
-            if dq_results_path and outcome.report:
-                rows = spark.createDataFrame(
-                    [tuple(r) + (outcome.decision,) for r in outcome.report],
-                    "Rule string, Outcome string, FailureReason string, failed_rows bigint, "
-                    "evaluated_rows bigint, decision string",
-                )
-                rows.write.mode("overwrite").parquet(f"{dq_results_path}/epoch={epoch_id}")
-            if outcome.decision == "PUBLISH":
-                out.write.mode("overwrite").parquet(f"{processed_path}/epoch={epoch_id}")
-            else:
-                out.write.mode("overwrite").parquet(
-                    f"{quarantine_path}/quarantine_run_id={_run_id(as_of)}/epoch={epoch_id}"
-                )
-            run.batches.append((epoch_id, outcome.decision, outcome.rows))
-        finally:
-            out.unpersist()
+        tag = f"{checkpoint_path} {epoch_id}"
+        if processed.has_tag(tag):
+            return
+        path = processed.stage(processed_trips(batch, as_of, rules), as_of)
+        written = spark.read.parquet(path)
+        outcome = quality.evaluate_gate(written, ruleset)
+        if dq_results_path and outcome.report:
+            rows = spark.createDataFrame(
+                [tuple(r) + (outcome.decision,) for r in outcome.report],
+                "Rule string, Outcome string, FailureReason string, failed_rows bigint, "
+                "evaluated_rows bigint, decision string",
+            )
+            rows.write.mode("overwrite").parquet(f"{dq_results_path}/run_id={_run_id(as_of)}-{epoch_id}")
+        run.batches.append((epoch_id, outcome.decision, outcome.rows))
+        if outcome.decision == "PUBLISH":
+            processed.adopt_more(path, [tag])
+            return
+        written.write.mode("overwrite").parquet(
+            f"{quarantine_path}/quarantine_run_id={_run_id(as_of)}/epoch={epoch_id}"
+        )
+        failed.append(DataQualityError(f"micro-batch {epoch_id} of {outcome.rows} rows quarantined"))
+        raise failed[0]
 
     query = (
         stream.writeStream.foreachBatch(handle)
@@ -82,15 +91,15 @@ def process_landing(
         .trigger(availableNow=True)
         .start()
     )
-    query.awaitTermination()
+    try:
+        query.awaitTermination()
+    except StreamingQueryException:
+        if failed:
+            raise failed[0] from None
+        raise
     return run
 
 
 def _run_id(as_of: str) -> str:
     digits = "".join(ch for ch in as_of if ch.isdigit())
     return f"{digits[:8]}_{digits[8:12]}"
-
-
-def read_processed(spark: SparkSession, processed_path: str) -> DataFrame:
-    """All published micro-batches (the ``epoch`` partition column dropped)."""
-    return spark.read.parquet(processed_path).drop("epoch")

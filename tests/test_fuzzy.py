@@ -8,6 +8,9 @@ import random
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
+from farelake.functions import fuzzy
 from farelake.functions.fuzzy import confidence, lcs_length, ratio, token_set_ratio
 from farelake.operators import matching
 
@@ -146,3 +149,52 @@ def test_similarity_join_is_exact_with_long_names(spark):
             for r in matching.match_vendors(df, min_score=min_score).collect()
         }
         assert got == _brute(kept, min_score), min_score
+
+
+def _all_pairs(vendors):
+    return [
+        (a, b, fuzzy.confidence(na, nb))
+        for a, na in vendors
+        for b, nb in vendors
+        if a < b and fuzzy.profile(na)[0] and fuzzy.profile(nb)[0]
+    ]
+
+
+def test_members_lose_no_source(spark):
+    """Every vendor that is the smaller id of a qualifying pair is a source,
+    once per other class, with the score of that class; names repeat."""
+    for seed in (1, 5):
+        vendors = list(enumerate(_random_names(seed, 90)))
+        key = {i: fuzzy.profile(n)[0] for i, n in vendors}
+        want = {(a, key[b], s) for a, b, s in _all_pairs(vendors) if s >= 80 and key[a] != key[b]}
+        df = spark.createDataFrame(vendors, "vendorid bigint, vendor_name string")
+        got = matching.match_members(df).collect()
+        across = [(r[0], key[r[2]], r[4]) for r in got if key[r[0]] != key[r[2]]]
+        assert len(across) == len(set(across)) and set(across) == want
+        assert all(r["source_vendorid"] < r["matched_vendorid"] for r in got)
+        inside = {r[2] for r in got if key[r[0]] == key[r[2]]}
+        assert inside == {i for i in key if key[i] and min(j for j in key if key[j] == key[i]) != i}
+
+
+def test_queue_resolves_every_member(spark):
+    df = spark.createDataFrame(
+        [(1, "cold rod"), (2, "rod cold"), (3, "old rod"), (4, "Rod, OLD")], "vendorid bigint, vendor_name string"
+    )
+    from farelake.operators import steward
+
+    queue = steward.steward_queue(matching.route(matching.match_members(df))).collect()
+    assert {(r["source_vendorid"], r["matched_vendorid"], r["confidence"]) for r in queue} == {(1, 3, 93.0), (2, 3, 93.0)}
+
+
+def test_built_in_score_equals_the_definition(spark):
+    names = [n for n in _random_names(9, 60) if fuzzy.profile(n)[0]] + ["Straße 5_x", "ÀÉ cafe", "日本 rod", "a-b_c d"]
+    rows = [(a, b) for a in names for b in names]
+    df = spark.createDataFrame(rows, "a string, b string")
+    keys = df.select("a", "b", fuzzy.key_column(F.col("a")).alias("ka"), fuzzy.key_column(F.col("b")).alias("kb"))
+    got = fuzzy.add_confidence(keys.filter("ka <> '' and kb <> ''"), "ka", "kb").collect()
+    assert len(got) > 2000
+    for r in got:
+        assert r["ka"] == fuzzy.profile(r["a"])[0]
+        assert r["confidence"] == fuzzy.confidence(r["a"], r["b"]), (r["a"], r["b"])
+    chars = df.select("a", fuzzy.indexed_chars(fuzzy.key_column(F.col("a"))).alias("c")).distinct().collect()
+    assert all(r["c"] == fuzzy.profile(r["a"])[2] for r in chars)

@@ -78,6 +78,28 @@ def test_fact_layout_splits_hot_key(spark):
     assert len(sizes) > 1  # one hot zone still spreads over several partitions
 
 
+def test_fact_layout_splits_one_zone_on_one_day(spark, tmp_path):
+    df = spark.range(0, 60000, numPartitions=8).select(
+        F.lit(132).alias("pulocationid"),
+        F.timestamp_seconds(F.pmod(F.xxhash64("id"), F.lit(86400))).alias("tpep_pickup_datetime"),
+        F.sha2(F.col("id").cast("string"), 256).alias("pad"),
+    )
+    contract = publish.TableContract("t", (), "curated", dist_key="pulocationid", sort_keys=("tpep_pickup_datetime",))
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        publish.lay_out(df, contract).write.parquet(str(tmp_path / "fact"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    written = spark.read.parquet(str(tmp_path / "fact"))
+    files = written.withColumn("f", F.input_file_name()).groupBy("f").count().collect()
+    assert written.columns == df.columns and sum(r["count"] for r in files) == 60000
+    assert len(files) > 3 and max(r["count"] for r in files) < 30000
+    for r in files:
+        times = [x[0] for x in spark.read.parquet(r["f"]).select("tpep_pickup_datetime").collect()]
+        assert times == sorted(times)
+
+
 def test_publish_modes_overwrite_or_append(spark, tmp_path):
     df = spark.createDataFrame([("Helix", 3, 0.01)], "vendor_name string, total_trips long, revenue_in_M double")
     root = str(tmp_path / "wh")

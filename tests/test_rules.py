@@ -6,6 +6,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from farelake.constants import TRIP_COLUMNS
@@ -178,3 +179,37 @@ def test_stored_sql_step_with_named_parameters(spark, small_dir, tmp_path):
     out = run_sql(spark, text, {"lo": "2000-01-01 00:00:00", "as_of": AS_OF}, trips=trips)
     expected = valid_trips(trips, AS_OF)
     assert out.count() == expected.count() and out.exceptAll(expected).count() == 0
+
+
+def test_string_columns_are_parsed(spark):
+    df = rows(spark, {}, {"passenger_count": None, "extra": None}).withColumns(
+        {c: F.col(c).cast("string") for c in ("passenger_count", "RatecodeID", "payment_type", "extra", "tip_amount")}
+    )
+    bad = df.limit(1).withColumns({c: F.lit("n/a") for c in ("passenger_count", "RatecodeID", "extra")})
+    got = standardize_trips(df.union(bad)).orderBy("passenger_count").collect()
+    assert [r["passenger_count"] for r in got] == [None, 0, 1]
+    assert [r["extra"] for r in got] == [None, 0.0, 1.0]
+    assert got[2]["RatecodeID"] == 1 and got[2]["payment_type"] == 1 and got[0]["RatecodeID"] is None
+    assert dict(standardize_trips(df).dtypes)["tip_amount"] == "double"
+
+
+def test_landing_drift(spark, tmp_path):
+    from farelake.sources.trips import read_landing, schema_drift
+
+    path = str(tmp_path / "landing")
+    first = rows(spark, {"passenger_count": 2.0}, {"passenger_count": None})
+    first.drop("cbd_congestion_fee").write.parquet(f"{path}/a")
+    first.withColumn("passenger_count", F.col("passenger_count").cast("bigint")).write.parquet(f"{path}/b")
+    first.withColumns({"extra": F.lit("x"), "sensor": F.lit(1)}).write.parquet(f"{path}/c")
+    landed = read_landing(spark, path)
+    assert landed.columns == [*TRIP_COLUMNS, "sensor"] and landed.count() == 6
+    assert dict(landed.dtypes)["passenger_count"] == "double" and dict(landed.dtypes)["cbd_congestion_fee"] == "double"
+    assert landed.filter("passenger_count = 2").count() == 3
+    assert landed.filter("cbd_congestion_fee is null").count() == 2 and landed.filter("extra is null").count() == 2
+    assert {(c, k) for c, k, _ in schema_drift(spark, path)} == {
+        ("cbd_congestion_fee", "missing"), ("passenger_count", "type: bigint"), ("extra", "type: string"), ("sensor", "extra"),
+    }
+    # a landing where the column is absent everywhere
+    only = str(tmp_path / "only")
+    first.drop("cbd_congestion_fee").write.parquet(only)
+    assert read_landing(spark, only).filter("cbd_congestion_fee is null").count() == 2

@@ -10,7 +10,8 @@ from farelake.session import scratch_path
 from farelake.sources.lookups import ratecode_dictionary, vendor_dictionary, zone_lookup_rows
 from farelake.sources.masters import vendor_names
 from farelake.sources.trips import raw_trips
-from farelake.streaming.incremental import process_landing, read_processed
+from farelake.sinks.snapshots import SnapshotTable
+from farelake.streaming.incremental import process_landing
 
 AS_OF = "2026-01-01 00:00:00"
 AS_OF_2 = "2026-01-02 00:00:00"
@@ -91,28 +92,123 @@ def test_incremental_equals_full_refresh(spark, small_dir):
     root = scratch_path(spark, "inc")
     raw = raw_trips(spark, small_dir)
     older = F.col("tpep_pickup_datetime") < F.lit("2008-01-01 00:00:00").cast("timestamp_ntz")
+    table = SnapshotTable(spark, "processed", f"{root}/processed")
     args = dict(
-        landing_path=f"{root}/landing", schema=raw.schema, processed_path=f"{root}/processed",
+        landing_path=f"{root}/landing", schema=raw.schema, processed=table,
         quarantine_path=f"{root}/quarantine", checkpoint_path=f"{root}/checkpoint", as_of=AS_OF,
         dq_results_path=f"{root}/dq_results",
     )
     raw.filter(older).write.parquet(f"{root}/landing/f1")
     first = process_landing(spark, **args)
-    n1 = read_processed(spark, f"{root}/processed").count()
+    n1 = table.read().count()
     again = process_landing(spark, **args)  # nothing new landed
-    assert again.batches == [] and read_processed(spark, f"{root}/processed").count() == n1
+    assert again.batches == [] and table.read().count() == n1
     raw.filter(~older).write.parquet(f"{root}/landing/f2")
     process_landing(spark, **args)
-    total = read_processed(spark, f"{root}/processed")
+    total = table.read()
     full = catalog.processed(spark, small_dir)
     assert first.batches and total.count() == full.count() > n1
     assert total.exceptAll(full).count() == 0
-    assert spark.read.parquet(f"{root}/dq_results").select("epoch").distinct().count() == 2
+    assert spark.read.parquet(f"{root}/dq_results").select("run_id").distinct().count() == 2
+    assert len(table.paths()) == 2  # appended, not rewritten
+    # a batch that is retried after its commit is not appended again
+    assert table.has_tag(f"{root}/checkpoint 0") and table.has_tag(f"{root}/checkpoint 1")
 
 
-def test_snapshot_swap_keeps_previous_version(spark):
-    from farelake.sinks.snapshots import SnapshotTable
+def test_failed_micro_batch_stops_the_run(spark, small_dir):
+    from farelake.operators.quality import Rule
 
+    root = scratch_path(spark, "inc-fail")
+    raw = raw_trips(spark, small_dir)
+    raw.write.parquet(f"{root}/landing/f1")
+    table = SnapshotTable(spark, "processed", f"{root}/processed")
+    args = dict(
+        landing_path=f"{root}/landing", schema=raw.schema, processed=table,
+        quarantine_path=f"{root}/quarantine", checkpoint_path=f"{root}/checkpoint", as_of=AS_OF,
+    )
+    strict = (Rule('ColumnValues "fare_amount" >= 1000000', "fare_amount", "min", 1000000),)
+    with pytest.raises(runs.DataQualityError):
+        process_landing(spark, **args, ruleset=strict)
+    assert not table.exists()
+    assert spark.read.parquet(f"{root}/quarantine").count() == catalog.processed(spark, small_dir).count()
+    process_landing(spark, **args)  # the batch is judged again
+    assert table.read().count() == catalog.processed(spark, small_dir).count()
+
+
+def test_duplicate_dimension_key_fails_before_any_write(spark):
+    lake = runs.Lakehouse(spark, scratch_path(spark, "lake"), prefix="t_dup")
+    lookup = spark.createDataFrame(
+        [("1", "Queens", "Astoria", "x"), (" 1", "Bronx", "Other", "y"), ("2", "Bronx", "Third", "z")],
+        "LocationID string, Borough string, Zone string, service_zone string",
+    )
+    with pytest.raises(ValueError, match="not unique"):
+        runs.build_masters(lake, lookup, vendor_dictionary(spark), ratecode_dictionary(spark), AS_OF)
+    assert not lake.table("dim_zones").exists()
+
+
+def test_promotion_is_safe_to_repeat(spark):
+    lake = runs.Lakehouse(spark, scratch_path(spark, "lake"), prefix="t_again")
+    vendors = spark.createDataFrame([(1, "cold rod"), (2, "old rod")], "vendorid bigint, vendor_name string")
+    lookup = spark.createDataFrame([("1", "Q", "A", "x")], "LocationID string, Borough string, Zone string, service_zone string")
+    assert runs.build_masters(lake, lookup, vendors, ratecode_dictionary(spark), AS_OF) == 1
+    queue = lake.table("steward_queue")
+    queue.commit(queue.read().withColumn("status", F.lit("APPROVED")), AS_OF)
+    version = queue.versions()[-1]
+    assert runs.review_queue(lake, AS_OF_2) == 1
+    after = lake.table("dim_vendors").read().count()
+    # the queue commit is lost: the same version of the queue is reviewed again
+    fs, last = queue._file(f"{queue.root}/_commits/{queue.versions()[-1]:010d}.json")
+    fs.delete(last, False)
+    assert queue.versions()[-1] == version
+    runs.review_queue(lake, AS_OF_2)
+    assert lake.table("dim_vendors").read().count() == after
+    # a second master run appends to the queue; its own new rows are counted
+    assert runs.build_masters(lake, lookup, vendors, ratecode_dictionary(spark), AS_OF_2) == 1
+    assert queue.read().count() == 2
+
+
+SECOND_PROCESS = """
+import sys
+sys.path.insert(0, {repo!r})
+from farelake.session import build_session
+from farelake.sinks.snapshots import SnapshotTable
+from farelake.operators import golden
+from farelake.plans import runs
+spark = build_session("local[2]", shuffle_partitions=2, extra={{"spark.checkpoint.dir": {root!r}}})
+spark.sparkContext.setCheckpointDir({root!r})
+table = SnapshotTable(spark, "dim", {root!r} + "/dim")
+rows = spark.createDataFrame([(1, {name!r}), (2, "b")], "id bigint, name string")
+runs.upsert_dimension(table, rows.select("id", "name", *golden.audit_block({as_of!r})), "id", {as_of!r})
+"""
+
+
+def test_history_survives_the_session(spark, tmp_path):
+    import subprocess
+    import sys
+
+    root, repo = str(tmp_path), __file__.rsplit("/tests/", 1)[0]
+    for name, as_of in (("a", AS_OF), ("a2", AS_OF_2)):
+        code = SECOND_PROCESS.format(repo=repo, root=root, name=name, as_of=as_of)
+        subprocess.run([sys.executable, "-c", code], check=True, timeout=180, capture_output=True)
+    rows = SnapshotTable(spark, "t_dim", f"{root}/dim").read().orderBy("id", "version").collect()
+    assert [(r["id"], r["name"], r["version"], r["is_current_flag"]) for r in rows] == [
+        (1, "a", 1, False), (1, "a2", 2, True), (2, "b", 1, False), (2, "b", 2, True),
+    ]
+
+
+def test_overwrite_replaces_the_schema(spark):
+    table = SnapshotTable(spark, "t_schema", scratch_path(spark, "schema"))
+    table.commit(spark.range(2).toDF("x"))
+    table.commit(spark.range(2).selectExpr("cast(id as string) as x", "id as y"))
+    assert table.read().dtypes == [("x", "string"), ("y", "bigint")]
+    assert table.read(table.versions()[0]).dtypes == [("x", "bigint")]
+    table.append(spark.range(2, 3).selectExpr("cast(id as string) as x", "id as y", "true as z"))
+    assert table.read().count() == 3 and table.read().columns == ["x", "y", "z"]
+    table.register()
+    assert spark.table("t_schema").count() == 3
+
+
+def test_snapshot_swap_keeps_previous_version(spark):
     table = SnapshotTable(spark, "t_snap", scratch_path(spark, "snap"))
     first = table.commit(spark.range(3).toDF("x"), AS_OF)
     assert table.read().count() == 3 and table.location().rstrip("/").endswith(first.split("/")[-1])

@@ -98,3 +98,29 @@ def test_null_keys_are_appended_not_matched(spark):
     rows = after.filter("id IS NULL").collect()
     assert len(rows) == 2 and all(r["version"] == 1 and r["is_current_flag"] for r in rows)
     assert after.filter("id = 1").count() == 2
+
+
+def test_new_and_retired_columns_survive_an_apply(spark):
+    target = scd2.initial_load(batch(spark, [(1, "a"), (2, "b")], T1))
+    wide = batch(spark, [(1, "a2"), (3, "c")], T2).withColumn("region", F.lit("west"))
+    after = scd2.apply_batch(target, wide, "id")
+    assert after.columns[:3] == ["id", "name", "region"]
+    rows = {(r["id"], r["version"]): r["region"] for r in after.collect()}
+    assert rows == {(1, 1): None, (2, 1): None, (1, 2): "west", (3, 1): "west"}
+    narrow = scd2.apply_batch(after, batch(spark, [(3, "d")], T3), "id")
+    assert {r["region"] for r in narrow.filter("id = 3").collect()} == {"west", None}
+
+
+def test_batch_beyond_the_byte_threshold_is_not_broadcast(spark, tmp_path):
+    target, nxt = str(tmp_path / "target"), str(tmp_path / "batch")
+    scd2.initial_load(batch(spark, [(i, "a") for i in range(50)], T1)).write.parquet(target)
+    batch(spark, [(i, "b") for i in range(40)], T2).write.parquet(nxt)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for threshold, broadcast in (("-1", False), (old, True)):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            applied = scd2.apply_batch(spark.read.parquet(target), spark.read.parquet(nxt), "id")
+            plan = applied._jdf.queryExecution().executedPlan().toString()
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        assert ("BroadcastExchange" in plan) == broadcast
