@@ -258,5 +258,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_max(starts).cast("long").alias("last_word"),
         F.array_join(F.array_sort(F.array_distinct(base)), ",").alias("base_labels"),
         F.array_join(F.array_sort(F.array_distinct(F.concat(base, added))), ",").alias("labels"),
-        F.when(F.size("places") > 0, F.lit(1.0)).otherwise(F.coalesce(best, F.lit(0.0))).alias("score"),
+        F.when(F.size("places") > 0, F.lit(1.0))
+        .otherwise(F.round(F.coalesce(best, F.lit(0.0)), 9))
+        .alias("score"),
     )

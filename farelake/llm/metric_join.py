@@ -40,8 +40,9 @@ from farelake.sinks.snapshots import materialize
 from farelake.sources.tables import read_table
 
 MIN_COSINE = 0.93
-CELL_ROWS = 512
-BLOCK_ROWS = 1024
+CELL_ROWS = 2048
+BLOCK_ROWS = 4096
+CHUNK_ROWS = 512
 MAX_PIVOTS = 4096
 MAX_CELLS = 64  # per label
 SLACK = 1e-9
@@ -159,16 +160,21 @@ def range_join(classes: DataFrame, min_cosine: float = MIN_COSINE) -> DataFrame:
         if left.empty or right.empty:
             return pd.DataFrame({"a": [], "b": [], "n": []}, dtype="Int64")
         lrep, rrep = left["rep"].to_numpy(), right["rep"].to_numpy()
-        near = _units(left["vector"]) @ _units(right["vector"]).T >= min_cosine
-        near &= lrep[:, None] != rrep[None, :]
-        counts = near @ right["n"].to_numpy().astype(np.float64)
-        some = np.nonzero(counts)[0]
-        # labels over ranks of the ids in this group
+        lunit, runit = _units(left["vector"]), _units(right["vector"]).T
+        weight = right["n"].to_numpy().astype(np.float64)
+        counts = np.zeros(len(left))
+        # labels over ranks of the ids in this group; links are merged chunk by chunk
         ids = np.unique(np.concatenate([lrep, rrep]))
-        i, j = np.nonzero(near)
-        label = merge_labels(
-            np.arange(len(ids)), np.searchsorted(ids, lrep[i]), np.searchsorted(ids, rrep[j])
-        )
+        at_left, at_right = np.searchsorted(ids, lrep), np.searchsorted(ids, rrep)
+        label = np.arange(len(ids))
+        for at in range(0, len(left), CHUNK_ROWS):
+            part = slice(at, at + CHUNK_ROWS)
+            near = lunit[part] @ runit >= min_cosine
+            near &= lrep[part, None] != rrep[None, :]
+            counts[part] = near @ weight
+            i, j = np.nonzero(near)
+            label = merge_labels(label, at_left[part][i], at_right[j])
+        some = np.nonzero(counts)[0]
         linked = np.nonzero(label != np.arange(len(ids)))[0]
         return pd.DataFrame(
             {

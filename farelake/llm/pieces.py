@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import struct
 from collections.abc import Iterator
 
 import pandas as pd
@@ -36,7 +37,7 @@ from farelake.session import ship_package
 
 MARKER = "▁"
 MODEL = "piece_bpe_32k.model"
-TABLE_ENTRIES = 200_000
+TABLE_ENTRIES = 500_000
 CHUNK = re.compile(f"{MARKER}*[^{MARKER}]+|{MARKER}+")
 
 
@@ -61,6 +62,13 @@ class ChunkCodec:
         # a chunk is segmented behind this piece, which is then cut off again
         self.lead = self.model.encode("a")
         self.lead_text = self.model.decode(self.lead)
+        # what an id decodes to behind other text; byte pieces have no text of their own
+        m = self.model
+        self.surface = {
+            i: m.id_to_piece(i).replace(MARKER, " ")
+            for i in range(m.get_piece_size())
+            if not (m.is_byte(i) or m.is_control(i) or m.is_unknown(i) or m.is_unused(i))
+        }
         self.begin = self.model.bos_id().to_bytes(4, "little")
         self.end = self.model.eos_id().to_bytes(4, "little")
 
@@ -74,22 +82,27 @@ class ChunkCodec:
         if m.decode(m.encode(probe)) != probe or m.encode("a") != m.encode_as_ids("a"):
             raise ValueError("the model changes texts before it segments them")
 
-    def _segment(self, chunk: str) -> tuple[bytes, str]:
-        """Ids of a chunk that starts with a marker, and its text behind other text."""
-        ids = self.model.encode("a" + chunk.replace(MARKER, " "))[len(self.lead) :]
-        text = self.model.decode(self.lead + ids)[len(self.lead_text) :]
-        return b"".join(i.to_bytes(4, "little") for i in ids), text
+    def _segment(self, chunks: list[str]) -> None:
+        """Enter new chunks, each starting with a marker, into the table."""
+        cut, surface = len(self.lead), self.surface
+        behind = self.model.encode(["a" + c.replace(MARKER, " ") for c in chunks], num_threads=1)
+        for chunk, ids in zip(chunks, behind, strict=True):
+            del ids[:cut]
+            try:
+                text = "".join([surface[i] for i in ids])
+            except KeyError:  # byte pieces: the library puts characters together
+                text = self.model.decode(self.lead + ids)[len(self.lead_text) :]
+            self.table[chunk] = (struct.pack(f"<{len(ids)}I", *ids), text)
 
     def _entries(self, text: str) -> list[tuple[bytes, str]]:
         if len(self.table) > self.entries:
             self.table.clear()
-        table, found = self.table, []
-        for chunk in CHUNK.findall(MARKER + text.replace(" ", MARKER)):
-            entry = table.get(chunk)
-            if entry is None:
-                entry = table[chunk] = self._segment(chunk)
-            found.append(entry)
-        return found
+        chunks = CHUNK.findall(MARKER + text.replace(" ", MARKER))
+        new = set(chunks).difference(self.table)
+        if new:
+            self._segment(list(new))
+        table = self.table
+        return [table[c] for c in chunks]
 
     def encode_decode(self, text: str) -> tuple[bytes, str]:
         """All ids (begin and end included) as bytes, and the decoded text."""

@@ -6,6 +6,7 @@ from farelake.llm import (
     licenses,
     metric_join,
     mixing,
+    oracles,
     pieces,
     quality,
     secrets,
@@ -34,4 +35,4 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL can express."""
-    return {}
+    return oracles.oracle_sql()

@@ -41,7 +41,7 @@ CANDIDATE = r"[A-Za-z0-9+/_=-]{%d,}" % WINDOW
 THRESHOLDS = {"hex": 3.2, "upper": 3.6, "mixed": 3.8}
 #: strings that look random but are no secrets
 ALLOW = (
-    r"(?i)example|sample|dummy|placeholder|changeme|0123456789|123456789|abcdefgh|qwerty|(.)\1{5}"
+    r"(?i)example|sample|dummy|placeholder|changeme|0123456789|123456789|abcdefgh|qwerty|000000|xxxxxx"
     r"|^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$|^[a-z-]+[0-9]{1,4}$"
 )
 KINDS = ("assign", "access", "hex", "entropy")
