@@ -10,6 +10,7 @@ mode (tests, the laptop).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -29,7 +30,7 @@ def cluster_conf(
     input fits executor memory at any scale; file splits have the same size;
     a shuffle partition more than 5× the median (and over the size) is split
     by the skew-join rule; only relations under ``broadcast_bytes`` are
-    broadcast by the planner (dimensions are additionally row-checked).
+    broadcast by the planner.
     """
     return {
         "spark.sql.adaptive.enabled": "true",
@@ -107,7 +108,7 @@ def shared_dir(spark: SparkSession) -> str:
     if configured:
         return configured.rstrip("/")
     master = spark.sparkContext.master
-    if not master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", master):
         raise RuntimeError(
             "spark.checkpoint.dir is not set: configure a folder on shared "
             "storage that every executor can reach"
