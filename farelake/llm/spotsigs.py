@@ -7,6 +7,11 @@ content word has a signature. A fingerprint is the sorted set of the 24-bit
 hashes of the signatures, four base64 characters each; the empty set is the
 empty string. Likeness is the Jaccard coefficient of two sets.
 
+``near_duplicates`` groups a corpus exactly: sets are partitioned by their
+length so that similar sets lie in the same or the next partition, and meet by
+the first of their signatures in a common order, the fewest that similar sets
+must share. Every group is compared in blocks of bounded size.
+
 ``edited_and_next`` compares every document with an edited copy and with the
 next document. The order of all documents is cut into ranges by a narrow pass
 over the keys; each range receives the first document of the next one as well,
@@ -32,11 +37,16 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelake.llm.common import documents, text_of
+from farelake.llm.common import connected_components, documents, text_of
+from farelake.llm.forest import merge_labels
 from farelake.session import ship_package
+from farelake.sinks.snapshots import materialize
 
 CHAIN = 2
 HASH_BITS = 24
+THRESHOLD = 0.8
+#: sets per block of a group, and signatures per column chunk of a comparison
+BLOCK_SETS, CHUNK_COLUMNS = 256, 1 << 14
 #: ranges of the document order per shuffle partition, and at most
 RANGES_PER_PARTITION, MAX_RANGES = 4, 4096
 
@@ -210,6 +220,128 @@ def _row(held: tuple, next_text: str, next_found: np.ndarray) -> tuple:
     )
 
 
+def length_partition(size, threshold: float):
+    """Partition of a set length (column): sets with likeness ≥ ``threshold`` are at most one apart."""
+    return F.floor(F.log(size.cast("double")) / F.lit(-np.log(threshold)) + F.lit(1e-9)).cast("int")
+
+
+def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections of two lists of sorted sets, in column chunks of bounded size."""
+    counts = np.zeros((len(left), len(right)), dtype=np.float32)
+    shared = np.intersect1d(np.concatenate(left), np.concatenate(right))
+    for at in range(0, len(shared), CHUNK_COLUMNS):
+        columns = shared[at : at + CHUNK_COLUMNS]
+        sides = []
+        for sets in (left, right):
+            hits = np.zeros((len(sets), len(columns)), dtype=np.float32)
+            for row, found in enumerate(sets):
+                hits[row, np.isin(columns, found, assume_unique=True)] = 1.0
+            sides.append(hits)
+        counts += sides[0] @ sides[1].T
+    return counts
+
+
+def near_links(sets: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """Links ``(a, b)`` that connect exactly the sets reachable by likeness ≥ ``threshold``.
+
+    ``sets`` has ``rep`` (unique, not null) and a non-empty ``fingerprint``. In
+    the common order of the signature hashes, sets that are similar enough
+    share one of their first ``size - ceil(threshold * size) + 1`` signatures.
+    Sets meet by (length partition, such a signature), at home and in the next
+    longer partition. Signatures that no other set has are dropped first; a
+    large group is cut into blocks and each pair of blocks is compared on its
+    own, which emits a spanning forest of its links, never its pairs.
+    """
+    ship_package(sets.sparkSession)
+
+    @F.pandas_udf("array<long>")
+    def prefix(prints: pd.Series) -> pd.Series:
+        def first(p: str) -> np.ndarray:
+            found = as_set(p)
+            keep = len(found) - int(np.ceil(threshold * len(found) - 1e-9)) + 1
+            return found[:keep].astype(np.int64)
+
+        return pd.Series([first(p) for p in prints])
+
+    size = (F.length("fingerprint") / 4).cast("int")
+    home = sets.select(
+        "rep", length_partition(size, threshold).alias("part"), F.explode(prefix("fingerprint")).alias("sig")
+    ).withColumn("visits", F.lit(False))
+    away = home.withColumns({"part": F.col("part") + 1, "visits": F.lit(True)})
+    rows = materialize(home.union(away), "spots-prefix")
+    group = ["part", "sig"]
+    met = (
+        rows.groupBy(*group)
+        .agg(F.count("*").alias("n"), F.count_if(~F.col("visits")).alias("homes"))
+        .where("n > 1 and homes > 0")
+        .select(*group, F.ceil(F.col("n") / F.lit(BLOCK_SETS)).cast("int").alias("blocks"))
+    )
+    placed = (
+        rows.join(materialize(met, "spots-met"), group)
+        .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+        .join(sets, "rep")
+    )
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    wide = [*group, "rep", "fingerprint", "left_block", "right_block", "is_left"]
+    left = placed.where("not visits").withColumns(
+        {"left_block": F.col("block"), "right_block": every, "is_left": F.lit(True)}
+    )
+    right = placed.withColumns(
+        {"left_block": every, "right_block": F.col("block"), "is_left": F.lit(False)}
+    )
+
+    def compare(rows: pd.DataFrame) -> pd.DataFrame:
+        here, there = rows[rows["is_left"]], rows[~rows["is_left"]]
+        if here.empty or there.empty:
+            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
+        a, b = ([as_set(p) for p in side["fingerprint"]] for side in (here, there))
+        la, lb = np.array([len(x) for x in a])[:, None], np.array([len(x) for x in b])[None, :]
+        common = common_counts(a, b)
+        near = common >= threshold * (la + lb - common) - 1e-6
+        ids = np.unique(np.concatenate([here["rep"], there["rep"]]))
+        i, j = np.nonzero(near & (here["rep"].to_numpy()[:, None] != there["rep"].to_numpy()[None, :]))
+        label = merge_labels(
+            np.arange(len(ids)), np.searchsorted(ids, here["rep"].to_numpy()[i]), np.searchsorted(ids, there["rep"].to_numpy()[j])
+        )
+        linked = np.nonzero(label != np.arange(len(ids)))[0]
+        return pd.DataFrame({"a": ids[linked], "b": ids[label[linked]]})
+
+    return (
+        left.select(*wide)
+        .union(right.select(*wide))
+        .groupBy(*group, "left_block", "right_block")
+        .applyInPandas(compare, "a long, b long")
+    )
+
+
+def near_duplicates(
+    df: DataFrame, threshold: float = THRESHOLD, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """``(doc_id, fingerprint, component_id)``: one row per row of ``df``.
+
+    Documents with equal signature sets are one class, named by its smallest
+    id; classes with likeness ≥ ``threshold`` are linked. A document without
+    signatures or with a null id is its own component.
+    """
+    rows = materialize(fingerprints(df, key, text), "spots-prints")
+    known = rows.where(F.col("doc_id").isNotNull() & (F.col("fingerprint") != ""))
+    classes = materialize(
+        known.groupBy("fingerprint").agg(F.min("doc_id").alias("rep")), "spots-classes"
+    )
+    labels = connected_components(near_links(classes, threshold))
+    named = materialize(
+        classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
+            "fingerprint", F.coalesce("label", "rep").alias("component")
+        ),
+        "spots-components",
+    )
+    joined = rows.join(named, "fingerprint", "left")
+    own = F.col("doc_id").isNull() | F.col("component").isNull()
+    return joined.select(
+        "doc_id", "fingerprint", F.when(own, F.col("doc_id")).otherwise(F.col("component")).alias("component_id")
+    )
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints and likenesses of every document and its edited text."""
     return edited_and_next(documents(spark, sf_dir))

@@ -256,6 +256,32 @@ def test_spotsigs_repeated_and_null_ids(docs):
     assert len(one) == 1 and one[0]["near_next"] == 1.0
 
 
+@pytest.mark.parametrize("block", [3, 256])
+def test_spotsigs_near_duplicates_match_brute_force(spark, docs, monkeypatch, block):
+    monkeypatch.setattr(spotsigs, "BLOCK_SETS", block)
+    rng = np.random.default_rng(4)
+    vocab = [f"w{i}" for i in range(60)] + ["the", "of", "and"] * 12
+    rows = []
+    for base in range(6):
+        words = list(rng.choice(vocab, int(rng.integers(30, 200))))
+        for _ in range(12):
+            copy = list(words)
+            for k in rng.integers(0, len(copy), int(rng.integers(0, 6))):
+                copy[k] = str(rng.choice(vocab))
+            rows.append((len(rows), " ".join(copy)))
+    rows += [(100, rows[3][1]), (101, ""), (102, "the"), (103, None), (None, rows[5][1])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in spotsigs.near_duplicates(frame).collect()}
+    known = [(i, set(spotsigs.signatures(t).tolist())) for i, t in rows if i is not None and t and spotsigs.signatures(t).size]
+    links = [
+        (a, b) for a in range(len(known)) for b in range(a) if jaccard(known[a][1], known[b][1]) >= 0.8
+    ]
+    group = brute.components(len(known), links)
+    assert len(links) > 50
+    want = {i: known[g][0] for (i, _), g in zip(known, group, strict=True)}
+    assert got == {**want, 101: 101, 102: 102, 103: 103, None: None}
+
+
 def test_signature_chains_follow_anchors():
     plain = {spotsigs.xxhash.xxh32_intdigest(s) >> 8 for s in (" cat sat", "the cat sat", "on mat ran", "the mat ran")}
     assert set(spotsigs.signatures("The cat sat on THE mat, ran").tolist()) == plain
