@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from farelake.session import scratch_path
 from farelake.sinks.snapshots import materialize
 from farelake.sources.tables import read_table
 
@@ -52,6 +53,27 @@ def occurrences(words: Column, phrase: list[str]) -> Column:
     return bind(words, starts)
 
 
+def clustered(df: DataFrame, key: str, label: str) -> DataFrame:
+    """``df`` written to the shared folder in buckets of ``key``, and read back.
+
+    One shuffle; later joins on ``key`` read the buckets and move only their
+    other side, so wide rows (texts) travel once however often they are joined.
+    """
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_path(spark, f"{label}-buckets")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    column = F.col(f"`{key}`")
+    (
+        df.repartition(buckets, column)
+        .write.bucketBy(buckets, key)
+        .sortBy(key)
+        .option("path", path)
+        .saveAsTable(name)
+    )
+    return spark.table(name)
+
+
 def _fold(edges: DataFrame, label: str) -> DataFrame:
     return materialize(edges.where("a <> b").distinct(), label)
 
