@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from farelake.llm.common import documents, text_of
+from farelake.llm.common import documents, prepare_python, text_of
 from farelake.session import ship_package
 from farelake.sinks.snapshots import materialize
 
@@ -220,11 +220,12 @@ def drawn_blocks(spark: SparkSession, sources: list[dict], counts: np.ndarray) -
         for shard in range(shards) for s in sources if counts[shard, s["rank"]]
     ]
     plan = spark.createDataFrame(tasks, "shard int, rank int, first long, slots long, blocks long, key long")
-    # a shard's slots of one source are cut into pieces, so no task grows with the mix
+    # a shard's slots of one source are cut into pieces, so no row grows with the mix; the rows are
+    # few and small, so their number of partitions is given, else they would be merged into one task
     piece = 1 << 16
     pieces = plan.withColumn(
         "at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1, F.lit(piece).cast("long")))
-    ).repartition("shard", "rank", "at")
+    ).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "shard", "rank", "at")
 
     def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -307,7 +308,7 @@ def mix_documents(df: DataFrame, key: str = "doc_id", text: str = "text", source
     ``MAX_REPEAT``), its text cut to the taken words with the white space
     between them; a document taken whole keeps its text unchanged.
     """
-    ship_package(df.sparkSession)
+    prepare_python(df.sparkSession)
     placed, pieces = take_words(sized_documents(df, key, text, source))
     passes = F.explode(F.sequence(F.lit(1).cast("long"), F.col("draws"))).alias("pass")
     plans = (
