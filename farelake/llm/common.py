@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelake.session import scratch_path
+from farelake.session import scratch_path, ship_package
 from farelake.sinks.snapshots import materialize
 from farelake.sources.tables import read_table
 
+BATCH_BYTES_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 4 << 20
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -27,6 +29,17 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, UPPER.lower())
 
 
+def prepare_python(spark: SparkSession) -> None:
+    """Before a Python function sees texts: ship the package, bound its batches.
+
+    Batches are bounded by bytes, since a fixed number of rows says nothing
+    about the size of texts; a bound that the session sets itself stays.
+    """
+    ship_package(spark)
+    if BATCH_BYTES_KEY not in spark.conf.getAll:
+        spark.conf.set(BATCH_BYTES_KEY, str(BATCH_BYTES))
+
+
 def bind(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once per row.
 

@@ -11,7 +11,7 @@ text likewise. The model is checked for the properties this rests on
 piece, no user-defined pieces); a model without them is rejected.
 
 The table lives in the Python worker of a task and is cleared when it exceeds
-``TABLE_ENTRIES``. A table joined across the cluster by (chunk, position) would
+``TABLE_ENTRIES`` and at the end of the task. A table joined across the cluster by (chunk, position) would
 shuffle one row per word, several times the input, to save a segmentation
 that costs microseconds; see the README for figures. There is no shuffle.
 
@@ -32,12 +32,11 @@ import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelake.llm.common import documents, text_of
-from farelake.session import ship_package
+from farelake.llm.common import documents, prepare_python, text_of
 
 MARKER = "▁"
 MODEL = "piece_bpe_32k.model"
-TABLE_ENTRIES = 500_000
+TABLE_ENTRIES = 150_000
 CHUNK = re.compile(f"{MARKER}*[^{MARKER}]+|{MARKER}+")
 
 
@@ -133,7 +132,7 @@ def encode_documents(
     with_outputs: bool = True,
 ) -> DataFrame:
     """``(doc_id, n_tokens, ids_sha256, decoded_sha256[, ids, decoded])`` per row."""
-    ship_package(df.sparkSession)
+    prepare_python(df.sparkSession)
     path = model_path or default_model_path()
     schema = "n_tokens long, ids_sha256 string, decoded_sha256 string"
     if with_outputs:
@@ -154,6 +153,8 @@ def encode_documents(
                 rows.append((*row, ids, decoded) if with_outputs else row)
             names = ["n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded"]
             yield pd.DataFrame(rows, columns=names[: 5 if with_outputs else 3])
+        # the worker process may live on for other tasks
+        pieces.table.clear()
 
     return df.select(F.col(key).alias("doc_id"), run(text_of(text)).alias("r")).select("doc_id", "r.*")
 

@@ -35,9 +35,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelake.llm.common import connected_components, documents, text_of
+from farelake.llm.common import connected_components, documents, prepare_python, text_of
 from farelake.llm.forest import merge_labels
-from farelake.session import ship_package
 from farelake.sinks.snapshots import materialize
 
 SHINGLE_WORDS = 3
@@ -76,7 +75,7 @@ def fingerprints(
     df: DataFrame, key: str = "doc_id", text: str = "text", shingle_words: int = SHINGLE_WORDS
 ) -> DataFrame:
     """``(doc_id, fp)``: one signed 64-bit fingerprint per row."""
-    ship_package(df.sparkSession)
+    prepare_python(df.sparkSession)
 
     @F.pandas_udf("long")
     def fingerprint(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -130,7 +129,7 @@ def near_links(distinct: DataFrame, radius: int = RADIUS, tile_rows: int = TILE_
 
     ``distinct`` holds each fingerprint ``fp`` once.
     """
-    ship_package(distinct.sparkSession)
+    prepare_python(distinct.sparkSession)
     tiles = distinct.select("fp", *[_band_count(i).alias(f"b{i}") for i in range(3)])
     # at most 23 * 22 * 22 tiles, so one row reaches the driver
     largest = tiles.groupBy("b0", "b1", "b2").count().agg(F.max("count").alias("n")).first()["n"]

@@ -37,9 +37,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelake.llm.common import connected_components, documents, text_of
+from farelake.llm.common import connected_components, documents, prepare_python, text_of
 from farelake.llm.forest import merge_labels
-from farelake.session import ship_package
 from farelake.sinks.snapshots import materialize
 
 CHAIN = 2
@@ -111,7 +110,7 @@ def pruned_jaccard(a: np.ndarray, b: np.ndarray, floor: float = 0.0) -> float:
 
 def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``(doc_id, fingerprint)`` of every row."""
-    ship_package(df.sparkSession)
+    prepare_python(df.sparkSession)
 
     @F.pandas_udf("string")
     def fingerprint(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -146,7 +145,7 @@ def range_starts(df: DataFrame, key: str, text: str) -> list[tuple]:
 
 def edited_and_next(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document with its edited copy's and next document's likeness."""
-    ship_package(df.sparkSession)
+    prepare_python(df.sparkSession)
     id_type = df.schema[key].dataType
     schema = (
         f"doc_id {id_type.simpleString()}, n_chars long, edited_sha256 string, fingerprint string,"
@@ -252,7 +251,7 @@ def near_links(sets: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     large group is cut into blocks and each pair of blocks is compared on its
     own, which emits a spanning forest of its links, never its pairs.
     """
-    ship_package(sets.sparkSession)
+    prepare_python(sets.sparkSession)
 
     @F.pandas_udf("array<long>")
     def prefix(prints: pd.Series) -> pd.Series:
