@@ -151,7 +151,8 @@ def evidence_column(model: dict | None, text: str = "text"):
             odds = offset + ((x - mean) / scale) @ weights[1:] - prior
             yield pd.Series(np.clip(odds, -EVIDENCE_LIMIT, EVIDENCE_LIMIT))
 
-    return evidence(text_of(text))
+    # else the optimizer repeats the call where its value is used twice
+    return evidence.asNondeterministic()(text_of(text))
 
 
 def _sigmoid(x):
