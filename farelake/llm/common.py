@@ -84,7 +84,10 @@ def clustered(df: DataFrame, key: str, label: str) -> DataFrame:
         .option("path", path)
         .saveAsTable(name)
     )
-    return spark.table(name)
+    found = spark.table(name)
+    # only the folder is needed from here on; the catalog entry goes, the files stay
+    spark.sql(f"DROP TABLE {name}")
+    return found
 
 
 def _fold(edges: DataFrame, label: str) -> DataFrame:
