@@ -85,23 +85,22 @@ def vendor_profiles(vendors: DataFrame, id_col: str, name_col: str) -> DataFrame
     )
 
 
-def _with_frequency(exploded: DataFrame, element: str) -> DataFrame:
-    """Attach the global document frequency of each element.
-
-    The frequency table is the output of an aggregation stage, so AQE sees its
-    measured size before planning the join and broadcasts it only when it is
-    small; otherwise both sides shuffle on the element (skewed elements are
-    split by AQE)."""
-    freq = exploded.groupBy(element).agg(F.count(F.lit(1)).alias("df"))
-    return exploded.join(freq, element, "inner")
-
-
-def _rarest_first(exploded: DataFrame, element: str, weight) -> DataFrame:
-    """Per key: its elements as ``array<struct<df, e, w>>`` sorted rarest-first."""
-    ranked = _with_frequency(exploded, element).select(
-        "key", F.struct(F.col("df"), F.col(element).alias("e"), weight.alias("w")).alias("x")
-    )
-    return ranked.groupBy("key").agg(F.array_sort(F.collect_list("x")).alias("els"))
+def ranked_elements(keys: DataFrame) -> DataFrame:
+    """``key, kind, els``: each key's tokens and indexed characters, rarest first.
+
+    ``els`` is an ``array<struct<df, e, w>>`` (any fixed global order keeps
+    prefix filtering exact). Tokens and characters share one frequency
+    aggregate and one regroup; the frequency table is the output of an
+    aggregation stage, so AQE sees its measured size and broadcasts it only
+    when it is small, else both sides shuffle on the element (skewed elements
+    are split by AQE).
+    """
+    tokens = keys.select("key", F.lit("token").alias("kind"), F.explode("tokens").alias("e"))
+    chars = keys.select("key", F.lit("char").alias("kind"), F.explode("chars").alias("e"))
+    both = tokens.withColumn("w", F.length("e") + 1).unionByName(chars.withColumn("w", F.lit(1)))
+    freq = both.groupBy("kind", "e").agg(F.count(F.lit(1)).alias("df"))
+    ranked = both.join(freq, ["kind", "e"]).select("key", "kind", F.struct("df", "e", "w").alias("x"))
+    return ranked.groupBy("key", "kind").agg(F.array_sort(F.collect_list("x")).alias("els"))
 
 
 def _suffix_weight(i):
@@ -109,26 +108,15 @@ def _suffix_weight(i):
     return F.aggregate(F.slice("els", i + 1, F.size("els") - i), F.lit(0), lambda acc, y: acc + y["w"])
 
 
-def token_positions(keys: DataFrame) -> DataFrame:
+def token_positions(per_key: DataFrame) -> DataFrame:
     """``key, len, tok, pos, sw``: every token of every key in rarest-first
     order, with the weight of the key's tokens from that position on."""
-    toks = keys.select("key", F.explode("tokens").alias("tok"))
-    per_key = _rarest_first(toks, "tok", F.length("tok") + 1)
     placed = F.transform("els", lambda x, i: F.struct(x["e"].alias("tok"), i.alias("pos"), _suffix_weight(i).alias("sw")))
     return per_key.select("key", F.length("key").alias("len"), F.explode(placed).alias("x")).select(
         "key", "len", "x.tok", "x.pos", "x.sw"
     )
 
 
-def char_ranks(keys: DataFrame) -> DataFrame:
-    """``key, els``: each key's indexed characters, globally rarest-first.
-
-    Computed once and shared by the signature and the long-key paths (any
-    fixed global order keeps prefix filtering exact)."""
-    chars = keys.select("key", F.explode("chars").alias("ch"))
-    return _rarest_first(chars, "ch", F.lit(1))
-
-
 def char_signatures(per_key: DataFrame, c: float) -> DataFrame:
     """``key, len, sig, pos`` — 2-element signatures of each key's Dice prefix.
 
@@ -221,7 +209,9 @@ def candidate_key_pairs(keys: DataFrame, min_score: float) -> DataFrame:
     signature of a qualifying pair always passes.
     """
     t, c = _thresholds(min_score)
-    tp = token_positions(keys)
+    # feeds all branches: computed once, read from files
+    elements = materialize(ranked_elements(keys), "vendor-elements")
+    tp = token_positions(elements.filter(F.col("kind") == "token"))
     need = F.lit(c) * F.col("la") + 1
     probe = tp.filter(F.col("sw") >= F.lit(c) * F.col("len") + 1).select(
         F.col("key").alias("ka"), F.col("len").alias("la"), "tok"
@@ -232,7 +222,7 @@ def candidate_key_pairs(keys: DataFrame, min_score: float) -> DataFrame:
         .filter((F.col("ka") != F.col("kb")) & (F.col("swb") >= need))
         .select(F.least("ka", "kb").alias("ka"), F.greatest("ka", "kb").alias("kb"))
     )
-    ranked = char_ranks(keys)
+    ranked = elements.filter(F.col("kind") == "char").select("key", "els")
     cs = char_signatures(ranked, c)
     left = cs.select(F.col("key").alias("ka"), F.col("len").alias("la"), "sig", F.col("pos").alias("pa"))
     right = cs.select(F.col("key").alias("kb"), F.col("len").alias("lb"), "sig", F.col("pos").alias("pb"))
