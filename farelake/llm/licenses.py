@@ -1,27 +1,30 @@
 """Operator 4: licence scans with a positional rare-token index.
 
 Licence templates are short word sequences with a label and a mandatory key
-phrase. The index maps each template word to its places (template, position).
+phrase. The index maps template words to their places (template, position).
 Document frequencies of the template words are counted over the whole corpus;
-the words in at most ``RARE_SHARE`` of the documents form the rare-token
-index. For every file the occurrences of its ``TOP_WORDS`` highest-IDF licence
-words are looked up; postings that agree on the relative position (place in
-the file minus place in the template) are intersected, and a template counts
-when at least ``MIN_AGREE`` of its distinct rare words agree on one relative
-position *and* its key phrase stands at that very position. Three base phrases
-are also searched directly.
+a template is indexed by its words in at most ``RARE_SHARE`` of the documents
+and, however common they are, by the ``MIN_AGREE`` highest-IDF words of its key
+phrase. All occurrences of indexed words in a file are looked up and turned
+into relative positions (place in the file minus place in the template). A
+template counts when its key phrase stands at a relative position; the anchors
+of the phrase then agree on it, so no other template or word of the file and no
+common word can hide it. Its coverage weighs the ``TOP_WORDS`` highest-IDF
+indexed words that agree. Three base phrases are also searched directly.
 
 Two scans and one aggregate over at most the template vocabulary; texts are
 never shuffled. Only built-in functions run.
 
 Defined cases: a null or empty text has no words, no labels and score 0;
-equal IDFs are ordered by the word; a repeated row counts in the document
-frequencies like any other; an empty table gives an empty result; extra
+equal IDFs are ordered by the word; a word of every document weighs
+``LEAST_IDF``; a repeated row counts in the document frequencies like any
+other; an empty table gives an empty result; extra
 columns are ignored.
 """
 
 from __future__ import annotations
 
+import json
 import math
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -51,6 +54,7 @@ TEMPLATES = [
 RARE_SHARE = 0.25
 TOP_WORDS = 8
 MIN_AGREE = 2
+LEAST_IDF = 0.01
 
 
 def words_of(text: Column) -> Column:
@@ -75,18 +79,46 @@ def inverse_frequencies(df: DataFrame, text: str = "text", templates=TEMPLATES)
     return {w: math.log((rows + 1) / (counts.get(w, 0) + 1)) for w in vocab}
 
 
-def _postings(templates, rare: dict[str, float]) -> Column:
-    """Literal map: rare word → its places (template, position) and its IDF."""
-    entries = []
-    for word, idf in sorted(rare.items()):
-        places = [
-            F.struct(F.lit(t).alias("t"), F.lit(p).alias("p"))
-            for t, (_, body, _) in enumerate(templates)
-            for p, w in enumerate(body.split())
-            if w == word
+def indexed_words(idf: dict[str, float], templates=TEMPLATES) -> list[dict[str, float]]:
+    """Per template its indexed words and their weights."""
+    ceiling = math.log(1.0 / RARE_SHARE)
+    found = []
+    for _, body, phrase in templates:
+        anchors = sorted(set(phrase.split()), key=lambda w: (-idf[w], w))[:MIN_AGREE]
+        words = {w for w in body.split() if idf[w] >= ceiling}.union(anchors)
+        found.append({w: max(idf[w], LEAST_IDF) for w in sorted(words)})
+    return found
+
+
+def _postings(templates, index: list[dict[str, float]]) -> Column:
+    """Literal map: indexed word → its places (template, position)."""
+    places: dict[str, list] = {}
+    for t, (_, body, _) in enumerate(templates):
+        for p, word in enumerate(body.split()):
+            if word in index[t]:
+                places.setdefault(word, []).append({"t": t, "p": p})
+    return F.from_json(F.lit(json.dumps(places)), "map<string,array<struct<t:int,p:int>>>")
+
+
+def _checks(templates, index: list[dict[str, float]]) -> Column:
+    """Literal array: per template its phrase and its indexed words, highest IDF first, by position."""
+    checks = []
+    for t, (_, body, phrase) in enumerate(templates):
+        ws, key = body.split(), phrase.split()
+        shift = next(i for i in range(len(ws)) if ws[i : i + len(key)] == key)
+        words = [
+            {"w": w, "idf": idf, "at": [p for p, other in enumerate(ws) if other == w]}
+            for w, idf in sorted(index[t].items(), key=lambda e: (-e[1], e[0]))
         ]
-        entries += [F.lit(word), F.struct(F.lit(float(idf)).alias("idf"), F.array(*places).alias("places"))]
-    return F.create_map(*entries)
+        checks.append({
+            "t": t, "shift": shift, "total": sum(index[t].values()), "words": words,
+            "phrase": [{"p": shift + k, "w": w} for k, w in enumerate(key)],
+        })
+    return F.from_json(
+        F.lit(json.dumps(checks)),
+        "array<struct<t:int,shift:int,total:double,words:array<struct<w:string,idf:double,at:array<int>>>,"
+        "phrase:array<struct<p:int,w:string>>>>",
+    )
 
 
 def scan_licenses(
@@ -100,61 +132,32 @@ def scan_licenses(
     """``(doc_id, n_words, places, matches)`` for every row.
 
     ``places``: base hits ``(at, label)``; ``matches``: verified templates
-    ``(template, at, coverage)`` with coverage = agreeing IDF weight over the
-    IDF weight of the template's rare words.
+    ``(template, at, coverage)`` with coverage = IDF weight of the ``TOP_WORDS``
+    highest agreeing words over the IDF weight of the template's indexed words.
     """
-    ceiling = math.log(1.0 / RARE_SHARE)
-    rare = {w: v for w, v in idf.items() if v >= ceiling}
+    index = indexed_words(idf, templates)
+    names = sorted(set().union(*index))
     scanned = df.select(F.col(key).alias("doc_id"), words_of(text_of(text)).alias("words"))
 
-    hits_type = "array<struct<word:string,idf:double,at:int,places:array<struct<t:int,p:int>>>>"
-    if rare:
-        names = sorted(rare)
-        postings = _postings(templates, rare)
-
-        def lookup(ws: Column) -> Column:
-            spots = F.filter(
-                F.sequence(F.lit(0), F.size(ws) - 1), lambda i: F.get(ws, i).isin(names)
-            )
-            def chosen(x: Column) -> Column:
-                found = F.array_sort(
-                    F.array_distinct(
-                        F.transform(
-                            x["spots"],
-                            lambda i: F.struct(
-                                (-F.element_at(x["index"], F.get(ws, i))["idf"]).alias("rank"),
-                                F.get(ws, i).alias("word"),
-                            ),
-                        )
-                    )
-                )
-                top = F.transform(F.slice(found, 1, TOP_WORDS), lambda f: f["word"])
-                return bind(
-                    F.struct(top.alias("top"), x["spots"].alias("spots"), x["index"].alias("index")),
-                    lambda y: F.transform(
-                        F.filter(y["spots"], lambda i: F.array_contains(y["top"], F.get(ws, i))),
-                        lambda i: F.struct(
-                            F.get(ws, i).alias("word"),
-                            F.element_at(y["index"], F.get(ws, i))["idf"].alias("idf"),
-                            i.alias("at"),
-                            F.element_at(y["index"], F.get(ws, i))["places"].alias("places"),
-                        ),
-                    ),
-                )
-
-            return bind(
-                spots,
-                lambda s: F.when(
-                    F.size(s) > 0,
-                    bind(F.struct(s.alias("spots"), postings.alias("index")), chosen),
-                ).otherwise(F.array().cast(hits_type)),
-            )
+    hits_type = "array<struct<at:int,places:array<struct<t:int,p:int>>>>"
 
-        hits = F.when(F.size("words") > 0, bind(F.col("words"), lookup)).otherwise(
-            F.array().cast(hits_type)
+    def lookup(ws: Column) -> Column:
+        spots = F.filter(F.sequence(F.lit(0), F.size(ws) - 1), lambda i: F.get(ws, i).isin(names))
+        found = lambda x: F.transform(
+            x["spots"],
+            lambda i: F.struct(i.alias("at"), F.element_at(x["index"], F.get(ws, i)).alias("places")),
         )
-    else:
-        hits = F.array().cast(hits_type)
+        return bind(
+            spots,
+            lambda s: F.when(
+                F.size(s) > 0,
+                bind(F.struct(s.alias("spots"), _postings(templates, index).alias("index")), found),
+            ).otherwise(F.array().cast(hits_type)),
+        )
+
+    hits = F.when(F.size("words") > 0, bind(F.col("words"), lookup)).otherwise(
+        F.array().cast(hits_type)
+    )
 
     places = F.when(
         F.array_contains("words", "license"),
@@ -162,18 +165,8 @@ def scan_licenses(
     ).otherwise(F.array().cast("array<struct<at:int,label:string>>"))
 
     staged = scanned.select("doc_id", "words", places.alias("places"), hits.alias("hits"))
-    matches = []
-    for t, (label, body, phrase) in enumerate(templates):
-        body_words = body.split()
-        total = sum(rare[w] for w in set(body_words) if w in rare)
-        need = min(MIN_AGREE, len({w for w in body_words if w in rare}))
-        if not need:
-            continue
-        shift = next(
-            i for i in range(len(body_words)) if body_words[i : i + len(phrase.split())] == phrase.split()
-        )
-        matches.append(_template_matches(t, total, need, phrase.split(), shift))
-    found = F.concat(*matches) if matches else F.array()
+    value = F.struct(F.col("words").alias("words"), F.col("hits").alias("hits"), _checks(templates, index).alias("checks"))
+    found = bind(value, lambda x: F.flatten(F.transform(x["checks"], lambda c: _template_matches(x, c))))
     empty = "array<struct<template:int,at:int,coverage:double>>"
     return staged.select(
         "doc_id",
@@ -190,55 +183,35 @@ def _labelled(phrase: str, label: str) -> Column:
     )
 
 
-def _template_matches(t: int, total: float, need: int, phrase: list[str], shift: int) -> Column:
-    """Relative positions at which template ``t`` is verified, with coverage."""
+def _template_matches(x: Column, check: Column) -> Column:
+    """Relative positions at which the template of ``check`` is verified, with coverage."""
+    ws, hits = x["words"], x["hits"]
 
-    def per_row(x: Column) -> Column:
-        ws, hits = x["words"], x["hits"]
-        offsets = F.array_distinct(
-            F.flatten(
-                F.transform(
-                    hits,
-                    lambda h: F.transform(
-                        F.filter(h["places"], lambda p: p["t"] == t), lambda p: h["at"] - p["p"]
-                    ),
-                )
-            )
+    def holds(at: Column, word: Column) -> Column:
+        # outside the text there is no word
+        return F.coalesce(F.get(ws, at) == word, F.lit(False))
+
+    def weigh(o: Column) -> Column:
+        agreeing = F.filter(check["words"], lambda w: F.exists(w["at"], lambda p: holds(o + p, w["w"])))
+        weight = F.aggregate(F.slice(agreeing, 1, TOP_WORDS), F.lit(0.0), lambda acc, a: acc + a["idf"])
+        return F.struct(
+            check["t"].alias("template"),
+            (o + check["shift"]).alias("at"),
+            F.least(weight / check["total"], F.lit(1.0)).alias("coverage"),
         )
 
-        def verify(o: Column) -> Column:
-            agreeing = F.array_distinct(
-                F.transform(
-                    F.filter(
-                        hits,
-                        lambda h: F.exists(
-                            h["places"], lambda p: (p["t"] == t) & (h["at"] - p["p"] == o)
-                        ),
-                    ),
-                    lambda h: F.struct(h["word"].alias("word"), h["idf"].alias("idf")),
-                )
+    offsets = F.array_distinct(
+        F.flatten(
+            F.transform(
+                hits,
+                lambda h: F.transform(
+                    F.filter(h["places"], lambda p: p["t"] == check["t"]), lambda p: h["at"] - p["p"]
+                ),
             )
-            stands = F.lit(True)
-            for k, word in enumerate(phrase):
-                # outside the text there is no word
-                at = o + shift + k
-                stands = stands & F.when(at >= 0, F.coalesce(F.get(ws, at) == word, F.lit(False))).otherwise(
-                    F.lit(False)
-                )
-            weight = F.aggregate(agreeing, F.lit(0.0), lambda acc, a: acc + a["idf"])
-            return F.struct(
-                F.lit(t).alias("template"),
-                (o + shift).alias("at"),
-                F.least(weight / F.lit(total), F.lit(1.0)).alias("coverage"),
-                (stands & (F.size(agreeing) >= need)).alias("ok"),
-            )
-
-        return F.transform(
-            F.filter(F.transform(offsets, verify), lambda m: m["ok"]),
-            lambda m: F.struct(m["template"], m["at"], m["coverage"]),
         )
-
-    return bind(F.struct(F.col("words").alias("words"), F.col("hits").alias("hits")), per_row)
+    )
+    standing = F.filter(offsets, lambda o: F.forall(check["phrase"], lambda q: holds(o + q["p"], q["w"])))
+    return F.transform(standing, weigh)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -173,6 +173,33 @@ def test_license_places_and_labels(spark):
     assert not added[1] and not added[11] and not added[12] and not added[50]
 
 
+NOTICES = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software.
+Redistribution and use in source and binary forms, with or without modification, are permitted.
+Subject to the terms of the Mozilla Public License, v. 2.0. Licensed under CC BY-NC 4.0. All rights reserved."""
+
+
+def license_labels(frame):
+    names = [t[0] for t in licenses.TEMPLATES]
+    scanned = licenses.scan_licenses(frame, licenses.inverse_frequencies(frame)).collect()
+    assert all(0 < m["coverage"] <= 1 for r in scanned for m in r["matches"])
+    return {r["doc_id"]: {names[m["template"]] for m in r["matches"]} for r in scanned}
+
+
+@pytest.mark.parametrize("share", [0.34, 1.0])
+@pytest.mark.parametrize(("text", "label"), [("All rights reserved", "reserved"), ("Licensed under CC BY-SA 4.0", "cc-by-sa")])
+def test_license_carried_by_many_rows_is_found(spark, text, label, share):
+    hot = int(60 * share)
+    rows = [(i, f"page {i}. {text}." if i < hot else "plain words here") for i in range(60)]
+    labels = license_labels(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert all(labels[i] == ({label} if i < hot else set()) for i in range(60))
+
+
+def test_notice_file_gets_every_label(spark):
+    rows = [(0, NOTICES), (1, "all by cc " * 4000 + NOTICES)] + [(i, "plain words here") for i in range(2, 60)]
+    labels = license_labels(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert labels[0] == labels[1] == {"mit", "bsd", "mpl", "cc-by-nc", "reserved"}
+
+
 # --- 6: sharding -----------------------------------------------------------------------------------
 
 
