@@ -3,7 +3,13 @@
 An anchor is a common word (a fixed list per language); its signature is the
 anchor with the chain of the next ``CHAIN`` content words, i.e. words that are
 no anchors. The start of the text is an anchor too, so that every text with a
-content word has a signature. A fingerprint is the sorted set of the 24-bit
+content word has a signature. Where the list leaves a stretch of more than
+``STRETCH`` content words without an anchor, or finds none in the whole text
+(lists, tables, other languages), the content word with the smallest hash of
+every ``CHAIN + 1`` consecutive ones is an anchor, so that each word of the
+stretch lies in a signature. The choice depends on the words around only, so an
+edit changes the signatures beside it and no others. Scripts without blanks
+count each character as a word. A fingerprint is the sorted set of the 24-bit
 hashes of the signatures, four base64 characters each; the empty set is the
 empty string. Likeness is the Jaccard coefficient of two sets.
 
@@ -43,6 +49,8 @@ from farelake.sinks.snapshots import materialize
 
 CHAIN = 2
 HASH_BITS = 24
+#: content words that may follow each other without a listed anchor
+STRETCH = 6
 THRESHOLD = 0.8
 #: sets per block of a group, and signatures per column chunk of a comparison
 BLOCK_SETS, CHUNK_COLUMNS = 256, 1 << 14
@@ -58,7 +66,26 @@ ANCHORS = frozenset(
     como con de del el en es la las lo los no para por que se un una y
     """.split()
 )
+#: kana, Han, Thai, Lao, Burmese, Khmer: written without blanks
+UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
 WORD = re.compile(r"\w+")
+SPACED = re.compile(rf"[{UNSPACED}]|[^{UNSPACED}]+")
+HAS_UNSPACED = re.compile(f"[{UNSPACED}]")
+
+
+def words_of(text: str) -> list[str]:
+    """Lower-cased words; characters of scripts without blanks one by one."""
+    words = WORD.findall(text.lower())
+    if text.isascii() or not HAS_UNSPACED.search(text):
+        return words
+    return [part for word in words for part in SPACED.findall(word)]
+
+
+def own_anchors(content: list[str], begin: int, end: int, window: int) -> list[int]:
+    """Places of the smallest hash in every ``window`` consecutive words of ``content[begin:end]``."""
+    keys = [(xxhash.xxh32_intdigest(w, 1), -at) for at, w in enumerate(content[begin:end], begin)]
+    window = min(window, len(keys))
+    return sorted({-min(keys[k : k + window])[1] for k in range(len(keys) - window + 1)})
 
 
 def signatures(text: str, anchors: frozenset = ANCHORS, chain: int = CHAIN) -> np.ndarray:
@@ -66,7 +93,7 @@ def signatures(text: str, anchors: frozenset = ANCHORS, chain: int = CHAIN) -> n
     content: list[str] = []
     spots: list[tuple[str, int]] = [("", 0)]
     add, spot = content.append, spots.append
-    for word in WORD.findall(text.lower()):
+    for word in words_of(text):
         if word in anchors:
             spot((word, len(content)))
         else:
@@ -79,6 +106,11 @@ def signatures(text: str, anchors: frozenset = ANCHORS, chain: int = CHAIN) -> n
         for anchor, at in spots
         if at < known
     }
+    least = STRETCH if len(spots) > 1 else chain
+    for (_, begin), end in zip(spots, [*(at for _, at in spots[1:]), known], strict=True):
+        if end - begin > least:
+            for at in own_anchors(content, begin, end, chain + 1):
+                found.add(digest(" ".join(content[at : at + chain + 1])) >> shift)
     return np.array(sorted(found), dtype="<u4")
 
 

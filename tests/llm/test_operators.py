@@ -316,6 +316,28 @@ def test_signature_chains_follow_anchors():
     assert spotsigs.pruned_jaccard(np.arange(10), np.arange(4)) == pytest.approx(0.4)
 
 
+UNLISTED = [
+    "чёрный кот сидел дома весь долгий зимний вечер пока хозяин читал старые газеты возле печи",
+    "{} alpha7 beta9 gamma kilo lima mike november oscar papa quebec romeo sierra tango uniform",
+    "中文文章没有空格而且每个句子都很长所以需要逐字处理才能比较两篇文章",
+]
+
+
+@pytest.mark.parametrize("text", UNLISTED)
+def test_texts_without_listed_anchors_are_covered(text):
+    words = spotsigs.words_of(text)
+    prints = lambda w: set(spotsigs.signatures(" ".join(w)).tolist())
+    whole = prints(words)
+    for k in range(len(words)):
+        changed = prints([*words[:k], "zzz", *words[k + 1 :]])
+        # every word counts, and one changed word leaves most signatures
+        assert changed != whole and len(changed & whole) >= len(whole) - 5
+    assert jaccard(whole, prints(words[:2] + [f"other{k}" for k in range(20)])) < 0.3
+    # a long stretch of an otherwise listed text is covered as well
+    mixed = lambda w: prints(["the", "cat", "of", *w, "the", "end"])
+    assert all(mixed(words) != mixed([*words[:k], "zzz", *words[k + 1 :]]) for k in range(len(words)))
+
+
 # --- 2: templates --------------------------------------------------------------------------------------------------
 
 
