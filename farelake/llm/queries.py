@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from farelake.llm import (
     licenses,
+    merkle,
     metric_join,
     mixing,
     oracles,
@@ -30,6 +31,7 @@ def queries() -> dict:
         "op8_simhash_tiles": simhash.query,
         "op9_piece_codec": pieces.query,
         "op10_secret_scan": secrets.query,
+        "op13_merkle_manifest": merkle.query,
     }
 
 
