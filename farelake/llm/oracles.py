@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from farelake.llm import licenses, secrets, templates
+from farelake.llm import licenses, ranked_search, secrets, templates
 from farelake.plans.sql import values_relation, with_steps
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -150,11 +150,40 @@ SECRETS = with_steps(
 )
 
 
+# --- 11: ranked search -------------------------------------------------------------------
+
+def _terms(table: str, key: str) -> str:
+    lower = f"translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}')"
+    return (
+        f"SELECT row_number() OVER () AS rid, {key}, list_filter(string_split_regex({lower}, "
+        f"{quoted(ranked_search.SEPARATORS)}), lambda x: x <> '') AS t FROM {table}"
+    )
+
+
+SEARCH_STEPS = [
+    ("d", _terms("documents", "doc_id")),
+    ("q", _terms("benchmark", "item_id")),
+    ("size", "SELECT count(*) FILTER (WHERE len(t) > 0)::BIGINT AS n, sum(len(t))::BIGINT AS l FROM d"),
+    ("wanted", "SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest(t) AS term FROM q) GROUP BY ALL"),
+    ("tf", "SELECT rid, doc_id, n, term, count(*) AS tf FROM (SELECT rid, doc_id, len(t) AS n, unnest(t) AS term FROM d) "
+           "WHERE term IN (SELECT term FROM wanted) GROUP BY ALL"),
+    ("weight", "SELECT term, floor(1000 * ln((2 * size.n + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w "
+               "FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), size"),
+    ("gain", "SELECT rid, doc_id, term, (1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * tf.n * size.n) // size.l)) AS g FROM tf, size"),
+    ("scored", "SELECT item_id, rid, doc_id, sum(times * w * g)::BIGINT AS score FROM wanted JOIN weight USING (term) "
+               "JOIN gain USING (term) GROUP BY ALL HAVING sum(times * w * g) > 0"),
+    ("placed", "SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score FROM scored"),
+]
+
+SEARCH = with_steps(SEARCH_STEPS, f"SELECT item_id, rank, doc_id, score FROM placed WHERE rank <= {ranked_search.TOP}")
+
+
 def oracle_sql() -> dict[str, str]:
-    """Query name → SQL over the tables ``documents`` and ``embeddings``."""
+    """Query name → SQL over ``documents``, ``embeddings`` and ``benchmark``."""
     return {
         "op2_log_templates": TEMPLATES,
         "op3_metric_range_join": VECTORS,
         "op4_license_scan": LICENSES,
         "op10_secret_scan": SECRETS,
+        "op11_ranked_search": SEARCH,
     }

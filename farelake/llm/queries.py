@@ -10,6 +10,7 @@ from farelake.llm import (
     oracles,
     pieces,
     quality,
+    ranked_search,
     secrets,
     sharding,
     simhash,
@@ -31,6 +32,7 @@ def queries() -> dict:
         "op8_simhash_tiles": simhash.query,
         "op9_piece_codec": pieces.query,
         "op10_secret_scan": secrets.query,
+        "op11_ranked_search": ranked_search.query,
         "op13_merkle_manifest": merkle.query,
     }
 

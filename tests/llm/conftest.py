@@ -50,7 +50,7 @@ def no_docs(docs):
 @pytest.fixture(scope="session")
 def duck_small():
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "labels"):
+    for t in ("documents", "embeddings", "labels", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMALL}/{t}.parquet')")
     return con
 
