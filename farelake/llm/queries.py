@@ -8,6 +8,7 @@ from farelake.llm import (
     metric_join,
     mixing,
     oracles,
+    personal_data,
     pieces,
     quality,
     ranked_search,
@@ -33,6 +34,7 @@ def queries() -> dict:
         "op9_piece_codec": pieces.query,
         "op10_secret_scan": secrets.query,
         "op11_ranked_search": ranked_search.query,
+        "op12_skip_chain_pii": personal_data.query,
         "op13_merkle_manifest": merkle.query,
     }
 
