@@ -19,16 +19,14 @@ TEMPLATE_STEPS = [
     ("cut", "SELECT doc_id, unnest(lines) AS line, unnest(range(0, len(lines))) AS line_no FROM docs WHERE doc_id IS NOT NULL"),
     ("raw", f"SELECT doc_id, line_no, list_filter(string_split_regex(line, {quoted(templates.SPACE)}), lambda x: x <> '') AS words FROM cut"),
     ("masked", f"SELECT doc_id, line_no, list_transform(words, lambda x: CASE WHEN regexp_matches(x, {quoted(templates.VARIABLE)}) "
-               f"THEN '{templates.WILD}' ELSE x END) AS t FROM raw WHERE len(words) >= {templates.MIN_TOKENS}"),
-    ("placed", f"SELECT doc_id, line_no, t, len(t) AS n, t[1:{templates.DEPTH}] AS head, unnest(t) AS word, unnest(range(0, len(t))) AS place FROM masked"),
-    ("constant", "SELECT n, head, place, word FROM placed GROUP BY ALL HAVING min(doc_id) < max(doc_id)"),
-    ("general", f"SELECT p.doc_id, p.line_no, list(p.place || ':' || p.word ORDER BY p.place) AS g, count(*) AS kept FROM placed p "
-                f"JOIN constant c USING (n, head, place, word) WHERE p.word <> '{templates.WILD}' GROUP BY p.doc_id, p.line_no"),
-    ("template", f"SELECT m.doc_id, m.line_no, len(m.t) AS n, m.t[1:{templates.DEPTH}] AS head, "
-                 f"CASE WHEN g.kept >= ceil(len(m.t) * {templates.MIN_CONSTANT}) THEN 'g' || g.g::VARCHAR ELSE 'l' || m.t::VARCHAR END AS template "
-                 "FROM masked m LEFT JOIN general g USING (doc_id, line_no)"),
-    ("recurring", "SELECT n, head, template, min(doc_id) AS first FROM template GROUP BY ALL HAVING min(doc_id) < max(doc_id)"),
-    ("gone", "SELECT doc_id, list(line_no) AS gone FROM template JOIN recurring USING (n, head, template) WHERE doc_id <> first GROUP BY doc_id"),
+               f"THEN '{templates.WILD}' ELSE x END) AS t FROM raw WHERE len(words) > 0"),
+    ("kind", "SELECT t, len(t) AS n, row_number() OVER () AS id FROM (SELECT DISTINCT t FROM masked)"),
+    ("link", f"SELECT a.id AS a, b.id AS b FROM kind a JOIN kind b ON a.n = b.n AND a.t[1:{templates.DEPTH}] = b.t[1:{templates.DEPTH}] AND a.id <> b.id "
+             f"WHERE list_sum(list_transform(list_zip(a.t, b.t), lambda x: (x[1] = x[2])::INT)) >= ceil(a.n * {templates.MIN_CONSTANT})"),
+    ("reach(id, other)", "SELECT id, id FROM kind UNION SELECT r.id, link.b FROM reach r JOIN link ON r.other = link.a"),
+    ("template", "SELECT doc_id, line_no, g FROM masked JOIN kind USING (t) JOIN (SELECT id, min(other) AS g FROM reach GROUP BY id) USING (id)"),
+    ("recurring", "SELECT g, min(doc_id) AS first FROM template GROUP BY g HAVING min(doc_id) < max(doc_id)"),
+    ("gone", "SELECT doc_id, list(line_no) AS gone FROM template JOIN recurring USING (g) WHERE doc_id <> first GROUP BY doc_id"),
 ]
 
 TEMPLATES = with_steps(
@@ -37,7 +35,7 @@ TEMPLATES = with_steps(
     "sha256(coalesce(array_to_string(list_transform(list_filter(range(0, len(lines)), "
     "lambda i: NOT coalesce(list_contains(gone, i), false)), lambda i: lines[i + 1]), chr(10)), '')) AS text_sha256 "
     "FROM docs d LEFT JOIN gone g ON d.doc_id = g.doc_id",
-)
+).replace("WITH ", "WITH RECURSIVE ", 1)
 
 # --- 3: vectors ----------------------------------------------------------------------------
 

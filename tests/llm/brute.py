@@ -78,34 +78,42 @@ def license_words(text: str) -> list[str]:
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.translate(LOWER))
 
 
-def dropped_lines(docs, depth: int = 3, share: float = 0.8, least: int = 4) -> dict:
-    """Line numbers dropped per doc id, by the template definition."""
+def line_tokens(line: str) -> tuple:
     variable = re.compile(r"[0-9]|^\S+@\S+\.\S+$|^(?:[hH][tT][tT][pP][sS]?://|[wW][wW][wW]\.)")
+    return tuple("<*>" if variable.search(x) else x for x in re.split(r"[\x20\t\x0B\f\r]+", line) if x)
+
+
+def dropped_lines(docs, depth: int = 3, share: float = 0.8) -> dict:
+    """Line numbers dropped per doc id: all lines of a leaf compared with each other."""
     lines = []
     for i, t in docs:
         for n, line in enumerate((t or "").split("\n") if t is not None and i is not None else []):
-            tokens = [x for x in re.split(r"[\x20\t\x0B\f\r]+", line) if x]
-            tokens = tuple("<*>" if variable.search(x) else x for x in tokens)
-            if len(tokens) >= least:
+            if tokens := line_tokens(line):
                 lines.append((i, n, tokens))
-    support = defaultdict(set)
-    for i, _, tokens in lines:
-        for p, x in enumerate(tokens):
-            support[len(tokens), tokens[:depth], p, x].add(i)
-    template, spans = {}, defaultdict(set)
-    for i, n, tokens in lines:
-        leaf = (len(tokens), tokens[:depth])
-        general = tuple(x if x != "<*>" and len(support[*leaf, p, x]) > 1 else None for p, x in enumerate(tokens))
-        enough = sum(x is not None for x in general) >= math.ceil(len(tokens) * share)
-        template[i, n] = (*leaf, general if enough else tokens)
-        spans[template[i, n]].add(i)
+    kinds = sorted({tokens for *_, tokens in lines})
+    number = {t: k for k, t in enumerate(kinds)}
+    leaves = defaultdict(list)
+    for t in kinds:
+        leaves[len(t), t[:depth]].append(t)
+    links = [
+        (number[a], number[b])
+        for leaf in leaves.values()
+        for x, a in enumerate(leaf)
+        for b in leaf[:x]
+        if sum(p == q for p, q in zip(a, b)) >= math.ceil(len(a) * share)
+    ]
+    group = components(len(kinds), links)
+    holders = defaultdict(set)
+    for i, _, t in lines:
+        holders[group[number[t]]].add(i)
     gone = defaultdict(set)
-    for (i, n), t in template.items():
-        if len(spans[t]) > 1 and min(spans[t]) != i:
+    for i, n, t in lines:
+        if i != min(holders[group[number[t]]]):
             gone[i].add(n)
     return gone
 
 
+
 def vector_links(rows, least: float = 0.93):
     """``{vec_id: (n_links, component)}`` for ``(vec_id, vector, label)``."""
     unit = {}

@@ -364,6 +364,36 @@ def test_variable_words_are_generalised(spark):
     assert left[1] == rows[1][1].split("\n")[1] and left[2] == rows[2][1].split("\n")[1]
 
 
+def dropped_by_operator(spark, texts) -> dict:
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {r["doc_id"]: r["__dropped"] for r in templates.drop_recurring_lines(frame).collect()}
+
+
+@pytest.mark.parametrize("copies", [1, 2])
+def test_field_values_may_repeat(spark, copies):
+    """A field stays a field when each of its values occurs in several documents."""
+    texts = [f"Posted by user Name{chr(65 + i // 26)}{chr(65 + i % 26)} in the forum section on gardening" for i in range(50)]
+    texts = [t.replace("Name", "n") for t in texts] * copies
+    dropped = dropped_by_operator(spark, texts)
+    assert sum(dropped.values()) == len(texts) - 1 and dropped[0] == 0
+
+
+def test_short_lines_are_judged(spark):
+    dropped = dropped_by_operator(spark, [f"All rights reserved.\n\nown{'abcdefghij'[i]} words\nPage {i}" for i in range(10)])
+    assert dropped == {i: 2 * (i > 0) for i in range(10)}
+
+
+def test_buckets_beyond_the_limit(spark):
+    """700 variants in two fields and 700 unrelated lines that begin alike: one template, nothing else."""
+    rng = np.random.default_rng(2)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmnop"), 7))
+    alike = [f"the shop of {word()} sells many goods at {word()} and is open on all days" for _ in range(700)]
+    begin = "we now have all the best of what was said by the crowd in"
+    unlike = [f"{begin} " + " ".join(word() for _ in range(9)) for _ in range(700)]
+    texts = [f"{a}\n{b}" for a, b in zip(alike, unlike)]
+    assert dropped_by_operator(spark, texts) == {i: int(i > 0) for i in range(700)}
+
+
 # --- 5: quality ----------------------------------------------------------------------------------------------------
 
 
