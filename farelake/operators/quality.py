@@ -3,14 +3,16 @@
 All rules of a ruleset are evaluated in **one** aggregate over the batch
 (one pass, partial aggregation on the executors, a single row to the driver),
 then turned into one report row per rule. A NULL value counts as a violation
-of a value rule. A rule whose column is missing reports ``Error``.
+of a value rule. A rule whose column is missing reports ``Error``. A batch that is
+written anyway is judged by its write (``observed``).
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from farelake.constants import ERROR, FAILED, PASSED
@@ -57,17 +59,26 @@ def _resolve(df: DataFrame, name: str) -> str | None:
     return lowered.get(name.lower())
 
 
-def dq_report(batch: DataFrame, rules: tuple[Rule, ...] = PROCESSED_RULES) -> DataFrame:
-    """Q4: ``Rule, Outcome, FailureReason, failed_rows, evaluated_rows``."""
+def rule_counts(batch: DataFrame, rules: tuple[Rule, ...] = PROCESSED_RULES) -> list[Column]:
+    """The aggregates of a ruleset: evaluated rows, and violations per rule with a column."""
     aggs = [F.count(F.lit(1)).alias("_n")]
     for i, rule in enumerate(rules):
         column = _resolve(batch, rule.column)
         if column is not None:
             aggs.append(F.count_if(rule.violation(F.col(column))).alias(f"_f{i}"))
-    counts = batch.agg(*aggs)
+    return aggs
+
+
+def dq_report(batch: DataFrame, rules: tuple[Rule, ...] = PROCESSED_RULES) -> DataFrame:
+    """Q4: ``Rule, Outcome, FailureReason, failed_rows, evaluated_rows``."""
+    return report_rows(batch.agg(*rule_counts(batch, rules)), rules)
+
+
+def report_rows(counts: DataFrame, rules: tuple[Rule, ...] = PROCESSED_RULES) -> DataFrame:
+    """One report row per rule from the one row of counts; a rule without a count is ``Error``."""
     rows = []
     for i, rule in enumerate(rules):
-        if _resolve(batch, rule.column) is None:
+        if f"_f{i}" not in counts.columns:
             rows.append(
                 F.struct(
                     F.lit(rule.text).alias("Rule"),
@@ -127,10 +138,46 @@ class GateOutcome:
     rows: int
 
 
-def evaluate_gate(batch: DataFrame, rules: tuple[Rule, ...] = PROCESSED_RULES, block_on_error: bool = True) -> GateOutcome:
-    """Run the ruleset once and bring the (tiny) report to the driver."""
-    report = dq_report(batch, rules).collect()
+def _outcome(report: list, block_on_error: bool) -> GateOutcome:
     blocking = {FAILED, ERROR} if block_on_error else {FAILED}
     failed = [r for r in report if r["Outcome"] in blocking]
     rows = report[0]["evaluated_rows"] if report else 0
     return GateOutcome("QUARANTINE" if failed else "PUBLISH", report, rows)
+
+
+def evaluate_gate(batch: DataFrame, rules: tuple[Rule, ...] = PROCESSED_RULES, block_on_error: bool = True) -> GateOutcome:
+    """Run the ruleset once and bring the (tiny) report to the driver."""
+    return _outcome(dq_report(batch, rules).collect(), block_on_error)
+
+
+def observed(
+    batch: DataFrame, rules: tuple[Rule, ...] = PROCESSED_RULES, block_on_error: bool = True
+) -> tuple[DataFrame, Callable[[], GateOutcome]]:
+    """Q5 in one pass: ``batch`` whose next write counts the rules, and the outcome to ask for after it.
+
+    The counts come from the writing tasks themselves (an ``Observation``), so
+    neither the source nor the written files are read a second time.
+    """
+    watch = Observation()
+    counts = rule_counts(batch, rules)
+    watched = batch.observe(watch, *counts)
+
+    def outcome() -> GateOutcome:
+        found = watch.get
+        return _outcome(counted_report(batch.sparkSession, found, rules).collect(), block_on_error)
+
+    return watched, outcome
+
+
+def counted_report(spark: SparkSession, counts: dict[str, int], rules: tuple[Rule, ...] = PROCESSED_RULES) -> DataFrame:
+    """The report of counts that an ``Observation`` collected."""
+    row = spark.range(1).select(*[F.lit(n).cast("bigint").alias(name) for name, n in counts.items()])
+    return report_rows(row, rules)
+
+
+def result_rows(spark: SparkSession, outcome: GateOutcome) -> DataFrame:
+    """Q6: the report rows of one gate with its decision."""
+    return spark.createDataFrame(
+        [(*tuple(r), outcome.decision) for r in outcome.report],
+        "Rule string, Outcome string, FailureReason string, failed_rows bigint, evaluated_rows bigint, decision string",
+    )

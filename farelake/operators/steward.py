@@ -1,9 +1,14 @@
 """The steward review queue and its lifecycle.
 
 ``PENDING_REVIEW`` rows are landed by matching; a person sets ``APPROVED``
-(outside the code; ``record_decisions`` stands in for that in tests and
-demos); promotion turns approved rows into new vendor versions through SCD2
-and marks them ``PROCESSED`` so they are not promoted twice.
+(outside the code; ``record_decisions`` and ``decision_events`` stand in for
+that in tests and demos); promotion turns approved rows into new vendor versions
+through SCD2 and marks them ``PROCESSED`` so they are not promoted twice.
+
+On storage the queue is never rewritten: rows are appended by matching, and a
+change of status is one more row in a table of status events. ``queue_state`` is
+the queue with the latest status of each row, so rows that are appended between
+a read and a mark cannot get lost.
 
 The queue carries both vendor ids, so a promotion knows which vendor it
 renames: the *source* vendor takes the *matched* vendor's name.
@@ -11,6 +16,9 @@ renames: the *source* vendor takes the *matched* vendor's name.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,6 +54,40 @@ def steward_queue(routed: DataFrame, as_of: str = DEFAULT_AS_OF, job_name: str =
     )
 
 
+#: what identifies a queue row
+QUEUE_KEY = ["source_vendorid", "matched_vendorid", "landed_at"]
+#: of events with one time stamp the one further down the lifecycle counts
+LIFECYCLE = [PENDING_REVIEW, APPROVED, PROCESSED]
+
+
+def status_events(rows: DataFrame, status: str, as_of: str) -> DataFrame:
+    """One event per queue row of ``rows``: it has ``status`` from ``as_of`` on."""
+    return rows.select(*QUEUE_KEY, F.lit(status).alias("status"), ts_literal(as_of).alias("event_at"))
+
+
+def decision_events(state: DataFrame, approve: Column, as_of: str) -> DataFrame:
+    """The steward's decision as events: pending rows that match ``approve``."""
+    pending = F.col("status") == PENDING_REVIEW
+    return status_events(state.filter(pending & F.coalesce(approve, F.lit(False))), APPROVED, as_of)
+
+
+def latest_events(events: DataFrame) -> DataFrame:
+    """The last event of every queue row (one ``max`` per key, combined map-side)."""
+    place = F.array_position(F.array(*[F.lit(s) for s in LIFECYCLE]), F.col("status"))
+    last = F.max(F.struct(F.col("event_at"), place.alias("place"), F.col("status"))).alias("last")
+    return events.groupBy(*QUEUE_KEY).agg(last).select(*QUEUE_KEY, "last.status", "last.event_at")
+
+
+def queue_state(queue: DataFrame, events: DataFrame) -> DataFrame:
+    """The queue with the latest status of every row."""
+    latest = latest_events(events).select(*[F.col(c).alias(f"_{c}") for c in QUEUE_KEY], F.col("status").alias("_status"))
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in QUEUE_KEY])
+    joined = queue.join(latest, same, "left")
+    return joined.select(
+        *[F.coalesce("_status", "status").alias("status") if c == "status" else F.col(c) for c in queue.columns]
+    )
+
+
 def pending_count(queue: DataFrame) -> DataFrame:
     """One row with the number of rows waiting for review."""
     return queue.agg(F.count_if(F.col("status") == PENDING_REVIEW).alias("pending_count"))

@@ -8,8 +8,9 @@ comparable with the SQL twins in ``farelake.plans.oracle``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from farelake.config import DEFAULT_AS_OF, DEFAULT_JOB, MatchRules, TripRules
@@ -19,7 +20,9 @@ from farelake.operators.standardize import standardize_trips
 from farelake.operators.validate import valid_fares, valid_trips
 from farelake.session import scratch_path
 from farelake.plans import runs
-from farelake.sinks.snapshots import SnapshotTable, append, materialize
+from farelake.sinks.dimensions import DimensionTable
+from farelake.sinks.snapshots import BatchTable, SnapshotTable, append, materialize
+from farelake.sources.landing import SchemaLog, read_landing, schema_drift
 from farelake.sources.lookups import (
     ratecode_dictionary,
     read_zone_csv,
@@ -36,7 +39,8 @@ from farelake.sources.masters import (
     vendor_parts,
 )
 from farelake.sources.tables import read_table
-from farelake.sources.trips import raw_trips, read_landing
+from farelake.sources.sql_text import run_sql
+from farelake.sources.trips import raw_trips
 from farelake.streaming.incremental import process_landing
 
 AS_OF = DEFAULT_AS_OF
@@ -70,16 +74,21 @@ def zones(spark: SparkSession, base: str) -> DataFrame:
 
 
 def fact(spark: SparkSession, base: str) -> DataFrame:
-    # the dimensions are written tables, as in the run flow, so the planner
-    # knows their bytes; the zone dimension feeds two joins
+    # the zone dimension feeds two joins and is a written table, as in the run
+    # flow, so the planner knows its bytes; the dictionaries are literals
     return curated.trip_details(
         processed(spark, base),
         materialize(zones(spark, base), "zone-dim"),
-        materialize(vendor_dictionary(spark), "vendor-dim"),
-        materialize(ratecode_dictionary(spark), "ratecode-dim"),
+        vendor_dictionary(spark),
+        ratecode_dictionary(spark),
     )
 
 
+def mart(spark: SparkSession, base: str, name: str) -> DataFrame:
+    """A mart of the whole chain: aggregated per id, then named."""
+    return curated.mart_of_trips(processed(spark, base), name, zones(spark, base), vendor_dictionary(spark))
+
+
 # -- registered queries -------------------------------------------------------
 
 def q_raw_trips(spark: SparkSession, base: str) -> DataFrame:
@@ -111,15 +120,15 @@ def q_trip_details(spark: SparkSession, base: str) -> DataFrame:
 
 
 def q_daily_metrics(spark: SparkSession, base: str) -> DataFrame:
-    return curated.daily_metrics(fact(spark, base))
+    return mart(spark, base, "daily_metrics")
 
 
 def q_location_performance(spark: SparkSession, base: str) -> DataFrame:
-    return curated.location_performance(fact(spark, base))
+    return mart(spark, base, "location_performance").orderBy(F.desc("pickup_count"))
 
 
 def q_vendor_performance(spark: SparkSession, base: str) -> DataFrame:
-    return curated.vendor_performance(fact(spark, base))
+    return mart(spark, base, "vendor_performance")
 
 
 def q_flag_normalization(spark: SparkSession, base: str) -> DataFrame:
@@ -144,7 +153,20 @@ def q_dq_report(spark: SparkSession, base: str) -> DataFrame:
 
 
 def q_dq_gate(spark: SparkSession, base: str) -> DataFrame:
-    return quality.gate_decision(quality.dq_report(processed(spark, base)))
+    """Q5: the gate of a staged batch, counted by the write that stages it."""
+    watch = Observation()
+    staged = processed(spark, base)
+    staged.observe(watch, *quality.rule_counts(staged)).write.parquet(scratch_path(spark, "gate-staged"))
+    return quality.gate_decision(quality.counted_report(spark, watch.get))
+
+
+def q_dq_results(spark: SparkSession, base: str) -> DataFrame:
+    """Q6: the rule results of a batch that fails the gate, as published per run."""
+    lake = runs.Lakehouse(spark, scratch_path(spark, "dq-lake"), prefix="dq")
+    watched, outcome_of = quality.observed(standardized(spark, base))
+    watched.write.parquet(scratch_path(spark, "dq-staged"))
+    runs.publish_rule_results(lake, outcome_of(), AS_OF)
+    return spark.table("dq_dq_results").withColumn("run_id", F.col("run_id").cast("string"))
 
 
 def q_golden_vendors(spark: SparkSession, base: str) -> DataFrame:
@@ -280,28 +302,54 @@ def q_zones_lookup(spark: SparkSession, base: str) -> DataFrame:
     return read_zone_csv(spark, path)
 
 
-def q_raw_schema_evolution(spark: SparkSession, base: str) -> DataFrame:
-    """Three landings. The oldest was written before ``cbd_congestion_fee``
-    existed, the second with counts as integers and amounts as strings, the
-    last with a column of its own; the read has the declared columns."""
-    landing = scratch_path(spark, "landing-evolving")
+def drifting_files(spark: SparkSession, base: str) -> list[DataFrame]:
+    """Three landings of the raw trips. The oldest was written before
+    ``cbd_congestion_fee`` existed, the second has counts as integers and amounts
+    as strings, the last a column of its own."""
     raw = raw_trips(spark, base)
     pickup = F.col("tpep_pickup_datetime")
     first, second = (F.lit(t).cast("timestamp_ntz") for t in (SCHEMA_CHANGE_AT, SECOND_CHANGE_AT))
-    raw.filter(pickup < first).drop("cbd_congestion_fee").write.parquet(f"{landing}/landing=1")
-    raw.filter((pickup >= first) & (pickup < second)).withColumns(
-        {
-            "passenger_count": F.col("passenger_count").cast("bigint"),
-            "payment_type": F.col("payment_type").cast("string"),
-            "extra": F.col("extra").cast("string"),
-        }
-    ).write.parquet(f"{landing}/landing=2")
-    raw.filter((pickup >= second) | pickup.isNull()).withColumn("sensor", F.lit("new")).write.parquet(
-        f"{landing}/landing=3"
-    )
+    retyped = {
+        "passenger_count": F.col("passenger_count").cast("bigint"),
+        "payment_type": F.col("payment_type").cast("string"),
+        "extra": F.col("extra").cast("string"),
+    }
+    return [
+        raw.filter(pickup < first).drop("cbd_congestion_fee"),
+        raw.filter((pickup >= first) & (pickup < second)).withColumns(retyped),
+        raw.filter((pickup >= second) | pickup.isNull()).withColumn("sensor", F.lit("new")),
+    ]
+
+
+def q_raw_schema_evolution(spark: SparkSession, base: str) -> DataFrame:
+    """Landings of three schemas, read with the declared columns."""
+    landing = scratch_path(spark, "landing-evolving")
+    for n, rows in enumerate(drifting_files(spark, base), 1):
+        rows.write.parquet(f"{landing}/landing={n}")
     return read_landing(spark, landing).drop("sensor")
 
 
+def q_schema_changes(spark: SparkSession, base: str) -> DataFrame:
+    """What the schema log of the same landings says, landing by landing; each is inspected once."""
+    root = scratch_path(spark, "landing-logged")
+    log = SchemaLog(spark, f"{root}/log")
+    for n, rows in enumerate(drifting_files(spark, base), 1):
+        rows.write.parquet(f"{root}/landing/landing={n}")
+        drift = schema_drift(spark, f"{root}/landing", log)
+    landing = F.regexp_extract("path", "landing=([0-9])", 1).cast("int").alias("landing")
+    return drift.select(landing, "column", "change").distinct()
+
+
+def q_csv_landing(spark: SparkSession, base: str) -> DataFrame:
+    """A landing of CSV files with a header beside Parquet files gives equal trips."""
+    landing = scratch_path(spark, "landing-csv")
+    raw = raw_trips(spark, base)
+    older = F.col("tpep_pickup_datetime") < F.lit(SCHEMA_CHANGE_AT).cast("timestamp_ntz")
+    raw.filter(older).write.option("header", "true").csv(f"{landing}/a")
+    raw.filter(~older | older.isNull()).write.parquet(f"{landing}/b")
+    return read_landing(spark, landing)
+
+
 def q_quarantine_batch(spark: SparkSession, base: str) -> DataFrame:
     """K2: a batch that fails the gate (standardized, not validated) is
     appended to the quarantine table under its run id. The batch is staged
@@ -315,76 +363,137 @@ def q_quarantine_batch(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def q_incremental_landing(spark: SparkSession, base: str) -> DataFrame:
-    """Two landings picked up by two ``availableNow`` runs of one
-    checkpointed stream; the result equals a full refresh (``valid_fares``)."""
+def _land(spark: SparkSession, landings: list[DataFrame]) -> DataFrame:
+    """Processed trips of landings that arrive one by one, each picked up by its own run."""
     root = scratch_path(spark, "incremental")
+    table = BatchTable(spark, "processed", f"{root}/processed", gated=True)
+    for n, rows in enumerate(landings, 1):
+        rows.write.parquet(f"{root}/landing/file-{n}")
+        process_landing(
+            spark, f"{root}/landing", table, f"{root}/quarantine", f"{root}/checkpoint", AS_OF,
+            schema_log=SchemaLog(spark, f"{root}/schema_log"),
+        )
+    return table.read()
+
+
+def _halves(spark: SparkSession, base: str) -> list[DataFrame]:
     raw = raw_trips(spark, base)
     older = F.col("tpep_pickup_datetime") < F.lit(SCHEMA_CHANGE_AT).cast("timestamp_ntz")
-    table = SnapshotTable(spark, "processed", f"{root}/processed")
-    paths = dict(
-        landing_path=f"{root}/landing",
-        schema=raw.schema,
-        processed=table,
-        quarantine_path=f"{root}/quarantine",
-        checkpoint_path=f"{root}/checkpoint",
-        as_of=AS_OF,
-    )
-    raw.filter(older).write.parquet(f"{root}/landing/file-1")
-    process_landing(spark, **paths)
-    raw.filter(~older | older.isNull()).write.parquet(f"{root}/landing/file-2")
-    process_landing(spark, **paths)
-    return table.read()
+    return [raw.filter(older), raw.filter(~older | older.isNull())]
+
+
+def q_incremental_landing(spark: SparkSession, base: str) -> DataFrame:
+    """Two landings picked up by two ``availableNow`` runs of one
+    checkpointed stream; the result equals a full refresh (``valid_fares``)."""
+    return _land(spark, _halves(spark, base))
+
+
+def q_drifting_landing(spark: SparkSession, base: str) -> DataFrame:
+    """S7 / L1 + S2: landings that lack, re-type and add columns pass through the stream."""
+    return _land(spark, drifting_files(spark, base))
+
+
+def long_marts(marts: dict[str, DataFrame]) -> DataFrame:
+    """All rows and measures of the marts as one table."""
+    parts = [df.withColumn("mart", F.lit(name)) for name, df in marts.items()]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(
+            part.withColumnsRenamed({"pickup_count": "total_trips", "revenue_in_M": "daily_revenue_in_M"}), allowMissingColumns=True
+        )
+    return out
 
 
 def q_landed_marts(spark: SparkSession, base: str) -> DataFrame:
     """L1 + R1: two landings, each followed by masters, marts and export; the
-    vendor mart after the second run covers both."""
+    marts that were kept up after the second run cover both."""
     root = scratch_path(spark, "landed")
     lake = runs.Lakehouse(spark, f"{root}/lake", prefix="landed")
-    raw = raw_trips(spark, base)
-    older = F.col("tpep_pickup_datetime") < F.lit(SCHEMA_CHANGE_AT).cast("timestamp_ntz")
-    for n, rows, clock in ((1, older, AS_OF), (2, ~older | older.isNull(), AS_OF_NEXT)):
-        raw.filter(rows).write.parquet(f"{root}/landing/file-{n}")
+    for n, (rows, clock) in enumerate(zip(_halves(spark, base), (AS_OF, AS_OF_NEXT)), 1):
+        rows.write.parquet(f"{root}/landing/file-{n}")
         runs.run_landed(
-            lake, f"{root}/landing", f"{root}/checkpoint", raw.schema, zone_lookup_rows(spark, base),
+            lake, f"{root}/landing", f"{root}/checkpoint", zone_lookup_rows(spark, base),
             vendor_dictionary(spark), ratecode_dictionary(spark), clock, JOB,
         )
-    return lake.table("vendor_performance").read()
+    return long_marts(runs.landed_marts(lake))
+
+
+def q_registered_tables(spark: SparkSession, base: str) -> DataFrame:
+    """Rows of the tables that a whole run leaves in the catalog, read by name."""
+    lake = runs.Lakehouse(spark, scratch_path(spark, "registered"), prefix="registered")
+    runs.run(
+        lake, raw_trips(spark, base), zone_lookup_rows(spark, base), vendor_parts(spark, base),
+        ratecode_dictionary(spark), AS_OF, JOB,
+    )
+    names = ["processed", "dim_zones", "dim_vendors", "dim_ratecodes", "steward_queue", "trip_details", *runs.MARTS, "dq_results"]
+    counts = [spark.table(lake.name(n)).agg(F.lit(n).alias("name"), F.count(F.lit(1)).alias("rows")) for n in names]
+    return reduce(DataFrame.union, counts)
+
+
+def q_sql_text_step(spark: SparkSession, base: str) -> DataFrame:
+    """A stored SQL step with named parameters over a frame."""
+    text = "SELECT VendorID, payment_type, count(*) AS trips, max(trip_distance) AS longest FROM {trips} " \
+           "WHERE tpep_pickup_datetime >= :since AND payment_type <= :top GROUP BY VendorID, payment_type"
+    return run_sql(spark, text, {"since": SCHEMA_CHANGE_AT, "top": 4}, trips=processed(spark, base))
 
 
 # -- tables that outlive a session ------------------------------------------------
 
 def q_snapshot_overwrite(spark: SparkSession, base: str) -> DataFrame:
-    """Overwrite a snapshot by one of another schema, then append."""
+    """A snapshot overwritten by one of another schema, and batches
+    added to a table, one of them twice; both are found by their path alone."""
     root = scratch_path(spark, "snapshot-overwrite")
     orders = read_table(spark, base, "orders")
     split = F.lit(ACTIVITY_SPLIT).cast("timestamp_ntz")
-    SnapshotTable(spark, "orders", root).commit(orders.select("o_orderkey", F.lit(1).alias("retired")))
+    SnapshotTable(spark, "orders", f"{root}/old").commit(orders.select("o_orderkey", F.lit(1).alias("retired")))
     wide = orders.select("o_orderkey", F.col("o_totalprice").cast("string").alias("price"), "o_orderdate")
-    SnapshotTable(spark, "orders", root).commit(wide.filter(F.col("o_orderdate") < split))
-    SnapshotTable(spark, "orders", root).append(wide.filter(F.col("o_orderdate") >= split))
-    # found by its path alone
-    return SnapshotTable(spark, "any name", root).read().select("o_orderkey", "o_orderdate")
+    SnapshotTable(spark, "orders", f"{root}/old").commit(wide.filter(F.col("o_orderdate") < split))
+    newer = wide.filter(F.col("o_orderdate") >= split)
+    for name, rows in (("even", "o_orderkey % 2 = 0"), ("odd", "o_orderkey % 2 <> 0"), ("odd", "o_orderkey % 2 <> 0")):
+        BatchTable(spark, "orders", f"{root}/new").put(newer.filter(rows), name)
+    found = SnapshotTable(spark, "any name", f"{root}/old").read().unionByName(BatchTable(spark, "x", f"{root}/new").read())
+    return found.select("o_orderkey", F.col("price").cast("double").alias("price"), "o_orderdate")
 
 
 def q_scd2_second_run(spark: SparkSession, base: str) -> DataFrame:
-    """M1–M3 through snapshot tables: two applies, each on a table found by its path."""
+    """M1–M3 on storage: two applies to a dimension in hash partitions, the second one repeated."""
     root = scratch_path(spark, "scd2-runs")
-    for batch, clock in ((activity_first(spark, base), AS_OF), (activity_next(spark, base), AS_OF_NEXT)):
-        runs.upsert_dimension(SnapshotTable(spark, "activity", root), batch, "custkey", clock)
-    return SnapshotTable(spark, "activity", root).read()
+    for batch in (activity_first(spark, base), (again := activity_next(spark, base)), again):
+        DimensionTable(spark, "activity", root, "custkey").upsert(batch)
+    return DimensionTable(spark, "activity", root, "custkey").read()
 
 
 def q_marts_one_pass(spark: SparkSession, base: str) -> DataFrame:
-    """A1–A3: all marts from one scan, their trip counts and groups per mart."""
+    """A1–A3: all marts from one scan of the joined fact."""
     combined = materialize(curated.marts_one_pass(fact(spark, base)), "marts")
-    parts = [
-        df.select(F.lit(name).alias("mart"), F.col("pickup_count" if name.startswith("loc") else "total_trips").alias("trips"))
-        for name, df in curated.split_marts(combined).items()
-    ]
-    every = parts[0].union(parts[1]).union(parts[2])
-    return every.groupBy("mart").agg(F.count("*").alias("groups"), F.sum("trips").alias("trips"))
+    return long_marts(curated.split_marts(combined))
+
+
+def q_queue_state(spark: SparkSession, base: str) -> DataFrame:
+    """The queue on storage: two appends, decisions and marks as events, the latest status per row."""
+    lake = runs.Lakehouse(spark, scratch_path(spark, "queue-events"), prefix="events")
+    rows = materialize(queue(spark, base), "queue-rows")
+    early = F.col("source_vendorid") % 2 == 0
+    lake.queue.put(rows.filter(early), "first")
+    decided = steward.decision_events(runs.queue_view(lake), F.col("confidence") >= STEWARD_APPROVES_FROM, AS_OF)
+    lake.events.put(materialize(decided, "decisions"), "decided")
+    # these arrive between the decision and the mark
+    lake.queue.put(rows.filter(~early), "second")
+    approved = runs.queue_view(lake).filter(F.col("status") == "APPROVED")
+    lake.events.put(materialize(steward.status_events(approved, "PROCESSED", AS_OF_NEXT), "marks"), "marked")
+    return runs.queue_view(lake)
+
+
+def q_load_modes(spark: SparkSession, base: str) -> DataFrame:
+    """K7: a table published twice, replaced and appended."""
+    marts = mart(spark, base, "vendor_performance")
+    found = []
+    for mode in ("overwrite", "append"):
+        path = scratch_path(spark, f"publish-{mode}")
+        for _ in range(2):
+            publish.publish(marts, publish.CONTRACTS_BY_NAME["vendor_performance"], path, mode)
+        found.append(spark.read.parquet(path).withColumn("mode", F.lit(mode)))
+    return found[0].union(found[1])
 
 
 def _published(spark: SparkSession, df: DataFrame, table: str) -> DataFrame:
@@ -461,9 +570,17 @@ def queries() -> dict[str, Query]:
         "marts_one_pass": q_marts_one_pass,
         "zones_lookup": q_zones_lookup,
         "raw_schema_evolution": q_raw_schema_evolution,
+        "schema_changes": q_schema_changes,
+        "csv_landing": q_csv_landing,
+        "sql_text_step": q_sql_text_step,
         "quarantine_batch": q_quarantine_batch,
         "incremental_landing": q_incremental_landing,
+        "drifting_landing": q_drifting_landing,
         "landed_marts": q_landed_marts,
+        "registered_tables": q_registered_tables,
+        "queue_state": q_queue_state,
+        "dq_results": q_dq_results,
+        "load_modes": q_load_modes,
         "publish_dim_zones": q_publish_dim_zones,
         "publish_dim_vendors": q_publish_dim_vendors,
         "publish_dim_ratecodes": q_publish_dim_ratecodes,

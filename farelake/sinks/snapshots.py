@@ -1,35 +1,36 @@
-"""Snapshot tables, append tables and catalog registration.
-
-Plain Parquet cannot be overwritten while it is being read, and has no
-row-level MERGE/UPDATE. A mutable table is therefore a folder of immutable
-data folders (``<root>/v=<label>/``) plus a commit log (``<root>/_commits/``).
-Commit ``n`` is one small file, created once and never changed, that lists the
-data folders of version ``n``; the highest complete commit is the current
-version. The table is found by its path alone, so its state outlives the
-session and any catalog:
-
-* ``commit`` writes the new snapshot completely, then creates the next commit
-  file (a reader sees either the old or the new version, never a half state);
-  the schema is that of the new snapshot;
-* ``append`` writes only the new rows and lists them after the current folders;
-* the previous versions stay on storage for rollback;
-* a commit may carry tags; a step that is repeated after a failure looks for
-  its tag and does nothing if its commit is already there;
-* creating a commit file fails if it exists, so of two concurrent writers one
-  fails instead of hiding the other's version.
-
-Every write lands under the shared folder, so a lost executor only costs the
-retried tasks; a finished snapshot cuts the lineage of the next run. Catalog
-registration is an optional extra (``register``).
+"""Overwritten tables, appended tables and catalog registration.
+
+Plain Parquet has no row-level MERGE/UPDATE and cannot be overwritten while it
+is read. Two kinds of table cover what the flow needs, and no table is both:
+
+* ``SnapshotTable`` is replaced as a whole. Every version is a folder that is
+  written once; a one-row pointer table names the current one. Previous folders
+  stay for rollback. A writer that has read a version commits only if that
+  version is still the current one, so a stale overwrite fails instead of
+  hiding a newer one. One writer at a time is assumed (the two steps of a
+  commit are not one transaction).
+* ``BatchTable`` only grows. A batch is one partition, written with dynamic
+  partition overwrite, so a batch that is repeated after a failure replaces
+  itself and never adds its rows twice. A gated table shows only accepted
+  batches: what a data-quality gate has not passed is never read.
+
+Both are found by their path alone and are written and read by Spark's Parquet
+source only. A finished write cuts the lineage of the next step; a lost executor
+costs the retried tasks.
 """
 
 from __future__ import annotations
 
-import json
 import re
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+class StaleSnapshotError(RuntimeError):
+    """The table has a newer version than the one this commit was computed from."""
 
 
 def _label(as_of: str | None) -> str:
@@ -37,6 +38,21 @@ def _label(as_of: str | None) -> str:
     return f"{stamp}-{uuid.uuid4().hex[:8]}" if stamp else uuid.uuid4().hex[:12]
 
 
+def read_if_exists(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame | None:
+    """The Parquet folder, or None if there is none yet or it holds no file."""
+    try:
+        return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
+    except AnalysisException as exc:
+        if exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def overwrite_partitions(df: DataFrame, path: str, columns: list[str]) -> None:
+    """Replace exactly the partitions that ``df`` has rows for."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*columns).parquet(path)
+
+
 class SnapshotTable:
     """A table under ``root`` whose content is replaced version by version."""
 
@@ -44,113 +60,115 @@ class SnapshotTable:
         self.spark = spark
         self.name = name
         self.root = root.rstrip("/")
+        self._seen: str | None = None
 
-    # -- the commit log ----------------------------------------------------------
-
-    def _file(self, path: str):
-        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return target.getFileSystem(self.spark._jsc.hadoopConfiguration()), target
-
-    def versions(self) -> list[int]:
-        """Version numbers of all commits, ascending."""
-        fs, log = self._file(f"{self.root}/_commits")
-        if not fs.exists(log):
-            return []
-        names = [status.getPath().getName() for status in fs.listStatus(log)]
-        return sorted(int(n[:-5]) for n in names if re.fullmatch(r"\d+\.json", n))
-
-    def _entry(self, version: int) -> dict | None:
-        """Content of a commit; None if its writer was lost while creating it."""
-        fs, target = self._file(f"{self.root}/_commits/{version:010d}.json")
-        stream = fs.open(target)
-        try:
-            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-        try:
-            return json.loads(text)
-        except ValueError:
+    def location(self) -> str | None:
+        """Folder of the current version."""
+        pointer = read_if_exists(self.spark, f"{self.root}/current")
+        row = pointer.select("path").first() if pointer is not None else None
+        if row is None:
             return None
-
-    def _current(self) -> dict | None:
-        for version in reversed(self.versions()):
-            entry = self._entry(version)
-            if entry is not None:
-                return entry
-        return None
-
-    def _record(self, paths: list[str], tags: list[str]) -> None:
-        inside = f"{self.root}/"
-        body = {"paths": [p.removeprefix(inside) for p in paths], "tags": tags}
-        version = (self.versions() or [0])[-1] + 1
-        fs, target = self._file(f"{self.root}/_commits/{version:010d}.json")
-        stream = fs.create(target, False)
-        try:
-            stream.write(json.dumps(body).encode("utf-8"))
-        finally:
-            stream.close()
-
-    def _full(self, path: str) -> str:
-        return path if "/" in path else f"{self.root}/{path}"
-
-    # -- reading -----------------------------------------------------------------
+        return row["path"] if "/" in row["path"] else f"{self.root}/{row['path']}"
 
     def exists(self) -> bool:
-        return self._current() is not None
+        return self.location() is not None
 
-    def paths(self, version: int | None = None) -> list[str]:
-        """Data folders of a version (default: the current one)."""
-        entry = self._current() if version is None else self._entry(version)
-        return [self._full(p) for p in entry["paths"]] if entry else []
-
-    def read(self, version: int | None = None) -> DataFrame:
-        """One version of the table, with that version's schema."""
-        paths = self.paths(version)
-        if not paths:
+    def read(self, path: str | None = None) -> DataFrame:
+        """The current version, with that version's schema (or the version in ``path``)."""
+        path = path or self.location()
+        if not path:
             raise FileNotFoundError(f"no snapshot of {self.name} under {self.root}")
-        reader = self.spark.read
-        if len(paths) > 1:
-            reader = reader.option("mergeSchema", "true")
-        return reader.parquet(*paths)
-
-    def location(self) -> str | None:
-        """Folder of the current snapshot (the last one appended)."""
-        paths = self.paths()
-        return paths[-1] if paths else None
-
-    def has_tag(self, tag: str) -> bool:
-        """Whether any commit carries ``tag``."""
-        return any(tag in (self._entry(v) or {"tags": []})["tags"] for v in self.versions())
-
-    # -- writing -----------------------------------------------------------------
+        self._seen = path
+        return self.spark.read.parquet(path)
 
     def stage(self, df: DataFrame, as_of: str | None = None) -> str:
-        """Write ``df`` as a new data folder without making it current."""
+        """Write ``df`` as a new version without making it current."""
         path = f"{self.root}/v={_label(as_of)}"
         df.write.mode("errorifexists").parquet(path)
         return path
 
-    def commit(self, df: DataFrame, as_of: str | None = None, tags: list[str] | None = None) -> str:
-        """K1: write ``df`` as the next snapshot and make it current."""
-        return self.adopt(self.stage(df, as_of), tags)
-
-    def adopt(self, path: str, tags: list[str] | None = None) -> str:
-        """Make an already written data folder the current snapshot."""
-        self._record([path], tags or [])
+    def adopt(self, path: str) -> str:
+        """Make an already written version the current one."""
+        current = self.location()
+        if self._seen is not None and current != self._seen:
+            raise StaleSnapshotError(f"{self.name}: read {self._seen}, but {current} is current now")
+        row = self.spark.range(1).select(
+            F.lit(path.removeprefix(f"{self.root}/")).alias("path"), F.lit("current").alias("slot")
+        )
+        # the new row is written before the old one goes
+        overwrite_partitions(row, f"{self.root}/current", ["slot"])
+        self._seen = path
         return path
 
-    def append(self, df: DataFrame, as_of: str | None = None, tags: list[str] | None = None) -> str:
-        """K3: add rows; what is already there is not rewritten."""
-        return self.adopt_more(self.stage(df, as_of), tags)
+    def commit(self, df: DataFrame, as_of: str | None = None) -> str:
+        """K1: write ``df`` as the next version and make it current."""
+        return self.adopt(self.stage(df, as_of))
 
-    def adopt_more(self, path: str, tags: list[str] | None = None) -> str:
-        """Add an already written data folder to the current snapshot."""
-        self._record([*self.paths(), path], tags or [])
-        return path
+    def register(self, name: str | None = None) -> None:
+        """K5: the current version as an external table of the catalog."""
+        register_external(self.spark, name or self.name, self.location(), replace=True)
+
+
+class BatchTable:
+    """A table under ``root`` that grows by batches (partition column ``batch``)."""
+
+    def __init__(self, spark: SparkSession, name: str, root: str, gated: bool = False):
+        self.spark = spark
+        self.name = name
+        self.root = root.rstrip("/")
+        self.gated = gated
+
+    @property
+    def data(self) -> str:
+        return f"{self.root}/data"
+
+    def put(self, df: DataFrame, batch: str) -> None:
+        """K3: add (or repeat) one batch; other batches are not touched."""
+        self.put_all(df.withColumn("batch", F.lit(batch)))
+
+    def put_all(self, df: DataFrame) -> None:
+        """Like ``put`` for several batches, named by the column ``batch``."""
+        overwrite_partitions(df, self.data, ["batch"])
+
+    def accept(self, batch: str) -> None:
+        """Make a batch of a gated table visible."""
+        row = self.spark.range(1).select(F.lit(batch).alias("name"), F.lit(batch).alias("batch"))
+        overwrite_partitions(row, f"{self.root}/accepted", ["batch"])
+
+    def accepted(self) -> DataFrame:
+        """``(batch)``: the batches that readers see."""
+        found = read_if_exists(self.spark, f"{self.root}/accepted")
+        return found.select(F.col("name").alias("batch")) if found is not None else self.spark.range(0).select(F.lit("").alias("batch"))
+
+    def rows_of(self, batch: str) -> DataFrame:
+        """The rows of one batch, seen or not (one partition is read)."""
+        return self.spark.read.parquet(f"{self.data}/batch={batch}")
+
+    def read(self, batches: DataFrame | None = None, keep_batch: bool = False) -> DataFrame:
+        """All rows that readers see, of the given ``batches`` if any.
+
+        The batches are a semi-join on the partition column, so the planner
+        prunes the folders of all others.
+        """
+        found = read_if_exists(self.spark, self.data)
+        if found is None:
+            raise FileNotFoundError(f"no batch of {self.name} under {self.root}")
+        found = found.withColumn("batch", F.col("batch").cast("string"))
+        if self.gated:
+            found = found.join(self.accepted(), "batch", "left_semi")
+        if batches is not None:
+            found = found.join(batches, "batch", "left_semi")
+        rows = [c for c in found.columns if c != "batch"]
+        return found.select(*rows, "batch") if keep_batch else found.select(*rows)
+
+    def exists(self) -> bool:
+        if read_if_exists(self.spark, self.data) is None:
+            return False
+        return not self.gated or bool(self.accepted().limit(1).count())
 
-    def register(self) -> None:
-        """Make the current version readable by name in this session's catalog."""
-        self.read().createOrReplaceTempView(self.name)
+    def register(self, name: str | None = None, batch: str | None = None) -> None:
+        """K5: the folder as an external table; a known table learns one more partition."""
+        register_external(self.spark, name or self.name, self.data, {"batch": batch} if batch else None, partitioned=True)
 
 
 def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
@@ -161,16 +179,33 @@ def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> N
     writer.parquet(path)
 
 
-def register_external(spark: SparkSession, name: str, path: str, partitioned: bool = False) -> None:
+def register_external(
+    spark: SparkSession,
+    name: str,
+    path: str,
+    partition: dict[str, str] | None = None,
+    partitioned: bool = False,
+    replace: bool = False,
+) -> None:
     """K5: ``CREATE TABLE IF NOT EXISTS ... USING parquet LOCATION``.
 
-    For a partitioned folder the catalog learns new partitions with
-    ``MSCK REPAIR TABLE`` (call again after each append).
+    A table whose folder moves with every version is created anew
+    (``replace``; the files stay). The partitions of a partitioned folder are
+    recovered when the catalog sees it first; later each new ``partition`` is
+    added on its own, without listing the others.
     """
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{path}'")
-    if partitioned:
+    known = spark.catalog.tableExists(name)
+    if known and replace:
+        spark.sql(f"DROP TABLE {name}")
+        known = False
+    if not known:
+        spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
+    if partitioned and (not known or not partition):
         spark.sql(f"MSCK REPAIR TABLE {name}")
-        spark.sql(f"REFRESH TABLE {name}")
+    elif partitioned:
+        spec = ", ".join(f"{column}='{value}'" for column, value in partition.items())
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({spec})")
+    spark.sql(f"REFRESH TABLE {name}")
 
 
 def materialize(df: DataFrame, label: str = "materialized") -> DataFrame:

@@ -5,17 +5,13 @@ layout (FIXTURES.md §A). Money is divided by 7 so that no half-cent ties reach
 ``round``; dates move by ten years so that most trips pass the year-2000 bound.
 Every filter stage rejects something on this data.
 
-``read_landing`` is the real-world entry point: a folder of landed Parquet
-batches whose schema may drift over time.
+``farelake.sources.landing`` reads folders of landed files whose schema may drift.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from farelake.constants import TRIP_COLUMNS
 from farelake.sources.tables import read_table
 
 # SQL expressions of the adapter; they also run unchanged in DuckDB.
@@ -51,80 +47,3 @@ def raw_trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
 def raw_trips(spark: SparkSession, base_dir: str) -> DataFrame:
     """Full scan of the raw trip landing (adapter over ``lineitem``)."""
     return raw_trips_from_lineitem(read_table(spark, base_dir, "lineitem"))
-
-
-# The declared types of a raw trip; a landing may hold them as other types.
-RAW_TRIP_TYPES: dict[str, str] = {
-    c: "timestamp_ntz" if c.endswith("_datetime")
-    else "string" if c == "store_and_fwd_flag"
-    else "bigint" if c in ("VendorID", "PULocationID", "DOLocationID", "payment_type")
-    else "double"
-    for c in TRIP_COLUMNS
-}
-
-
-def landing_schemas(spark: SparkSession, path: str) -> list[tuple[T.StructType, list[str]]]:
-    """The file groups of a landing: each distinct schema with its folders.
-
-    Every sub-folder is one landed batch, written by one job, hence of one
-    schema; the folder itself is the only batch when it has no sub-folders.
-    One footer per batch is read.
-    """
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    children = [s for s in fs.listStatus(root) if not s.getPath().getName().startswith(("_", "."))]
-    batches = [s.getPath().toString() for s in children if s.isDirectory()] or [path]
-    groups: dict[str, tuple[T.StructType, list[str]]] = {}
-    for batch in sorted(batches):
-        schema = spark.read.parquet(batch).schema
-        groups.setdefault(schema.json(), (schema, []))[1].append(batch)
-    return list(groups.values())
-
-
-def schema_drift(spark: SparkSession, path: str) -> list[tuple[str, str, str]]:
-    """``(column, change, batch)`` for every landed batch that differs from the
-    declared trip schema: ``missing``, ``extra`` or ``type: <landed type>``."""
-    found = []
-    for schema, batches in landing_schemas(spark, path):
-        landed = {f.name: f.dataType.simpleString() for f in schema}
-        for batch in batches:
-            for name, declared in RAW_TRIP_TYPES.items():
-                if name not in landed:
-                    found.append((name, "missing", batch))
-                elif landed[name] != declared:
-                    found.append((name, f"type: {landed[name]}", batch))
-            found += [(name, "extra", batch) for name in landed if name not in RAW_TRIP_TYPES]
-    return found
-
-
-def read_landing(spark: SparkSession, path: str) -> DataFrame:
-    """Read a landing folder of Parquet batches with schema drift.
-
-    Batches are read by their own schema, one scan per distinct schema, and
-    brought to the declared one: a column that a batch does not have is a
-    typed NULL, a column that landed as another type is cast (NULL when a
-    value does not fit), strings stay strings for the standardizing step to
-    parse when every batch landed them so. Extra columns follow the trip
-    columns; ``schema_drift`` lists all differences.
-    """
-    groups = landing_schemas(spark, path)
-    types = dict(RAW_TRIP_TYPES)
-    for name in TRIP_COLUMNS:
-        landed = {s[name].dataType.simpleString() for s, _ in groups if name in s.names}
-        if landed == {"string"}:
-            types[name] = "string"
-    extra = sorted({n for s, _ in groups for n in s.names if n not in types})
-    parts = []
-    for schema, batches in groups:
-        df = spark.read.parquet(*batches)
-        columns = [
-            (F.col(n) if schema[n].dataType.simpleString() == t else F.col(n).try_cast(t)).alias(n)
-            if n in schema.names
-            else F.lit(None).cast(t).alias(n)
-            for n, t in types.items()
-        ]
-        parts.append(df.select(*columns, *[n for n in extra if n in schema.names]))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part, allowMissingColumns=True)
-    return out

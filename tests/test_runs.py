@@ -1,16 +1,22 @@
-"""End-to-end run over snapshot tables, plus streaming pick-up."""
+"""End-to-end runs over stored tables, plus streaming pick-up."""
 
 from __future__ import annotations
 
+import glob
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
+from farelake.operators import curated, golden
 from farelake.plans import catalog, runs
 from farelake.session import scratch_path
+from farelake.sources.landing import SchemaLog
 from farelake.sources.lookups import ratecode_dictionary, vendor_dictionary, zone_lookup_rows
 from farelake.sources.masters import vendor_names
 from farelake.sources.trips import raw_trips
-from farelake.sinks.snapshots import SnapshotTable
+from farelake.sinks.dimensions import DimensionTable
+from farelake.sinks.snapshots import BatchTable, SnapshotTable, StaleSnapshotError
 from farelake.streaming.incremental import process_landing
 
 AS_OF = "2026-01-01 00:00:00"
@@ -31,8 +37,6 @@ def test_full_run_and_rerun(spark, small_dir):
     assert fact.count() == processed.count() == catalog.processed(spark, small_dir).count()
     for mart, col in [("daily_metrics", "total_trips"), ("vendor_performance", "total_trips"), ("location_performance", "pickup_count")]:
         assert lake.table(mart).read().agg(F.sum(col)).first()[0] == fact.count()
-    from farelake.operators import curated
-
     one_mart = {
         "daily_metrics": curated.daily_metrics(fact),
         "location_performance": curated.location_performance(fact, ordered=False),
@@ -41,13 +45,14 @@ def test_full_run_and_rerun(spark, small_dir):
     for name, expected in one_mart.items():
         got = lake.table(name).read()
         assert got.columns == expected.columns
+        assert spark.table(lake.name(name)).count() == got.count()
         assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0, name
     exported = spark.read.parquet(f"{lake.export_path}/trip_details")
     assert exported.count() == fact.count() and dict(exported.dtypes)["vendorid"] == "int"
 
     # second run of the master job: every key closed and reopened (version 2)
     runs.build_masters(lake, zone_lookup_rows(spark, small_dir), vendors, ratecode_dictionary(spark), AS_OF_2)
-    zones = lake.table("dim_zones").read()
+    zones = lake.dimension("dim_zones").read()
     assert zones.filter("is_current_flag").agg(F.min("version"), F.max("version")).first() == (2, 2)
     assert zones.filter(~F.col("is_current_flag")).count() == zones.filter("is_current_flag").count()
 
@@ -59,16 +64,13 @@ def test_steward_review_promotes_and_marks(spark, small_dir):
         lake, zone_lookup_rows(spark, small_dir), names, ratecode_dictionary(spark), AS_OF
     )
     assert pending > 0
-    queue = lake.table("steward_queue")
-    decided = queue.read().withColumn(
-        "status", F.when(F.col("confidence") >= 90, F.lit("APPROVED")).otherwise(F.col("status"))
-    )
-    queue.commit(decided, AS_OF)
+    decided = catalog.steward.decision_events(runs.queue_view(lake), F.col("confidence") >= 90, AS_OF)
+    lake.events.put(decided, "decided")
     promoted = runs.review_queue(lake, AS_OF_2)
     assert promoted > 0
-    statuses = {r["status"] for r in queue.read().collect()}
+    statuses = {r["status"] for r in runs.queue_view(lake).collect()}
     assert "APPROVED" not in statuses and "PROCESSED" in statuses
-    dim = lake.table("dim_vendors").read()
+    dim = lake.dimension("dim_vendors").read()
     assert dim.filter(F.col("approved_by") == "STEWARD_APPROVED").count() == promoted
     assert runs.review_queue(lake, AS_OF_2) == 0  # nothing approved twice
 
@@ -88,19 +90,24 @@ def test_failed_gate_quarantines_and_stops(spark, small_dir):
     assert spark.read.parquet(lake.dq_results_path).first()["decision"] == "QUARANTINE"
 
 
+def landing_args(spark, root):
+    return dict(
+        landing_path=f"{root}/landing", processed=BatchTable(spark, "processed", f"{root}/processed", gated=True),
+        quarantine_path=f"{root}/quarantine", checkpoint_path=f"{root}/checkpoint", as_of=AS_OF,
+        dq_results_path=f"{root}/dq_results", schema_log=SchemaLog(spark, f"{root}/log"), corrupt_path=f"{root}/corrupt",
+    )
+
+
 def test_incremental_equals_full_refresh(spark, small_dir):
     root = scratch_path(spark, "inc")
     raw = raw_trips(spark, small_dir)
     older = F.col("tpep_pickup_datetime") < F.lit("2008-01-01 00:00:00").cast("timestamp_ntz")
-    table = SnapshotTable(spark, "processed", f"{root}/processed")
-    args = dict(
-        landing_path=f"{root}/landing", schema=raw.schema, processed=table,
-        quarantine_path=f"{root}/quarantine", checkpoint_path=f"{root}/checkpoint", as_of=AS_OF,
-        dq_results_path=f"{root}/dq_results",
-    )
+    args = landing_args(spark, root)
+    table = args["processed"]
     raw.filter(older).write.parquet(f"{root}/landing/f1")
     first = process_landing(spark, **args)
     n1 = table.read().count()
+    files = set(glob.glob(f"{root.removeprefix('file:')}/processed/data/*/*.parquet"))
     again = process_landing(spark, **args)  # nothing new landed
     assert again.batches == [] and table.read().count() == n1
     raw.filter(~older).write.parquet(f"{root}/landing/f2")
@@ -110,9 +117,11 @@ def test_incremental_equals_full_refresh(spark, small_dir):
     assert first.batches and total.count() == full.count() > n1
     assert total.exceptAll(full).count() == 0
     assert spark.read.parquet(f"{root}/dq_results").select("run_id").distinct().count() == 2
-    assert len(table.paths()) == 2  # appended, not rewritten
-    # a batch that is retried after its commit is not appended again
-    assert table.has_tag(f"{root}/checkpoint 0") and table.has_tag(f"{root}/checkpoint 1")
+    assert files < set(glob.glob(f"{root.removeprefix('file:')}/processed/data/*/*.parquet"))  # added, not rewritten
+    # a batch that is written again replaces itself
+    name = first.names[0]
+    table.put(spark.createDataFrame(table.rows_of(name).collect(), table.rows_of(name).schema), name)
+    assert table.read().count() == full.count()
 
 
 def test_failed_micro_batch_stops_the_run(spark, small_dir):
@@ -121,11 +130,8 @@ def test_failed_micro_batch_stops_the_run(spark, small_dir):
     root = scratch_path(spark, "inc-fail")
     raw = raw_trips(spark, small_dir)
     raw.write.parquet(f"{root}/landing/f1")
-    table = SnapshotTable(spark, "processed", f"{root}/processed")
-    args = dict(
-        landing_path=f"{root}/landing", schema=raw.schema, processed=table,
-        quarantine_path=f"{root}/quarantine", checkpoint_path=f"{root}/checkpoint", as_of=AS_OF,
-    )
+    args = landing_args(spark, root)
+    table = args["processed"]
     strict = (Rule('ColumnValues "fare_amount" >= 1000000', "fare_amount", "min", 1000000),)
     with pytest.raises(runs.DataQualityError):
         process_landing(spark, **args, ruleset=strict)
@@ -135,6 +141,110 @@ def test_failed_micro_batch_stops_the_run(spark, small_dir):
     assert table.read().count() == catalog.processed(spark, small_dir).count()
 
 
+def test_stream_under_drift_equals_batch_read(spark, small_dir):
+    """Landed files that lack, re-type and add columns; CSV beside Parquet; unreadable rows kept apart."""
+    from farelake.operators.validate import processed_trips
+    from farelake.sources.landing import read_landing
+
+    root = scratch_path(spark, "inc-drift")
+    args = landing_args(spark, root)
+    lacking, retyped, extra = catalog.drifting_files(spark, small_dir)
+    lacking.write.parquet(f"{root}/landing/a")
+    retyped.write.option("header", "true").csv(f"{root}/landing/b")
+    process_landing(spark, **args)
+    inspected = args["schema_log"].read().select("path").distinct().count()
+    extra.withColumn("passenger_count", F.lit("n/a")).limit(3).write.parquet(f"{root}/landing/c")
+    extra.write.parquet(f"{root}/landing/d")
+    process_landing(spark, **args)
+    got, want = args["processed"].read(), processed_trips(read_landing(spark, f"{root}/landing"), AS_OF)
+    assert got.count() == want.count() > 0 and got.exceptAll(want).count() == 0
+    corrupt = spark.read.parquet(f"{root}/corrupt")
+    assert corrupt.count() == 3 and '"passenger_count":"n/a"' in corrupt.first()["_corrupt_record"]
+    log = args["schema_log"].read()
+    assert log.select("path").distinct().count() > inspected
+    assert log.groupBy("path", "position").count().filter("count > 1").count() == 0
+
+
+def test_known_files_are_not_inspected_again(spark, small_dir, monkeypatch):
+    from farelake.sources import landing
+
+    root = scratch_path(spark, "log")
+    log, seen = SchemaLog(spark, f"{root}/log"), []
+    real = landing.inspect
+    monkeypatch.setattr(landing, "inspect", lambda s, paths: seen.append(len(paths)) or real(s, paths))
+    for n, rows in enumerate(catalog.drifting_files(spark, small_dir), 1):
+        rows.coalesce(1).write.parquet(f"{root}/landing/{n}")
+        landing.read_landing(spark, f"{root}/landing", log)
+    assert seen == [1, 1, 1]
+    found = {(r["column"], r["change"]) for r in landing.changes(log.read()).collect()}
+    assert {("sensor", "added"), ("passenger_count", "retyped"), ("cbd_congestion_fee", "missing")} <= found
+    raw_trips(spark, small_dir).limit(5).drop("extra").coalesce(1).write.parquet(f"{root}/landing/4")
+    log.learn(landing.landed_files(spark, f"{root}/landing"))
+    last = [r for r in landing.changes(log.read()).collect() if "/landing/4/" in r["path"]]
+    assert {("extra", "dropped"), ("sensor", "dropped"), ("extra", "missing")} <= {(r["column"], r["change"]) for r in last}
+
+
+def test_corrupt_csv_lines_do_not_depend_on_the_columns_asked_for(spark, tmp_path):
+    from farelake.constants import TRIP_COLUMNS
+    from farelake.sources.landing import read_landing
+
+    path = str(tmp_path / "landing")
+    os.makedirs(path)
+    good = {c: "1" for c in TRIP_COLUMNS} | {c: "2020-01-01 00:00:00" for c in TRIP_COLUMNS if c.endswith("datetime")}
+    with open(f"{path}/x.csv", "w") as f:
+        f.write(",".join(TRIP_COLUMNS) + "\n")
+        for change in ({}, {"fare_amount": "ten"}, {"extra": ""}):
+            f.write(",".join((good | change).values()) + "\n")
+    landed = read_landing(spark, path)
+    assert landed.count() == 2 == len(landed.collect()) == landed.select("extra").count()
+    assert landed.filter("extra is null").count() == 1
+
+
+def parquet_files(path):
+    return {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{path.removeprefix('file:')}/**/*.parquet", recursive=True)}
+
+
+def test_landings_rewrite_touched_months_only(spark, small_dir):
+    """The second landing leaves the files of all other months and batches alone; the marts equal a full refresh."""
+    root = scratch_path(spark, "inc-marts")
+    lake = runs.Lakehouse(spark, f"{root}/lake", prefix="t_marts")
+    raw = raw_trips(spark, small_dir)
+    day = F.to_date("tpep_pickup_datetime")
+    masters = (zone_lookup_rows(spark, small_dir), vendor_dictionary(spark), ratecode_dictionary(spark))
+    later = (day >= F.lit("2006-01-01")) | (F.col("PULocationID") % 7 == 0) & (day >= F.lit("2005-01-01"))
+    raw.filter(~later).write.parquet(f"{root}/landing/1")
+    runs.run_landed(lake, f"{root}/landing", f"{root}/cp", *masters, AS_OF)
+    state, daily, facts = (parquet_files(lake.path(n)) for n in ("mart_state", "daily_metrics", "trip_details"))
+    raw.filter(later).write.parquet(f"{root}/landing/2")
+    second = runs.run_landed(lake, f"{root}/landing", f"{root}/cp", *masters, AS_OF_2)["curated"]
+    touched = set(second["months"])
+    assert len(second["batches"]) == 1 and touched and min(touched) >= 200501
+    now = parquet_files(lake.path("daily_metrics"))
+    kept = {f for f in daily if int(f.split("/month=")[1].split("/")[0]) not in touched}
+    assert kept and all(now.get(f) == daily[f] for f in kept)
+    assert not {f for f in now if f in daily and f not in kept}
+    for before, name in ((state, "mart_state"), (facts, "trip_details")):
+        after = parquet_files(lake.path(name))
+        assert all(after.get(f) == t for f, t in before.items()) and len(after) > len(before)
+    fact = catalog.fact(spark, small_dir)
+    for name, expected in (
+        ("daily_metrics", curated.daily_metrics(fact)),
+        ("location_performance", curated.location_performance(fact, ordered=False)),
+        ("vendor_performance", curated.vendor_performance(fact)),
+    ):
+        got = runs.landed_marts(lake)[name].select(*expected.columns)
+        assert got.count() == expected.count() and got.exceptAll(expected).count() == 0, name
+    assert spark.read.parquet(f"{lake.export_path}/trip_details").count() == fact.count()
+    # nothing new: nothing is touched; a batch whose last step was lost is repeated without harm
+    assert runs.update_curated(lake, AS_OF_2) == {"batches": [], "months": []}
+    # a renamed vendor reaches all months
+    renamed = vendor_dictionary(spark).withColumn("vendor_name", F.concat("vendor_name", F.lit("!")))
+    runs.run_landed(lake, f"{root}/landing", f"{root}/cp", masters[0], renamed, masters[2], "2026-01-03 00:00:00")
+    names = {r[0] for r in runs.landed_marts(lake)["daily_metrics"].select("vendor_name").distinct().collect()}
+    assert names and all(n.endswith("!") for n in names)
+    assert lake.batches("trip_details").read().filter("vendor_name not like '%!'").count() == 0
+
+
 def test_duplicate_dimension_key_fails_before_any_write(spark):
     lake = runs.Lakehouse(spark, scratch_path(spark, "lake"), prefix="t_dup")
     lookup = spark.createDataFrame(
@@ -143,42 +253,68 @@ def test_duplicate_dimension_key_fails_before_any_write(spark):
     )
     with pytest.raises(ValueError, match="not unique"):
         runs.build_masters(lake, lookup, vendor_dictionary(spark), ratecode_dictionary(spark), AS_OF)
-    assert not lake.table("dim_zones").exists()
+    assert not lake.dimension("dim_zones").exists()
 
 
-def test_promotion_is_safe_to_repeat(spark):
-    lake = runs.Lakehouse(spark, scratch_path(spark, "lake"), prefix="t_again")
+def small_queue(spark, prefix):
+    lake = runs.Lakehouse(spark, scratch_path(spark, "lake"), prefix=prefix)
     vendors = spark.createDataFrame([(1, "cold rod"), (2, "old rod")], "vendorid bigint, vendor_name string")
     lookup = spark.createDataFrame([("1", "Q", "A", "x")], "LocationID string, Borough string, Zone string, service_zone string")
     assert runs.build_masters(lake, lookup, vendors, ratecode_dictionary(spark), AS_OF) == 1
-    queue = lake.table("steward_queue")
-    queue.commit(queue.read().withColumn("status", F.lit("APPROVED")), AS_OF)
-    version = queue.versions()[-1]
-    assert runs.review_queue(lake, AS_OF_2) == 1
-    after = lake.table("dim_vendors").read().count()
-    # the queue commit is lost: the same version of the queue is reviewed again
-    fs, last = queue._file(f"{queue.root}/_commits/{queue.versions()[-1]:010d}.json")
-    fs.delete(last, False)
-    assert queue.versions()[-1] == version
-    runs.review_queue(lake, AS_OF_2)
-    assert lake.table("dim_vendors").read().count() == after
-    # a second master run appends to the queue; its own new rows are counted
-    assert runs.build_masters(lake, lookup, vendors, ratecode_dictionary(spark), AS_OF_2) == 1
-    assert queue.read().count() == 2
+    return lake, vendors, lookup
+
+
+def approve_all(lake, as_of, name):
+    lake.events.put(catalog.steward.decision_events(runs.queue_view(lake), F.lit(True), as_of), name)
+
+
+def test_promotion_after_a_failure_happens_once(spark, monkeypatch):
+    """The review dies after the dimension was changed; a row is appended; the next review promotes nothing twice."""
+    lake, vendors, lookup = small_queue(spark, "t_again")
+    approve_all(lake, AS_OF, "d1")
+    real = runs.steward.status_events
+    monkeypatch.setattr(runs.steward, "status_events", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        runs.review_queue(lake, AS_OF_2)
+    monkeypatch.setattr(runs.steward, "status_events", real)
+    after = lake.dimension("dim_vendors").read().count()
+    late = lake.queue.read().withColumns({"source_vendorid": F.lit(2).cast("bigint"), "matched_vendorid": F.lit(1).cast("bigint")})
+    lake.queue.put(spark.createDataFrame(late.collect(), late.schema), "late")
+    runs.review_queue(lake, "2026-01-03 00:00:00")
+    dim = lake.dimension("dim_vendors").read()
+    assert dim.count() == after and dim.filter("vendorid = 1").agg(F.max("version")).first()[0] == 2
+    # the appended row is still there, and still waits
+    assert {r["source_vendorid"]: r["status"] for r in runs.queue_view(lake).collect()} == {1: "PROCESSED", 2: "PENDING_REVIEW"}
+    # approving it promotes it alone
+    approve_all(lake, "2026-01-03 00:00:00", "d2")
+    assert runs.review_queue(lake, "2026-01-04 00:00:00") == 1
+    assert lake.dimension("dim_vendors").read().filter("vendorid = 2").agg(F.max("version")).first()[0] == 2
+    # a second master run adds its own rows to the queue
+    assert runs.build_masters(lake, lookup, vendors, ratecode_dictionary(spark), "2026-01-05 00:00:00") == 1
+    assert lake.queue.read().count() == 3
+
+
+def test_append_between_read_and_mark_survives(spark):
+    lake, *_ = small_queue(spark, "t_between")
+    approve_all(lake, AS_OF, "d1")
+    read = runs.queue_view(lake).filter("status = 'APPROVED'")
+    more = spark.createDataFrame([(i, f"n{i}", 9, "m", 85.0, "PENDING_REVIEW", None, "j") for i in range(5)], read.schema)
+    lake.queue.put(more, "between")
+    lake.events.put(catalog.steward.status_events(read, "PROCESSED", AS_OF_2), "mark")
+    states = [r["status"] for r in runs.queue_view(lake).collect()]
+    assert sorted(states) == ["PENDING_REVIEW"] * 5 + ["PROCESSED"]
 
 
 SECOND_PROCESS = """
 import sys
 sys.path.insert(0, {repo!r})
 from farelake.session import build_session
-from farelake.sinks.snapshots import SnapshotTable
 from farelake.operators import golden
-from farelake.plans import runs
+from farelake.sinks.dimensions import DimensionTable
 spark = build_session("local[2]", shuffle_partitions=2, extra={{"spark.checkpoint.dir": {root!r}}})
 spark.sparkContext.setCheckpointDir({root!r})
-table = SnapshotTable(spark, "dim", {root!r} + "/dim")
 rows = spark.createDataFrame([(1, {name!r}), (2, "b")], "id bigint, name string")
-runs.upsert_dimension(table, rows.select("id", "name", *golden.audit_block({as_of!r})), "id", {as_of!r})
+DimensionTable(spark, "dim", {root!r} + "/dim", "id").upsert(rows.select("id", "name", *golden.audit_block({as_of!r})))
 """
 
 
@@ -190,22 +326,88 @@ def test_history_survives_the_session(spark, tmp_path):
     for name, as_of in (("a", AS_OF), ("a2", AS_OF_2)):
         code = SECOND_PROCESS.format(repo=repo, root=root, name=name, as_of=as_of)
         subprocess.run([sys.executable, "-c", code], check=True, timeout=180, capture_output=True)
-    rows = SnapshotTable(spark, "t_dim", f"{root}/dim").read().orderBy("id", "version").collect()
+    rows = DimensionTable(spark, "t_dim", f"{root}/dim", "id").read().orderBy("id", "version").collect()
     assert [(r["id"], r["name"], r["version"], r["is_current_flag"]) for r in rows] == [
         (1, "a", 1, False), (1, "a2", 2, True), (2, "b", 1, False), (2, "b", 2, True),
     ]
 
 
+def dim_batch(spark, rows, as_of, columns="id bigint, name string"):
+    df = spark.createDataFrame(rows, columns)
+    return df.select(*df.columns, *golden.audit_block(as_of))
+
+
+def test_small_batch_rewrites_its_partitions_only(spark):
+    from farelake.operators import scd2
+
+    root = scratch_path(spark, "dim")
+    table = DimensionTable(spark, "t_parts", root, "id", partitions=8)
+    first = dim_batch(spark, [(i, f"n{i}") for i in range(200)], AS_OF)
+    assert table.upsert(first) == list(range(8))
+    before = parquet_files(root)
+    batch = dim_batch(spark, [(3, "x"), (1000, "y")], AS_OF_2)
+    touched = table.upsert(batch)
+    after = parquet_files(root)
+    part = lambda f: int(f.split("/part=")[1].split("/")[0])
+    assert 1 <= len(touched) <= 2
+    assert {f: t for f, t in before.items() if part(f) not in touched} == {f: t for f, t in after.items() if part(f) not in touched}
+    assert not {f for f in before if part(f) in touched} & set(after)
+    want = scd2.apply_batch(scd2.initial_load(first), batch, "id")
+    assert table.read().count() == want.count() and table.read().select(*want.columns).exceptAll(want).count() == 0
+    # repeated, also after a loss of one partition's rewrite: nothing is versioned twice
+    assert table.upsert(batch) == [] and table.read().count() == want.count()
+
+
+def test_dimension_takes_new_columns(spark):
+    table = DimensionTable(spark, "t_wide", scratch_path(spark, "dim"), "id", partitions=4)
+    table.upsert(dim_batch(spark, [(i, "a") for i in range(20)], AS_OF))
+    table.upsert(dim_batch(spark, [(1, "b", "z")], AS_OF_2, "id bigint, name string, site string"))
+    rows = {(r["id"], r["version"]): (r["name"], r["site"]) for r in table.read().collect()}
+    assert len(rows) == 21 and rows[1, 2] == ("b", "z") and rows[1, 1] == ("a", None) and rows[5, 1] == ("a", None)
+
+
 def test_overwrite_replaces_the_schema(spark):
-    table = SnapshotTable(spark, "t_schema", scratch_path(spark, "schema"))
-    table.commit(spark.range(2).toDF("x"))
-    table.commit(spark.range(2).selectExpr("cast(id as string) as x", "id as y"))
-    assert table.read().dtypes == [("x", "string"), ("y", "bigint")]
-    assert table.read(table.versions()[0]).dtypes == [("x", "bigint")]
-    table.append(spark.range(2, 3).selectExpr("cast(id as string) as x", "id as y", "true as z"))
-    assert table.read().count() == 3 and table.read().columns == ["x", "y", "z"]
+    root = scratch_path(spark, "schema")
+    table = SnapshotTable(spark, "t_schema", root)
+    first = table.commit(spark.range(2).toDF("x"))
+    table.commit(spark.range(3).selectExpr("cast(id as string) as x", "id as y"))
+    assert SnapshotTable(spark, "other", root).read().dtypes == [("x", "string"), ("y", "bigint")]
+    assert spark.read.parquet(first).dtypes == [("x", "bigint")]
     table.register()
     assert spark.table("t_schema").count() == 3
+    table.commit(spark.range(5).toDF("z"))
+    table.register()
+    assert spark.table("t_schema").columns == ["z"]
+
+
+def test_stale_overwrite_fails(spark):
+    """Two handles read one version; the second commit does not hide the first."""
+    root = scratch_path(spark, "stale")
+    one, two = SnapshotTable(spark, "t_stale", root), SnapshotTable(spark, "t_stale", root)
+    one.commit(spark.range(3).toDF("x"))
+    mine, other = one.read(), two.read()
+    two.commit(other.union(spark.range(5).toDF("x")))
+    with pytest.raises(StaleSnapshotError):
+        one.commit(mine)
+    assert SnapshotTable(spark, "t_stale", root).read().count() == 8
+
+
+def test_batches_replace_themselves_and_show_when_accepted(spark):
+    table = BatchTable(spark, "t_batch", scratch_path(spark, "batch"), gated=True)
+    table.put(spark.range(3).toDF("x"), "b1")
+    assert not table.exists()
+    table.accept("b1")
+    table.put(spark.range(4).toDF("x"), "b2")
+    assert table.read().count() == 3
+    table.put(spark.range(5).toDF("x"), "b2")
+    table.accept("b2")
+    table.accept("b2")
+    assert table.exists() and table.read().count() == 8
+    assert table.read(spark.createDataFrame([("b2",)], "batch string"), keep_batch=True).distinct().count() == 5
+    table.register()
+    table.put(spark.range(7).toDF("x"), "b3")
+    table.register(batch="b3")
+    assert spark.table("t_batch").count() == 15
 
 
 def test_snapshot_swap_keeps_previous_version(spark):
@@ -218,3 +420,15 @@ def test_snapshot_swap_keeps_previous_version(spark):
     assert spark.read.parquet(first).count() == 3  # previous snapshot kept for rollback
     table.adopt(first)
     assert table.read().count() == 3
+
+
+def test_gate_is_counted_by_the_write(spark, small_dir):
+    from farelake.operators import quality
+
+    trips = catalog.standardized(spark, small_dir)
+    watched, outcome = quality.observed(trips)
+    watched.write.parquet(scratch_path(spark, "observed"))
+    assert outcome() == quality.evaluate_gate(trips)
+    nothing, outcome = quality.observed(trips.filter("false"))
+    nothing.write.parquet(scratch_path(spark, "observed"))
+    assert outcome().rows == 0 and outcome().decision == "PUBLISH"
