@@ -121,15 +121,20 @@ SECRET_STEPS = [
     ("span", "SELECT *, ends - length(found) AS starts FROM (SELECT *, sum(length(gap) + length(found)) OVER "
              "(PARTITION BY doc_id, kind ORDER BY k) AS ends FROM every)"),
     ("base", f"SELECT doc_id, kind, starts, ends FROM span WHERE kind IN ('access', 'hex') OR kind = 'assign' AND length(part) >= {secrets.ASSIGN_MIN}"),
-    ("cand", f"SELECT doc_id, starts, ends, found, unnest(range(1, length(found) - {secrets.WINDOW} + 2)) AS w FROM span s "
-             f"WHERE kind = 'entropy' AND regexp_matches(found, '[0-9]') AND regexp_matches(found, '[A-Za-z]') AND NOT regexp_matches(found, {quoted(secrets.ALLOW)}) "
+    ("cand", f"SELECT doc_id, starts, ends, least({secrets.WINDOW}, length(found)) AS size, array_to_string(list_transform("
+             f"string_split_regex(found, '[/=]'), lambda x: CASE WHEN regexp_matches(x, {quoted(secrets.ALLOW)}) THEN repeat(' ', length(x)) ELSE x END), '/') AS run "
+             "FROM span s WHERE kind = 'entropy' AND regexp_matches(found, '[0-9]') AND regexp_matches(found, '[A-Za-z]') "
+             f"AND NOT regexp_matches(found, {quoted(secrets.NAME)}) "
              "AND NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = s.doc_id AND b.starts < s.ends AND b.ends > s.starts)"),
-    ("chars", f"SELECT doc_id, starts, ends, found, w, unnest(string_split(substring(found, w::INTEGER, {secrets.WINDOW}), '')) AS c FROM cand"),
-    ("counts", "SELECT doc_id, starts, ends, found, w, c, count(*) AS n FROM chars GROUP BY ALL"),
-    ("bits", f"SELECT doc_id, starts, ends, found, w, -sum(n / {secrets.WINDOW}.0 * log2(n / {secrets.WINDOW}.0)) AS h FROM counts GROUP BY ALL"),
-    ("extra", f"SELECT doc_id, 'entropy' AS kind, starts, ends FROM bits GROUP BY doc_id, starts, ends, found HAVING max(h) >= "
-              f"CASE WHEN regexp_matches(found, '^[0-9a-fA-F]+$') THEN {secrets.THRESHOLDS['hex']} "
-              f"WHEN regexp_matches(found, '^[0-9A-Z]+$') THEN {secrets.THRESHOLDS['upper']} ELSE {secrets.THRESHOLDS['mixed']} END"),
+    ("win", "SELECT doc_id, starts, ends, size, w, substring(run, w::INTEGER, size::INTEGER) AS part FROM "
+            "(SELECT *, unnest(range(1, length(run) - size + 2)) AS w FROM cand)"),
+    ("chars", "SELECT *, unnest(string_split(part, '')) AS c FROM win WHERE NOT contains(part, ' ') "
+              "AND regexp_matches(part, '[0-9]') AND regexp_matches(part, '[A-Za-z]')"),
+    ("counts", "SELECT doc_id, starts, ends, size, w, part, c, count(*) AS n FROM chars GROUP BY ALL"),
+    ("bits", "SELECT doc_id, starts, ends, size, w, part, -sum(n / size * log2(n / size)) AS h FROM counts GROUP BY ALL"),
+    ("extra", "SELECT DISTINCT doc_id, 'entropy' AS kind, starts, ends FROM bits WHERE h >= CASE "
+              + " ".join(f"WHEN regexp_matches(part, {quoted(p)}) THEN {low} + (size - {secrets.SHORTEST}) * {(high - low) / (secrets.WINDOW - secrets.SHORTEST)}"
+                         for _, p, low, high in secrets.CLASSES) + " END"),
 ]
 _RANK = "list_position(['assign', 'access', 'hex', 'entropy'], kind)"
 _JOINED = f"string_agg(kind || ':' || starts::BIGINT || ':' || ends::BIGINT, ',' ORDER BY starts, {_RANK})"

@@ -66,12 +66,33 @@ def secrets(text: str) -> list[tuple]:
     return sorted(found)
 
 
-def window_entropy(value: str, window: int) -> float:
-    best = 0.0
-    for i in range(len(value) - window + 1):
-        part = value[i : i + window]
-        best = max(best, -sum(part.count(c) / window * math.log2(part.count(c) / window) for c in set(part)))
-    return best
+def entropy(part: str) -> float:
+    return -sum(part.count(c) / len(part) * math.log2(part.count(c) / len(part)) for c in set(part))
+
+
+def random_run(value: str) -> bool:
+    """Whether a candidate run is reported, window by window."""
+    allow = re.compile(
+        "example|sample|dummy|placeholder|changeme|0123456789|123456789|abcdefgh|qwerty|000000|xxxxxx"
+        "|^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$", re.I,
+    )
+    if len(value) < 16 or not (re.search("[A-Za-z][0-9]|[0-9][A-Za-z]", value)):
+        return False
+    text = "/".join(" " * len(s) if allow.search(s) else s for s in re.split("[/=]", value))
+    size = min(20, len(text))
+    for i in range(len(text) - size + 1):
+        part = text[i : i + size]
+        if " " in part or not re.search("[0-9]", part) or not re.search("[A-Za-z]", part):
+            continue
+        if re.fullmatch("[0-9a-fA-F]+", part):
+            low, high = 2.60, 2.82
+        elif re.fullmatch("[0-9a-z]+|[0-9A-Z]+", part):
+            low, high = 3.07, 3.34
+        else:
+            low, high = 3.32, 3.58
+        if entropy(part) >= low + (size - 16) * (high - low) / 4:
+            return True
+    return False
 
 
 def license_words(text: str) -> list[str]:

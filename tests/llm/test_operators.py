@@ -131,11 +131,53 @@ def test_secret_spans(spark):
         assert added == (["qZ8x1Lm0Pp3Vt7Rr2Ss9Kd5Ww"] if r["doc_id"] == 6 else []), r["doc_id"]
 
 
-def test_window_entropy_is_exact(spark):
-    values = ["qZ8x1Lm0Pp3Vt7Rr2Ss9Kd5Ww", "aaaaaaaaaaaaaaaaaaaab1b2", "0123456789abcdef" * 4, "ab1" * 12]
-    rows = spark.createDataFrame([(v,) for v in values], "v string")
-    for r in rows.select("v", secrets.best_window_entropy(F.col("v")).alias("h")).collect():
-        assert r["h"] == pytest.approx(brute.window_entropy(r["v"], secrets.WINDOW), abs=1e-9)
+ALPHABETS = {
+    "hex": "0123456789abcdef",
+    "lower and digits": "abcdefghijklmnopqrstuvwxyz0123456789",
+    "base 62": "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789",
+    "base 64": "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/",
+}
+
+
+def reported(spark, values) -> list[bool]:
+    frame = spark.createDataFrame(list(enumerate(values)), "i long, v string")
+    rows = frame.select("i", secrets.is_high_entropy(F.col("v")).alias("hit")).collect()
+    return [r["hit"] for r in sorted(rows)]
+
+
+def test_windows_match_brute_force(spark):
+    rng = np.random.default_rng(4)
+    draw = lambda a, n: "".join(rng.choice(list(a), n))
+    values = ["aaaaaaaaaaaaaaaaaaaab1b2", "ab1" * 12, "user-name-2020-12-great-title", "a/example/" + draw(ALPHABETS["base 62"], 24)]
+    values += ["sample=" + draw(ALPHABETS["hex"], 18), "x" * 300 + "1", "word" * 80 + draw(ALPHABETS["base 62"], 22) + "word" * 80]
+    for alphabet in [*ALPHABETS.values(), "ab1", "aB/=-_1", "0123456789abcdefghij-/"]:
+        values += [draw(alphabet, int(n)) for n in rng.integers(16, 60, 40)] + [draw(alphabet, 700)]
+    assert reported(spark, values) == [brute.random_run(v) for v in values]
+
+
+@pytest.mark.parametrize("name", ALPHABETS)
+@pytest.mark.parametrize("length", [16, 20, 24, 32])
+def test_random_strings_are_found(spark, name, length):
+    """At least 98 of 100 random strings that mix letters and digits."""
+    rng = np.random.default_rng(length)
+    values = ["".join(rng.choice(list(ALPHABETS[name]), length)) for _ in range(400)]
+    values = [v for v in values if any(c.isdigit() for c in v) and any(c.isalpha() for c in v)]
+    assert np.mean(reported(spark, values)) >= 0.98
+
+
+def test_long_runs_and_many_matches_are_linear(spark):
+    import time
+
+    def seconds(text) -> float:
+        frame = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        began = time.time()
+        row = secrets.find_secrets(frame).first()
+        assert len(row["assign"]) + len(row["entropy"]) > 0, text[:20]
+        return time.time() - began
+
+    seconds("token=abcdefgh1 ")
+    assert seconds("xb1" * 350_000 + "qZ8x1Lm0Pp3Vt7Rr2Ss9Kd5Ww") < 60
+    assert seconds("token=abcdefgh1 " * 30_000) < 60
 
 
 # --- 4: licences ---------------------------------------------------------------------------------
