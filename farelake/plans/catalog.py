@@ -41,6 +41,7 @@ from farelake.sources.masters import (
 from farelake.sources.tables import read_table
 from farelake.sources.sql_text import run_sql
 from farelake.sources.trips import raw_trips
+from farelake.streaming.daily import stream_daily_metrics, streamed_metrics
 from farelake.streaming.incremental import process_landing
 
 AS_OF = DEFAULT_AS_OF
@@ -49,8 +50,8 @@ AS_OF_BETWEEN = "2026-01-01 12:00:00"
 JOB = DEFAULT_JOB
 STEWARD_APPROVES_FROM = 90.0
 ROUTING = MatchRules(auto_above=84.0, review_low=75.0)
-SCHEMA_CHANGE_AT = "2005-01-01 00:00:00"
-SECOND_CHANGE_AT = "2006-06-01 00:00:00"
+SCHEMA_CHANGE_AT = "2007-01-01 00:00:00"
+SECOND_CHANGE_AT = "2009-06-01 00:00:00"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -530,6 +531,41 @@ def q_publish_location_performance(spark: SparkSession, base: str) -> DataFrame:
     return _published(spark, curated.location_performance(fact(spark, base), ordered=False), "location_performance")
 
 
+def q_publish_colocated(spark: SparkSession, base: str) -> DataFrame:
+    """K8: an aggregate by pickup zone over the fact as published in buckets of the zone."""
+    name = "published_trip_details"
+    publish.publish_colocated(
+        fact(spark, base), publish.CONTRACTS_BY_NAME["trip_details"], scratch_path(spark, "publish-buckets"), name
+    )
+    return spark.table(name).groupBy("pulocationid").agg(
+        F.count(F.lit(1)).alias("trips"), F.round(F.sum("total_amount"), 2).alias("revenue"), F.max("trip_distance").alias("longest")
+    )
+
+
+def late_landings(facts: DataFrame) -> list[DataFrame]:
+    """Facts in three landings. Trips of the twenty days before the first cut that start in every fifth
+    zone land one late, which the watermark allows; those that are ninety days old land too late."""
+    pickup = F.col("tpep_pickup_datetime")
+    first, second = (F.lit(t).cast("timestamp_ntz") for t in (SCHEMA_CHANGE_AT, SECOND_CHANGE_AT))
+    fifth = F.col("pulocationid") % 5 == 0
+    late = fifth & (pickup < first) & ((pickup >= first - F.expr("INTERVAL 20 DAY")) | (pickup < first - F.expr("INTERVAL 90 DAY")))
+    return [
+        facts.filter((pickup < first) & ~late),
+        facts.filter(late | (pickup >= first) & (pickup < second)),
+        facts.filter(pickup >= second),
+    ]
+
+
+def q_streamed_daily_metrics(spark: SparkSession, base: str) -> DataFrame:
+    """L2: daily metrics in event time over three landings with late trips."""
+    root = scratch_path(spark, "streamed")
+    facts = materialize(fact(spark, base), "streamed-facts")
+    for n, rows in enumerate(late_landings(facts), 1):
+        rows.write.parquet(f"{root}/facts/{n}")
+        stream_daily_metrics(spark, f"{root}/facts", f"{root}/days", f"{root}/checkpoint", facts.schema, "40 days")
+    return streamed_metrics(spark, f"{root}/days")
+
+
 def queries() -> dict[str, Query]:
     return {
         "raw_trips": q_raw_trips,
@@ -585,6 +621,8 @@ def queries() -> dict[str, Query]:
         "publish_dim_vendors": q_publish_dim_vendors,
         "publish_dim_ratecodes": q_publish_dim_ratecodes,
         "publish_trip_details": q_publish_trip_details,
+        "publish_colocated": q_publish_colocated,
+        "streamed_daily_metrics": q_streamed_daily_metrics,
         "publish_daily_metrics": q_publish_daily_metrics,
         "publish_vendor_performance": q_publish_vendor_performance,
         "publish_location_performance": q_publish_location_performance,
