@@ -9,8 +9,8 @@ phrase. All occurrences of indexed words in a file are looked up and turned
 into relative positions (place in the file minus place in the template). A
 template counts when its key phrase stands at a relative position; the anchors
 of the phrase then agree on it, so no other template or word of the file and no
-common word can hide it. Its coverage weighs the ``TOP_WORDS`` highest-IDF
-indexed words that agree. Three base phrases are also searched directly.
+common word can hide it. Its coverage is the IDF weight of the indexed words that
+agree over that of all its indexed words, so verbatim text has 1. Three base phrases are also searched directly.
 
 Two scans and one aggregate over at most the template vocabulary; texts are
 never shuffled. Only built-in functions run.
@@ -52,7 +52,6 @@ TEMPLATES = [
 ]
 
 RARE_SHARE = 0.25
-TOP_WORDS = 8
 MIN_AGREE = 2
 LEAST_IDF = 0.01
 
@@ -132,8 +131,8 @@ def scan_licenses(
     """``(doc_id, n_words, places, matches)`` for every row.
 
     ``places``: base hits ``(at, label)``; ``matches``: verified templates
-    ``(template, at, coverage)`` with coverage = IDF weight of the ``TOP_WORDS``
-    highest agreeing words over the IDF weight of the template's indexed words.
+    ``(template, at, coverage)`` with coverage = IDF weight of the agreeing words
+    over the IDF weight of the template's indexed words.
     """
     index = indexed_words(idf, templates)
     names = sorted(set().union(*index))
@@ -193,7 +192,7 @@ def _template_matches(x: Column, check: Column) -> Column:
 
     def weigh(o: Column) -> Column:
         agreeing = F.filter(check["words"], lambda w: F.exists(w["at"], lambda p: holds(o + p, w["w"])))
-        weight = F.aggregate(F.slice(agreeing, 1, TOP_WORDS), F.lit(0.0), lambda acc, a: acc + a["idf"])
+        weight = F.aggregate(agreeing, F.lit(0.0), lambda acc, a: acc + a["idf"])
         return F.struct(
             check["t"].alias("template"),
             (o + check["shift"]).alias("at"),

@@ -80,12 +80,13 @@ LICENSE_STEPS = [
               "ON s.w = string_split(b.phrase, ' ')[1] AND array_to_string(ws.ws[s.i + 1:s.i + b.k], ' ') = b.phrase"),
     ("idf", "SELECT v.w, ln((SELECT count(*) + 1 FROM documents) / (count(DISTINCT s.doc_id) + 1)) AS idf "
             "FROM (SELECT DISTINCT w FROM posting) v LEFT JOIN word s USING (w) GROUP BY v.w"),
-    ("rare", f"SELECT * FROM idf WHERE idf >= ln(1 / {licenses.RARE_SHARE})"),
-    ("hit", "SELECT s.*, r.idf, dense_rank() OVER (PARTITION BY doc_id ORDER BY r.idf DESC, s.w) AS place FROM word s JOIN rare r USING (w)"),
-    ("agree", f"SELECT DISTINCT h.doc_id, p.t, h.i - p.p AS o, h.w, h.idf FROM hit h JOIN posting p USING (w) WHERE h.place <= {licenses.TOP_WORDS}"),
-    ("total", "SELECT t, sum(idf) AS weight, count(*) AS n FROM (SELECT DISTINCT t, w FROM posting) JOIN rare USING (w) GROUP BY t"),
-    ("cand", f"SELECT a.doc_id, a.t, a.o, sum(a.idf) / any_value(tt.weight) AS coverage FROM agree a JOIN total tt USING (t) "
-             f"GROUP BY a.doc_id, a.t, a.o HAVING count(*) >= least({licenses.MIN_AGREE}, any_value(tt.n))"),
+    ("anchor", f"SELECT t, w FROM (SELECT DISTINCT t, w FROM phrase) JOIN idf USING (w) "
+               f"QUALIFY row_number() OVER (PARTITION BY t ORDER BY idf DESC, w) <= {licenses.MIN_AGREE}"),
+    ("indexed", f"SELECT DISTINCT p.t, p.w, greatest(idf, {licenses.LEAST_IDF}) AS idf FROM posting p JOIN idf USING (w) "
+                f"WHERE idf >= ln(1 / {licenses.RARE_SHARE}) OR EXISTS (SELECT 1 FROM anchor a WHERE a.t = p.t AND a.w = p.w)"),
+    ("total", "SELECT t, sum(idf) AS weight FROM indexed GROUP BY t"),
+    ("agree", "SELECT DISTINCT s.doc_id, p.t, s.i - p.p AS o, p.w, x.idf FROM word s JOIN posting p USING (w) JOIN indexed x ON x.t = p.t AND x.w = p.w"),
+    ("cand", "SELECT doc_id, t, o, sum(idf) / any_value(weight) AS coverage FROM agree JOIN total USING (t) GROUP BY doc_id, t, o"),
     ("match", "SELECT c.doc_id, c.t, c.o, any_value(c.coverage) AS coverage FROM cand c JOIN phrase q USING (t) "
               "LEFT JOIN word s ON s.doc_id = c.doc_id AND s.i = c.o + q.q AND s.w = q.w GROUP BY c.doc_id, c.t, c.o HAVING count(*) = count(s.w)"),
     ("added", "SELECT doc_id, list(DISTINCT label) AS labels, max(coverage) AS best FROM match JOIN (SELECT DISTINCT t, label FROM posting) USING (t) GROUP BY doc_id"),
