@@ -245,8 +245,9 @@ def take_words(sized: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Plan the mix of documents ``(doc_id, source, size, tie)``.
 
     Returns the documents with ``rank``, ``start``, ``source_size`` and
-    ``target``, and the pieces ``(rank, start, from_word, to_word, draws)``: the
-    words of a document in one block, with how often the mix takes that block.
+    ``target``, and the pieces ``(rank, start, from_word, to_word, draws, shards)``:
+    the words of a document in one block, with how often the mix takes that block
+    and the output shards that drew it (bit ``s`` for shard ``s``).
     """
     spark = sized.sparkSession
     sized = materialize(sized, "mixing-sized")
@@ -254,7 +255,9 @@ def take_words(sized: DataFrame) -> tuple[DataFrame, DataFrame]:
     table = spark.createDataFrame([tuple(s.values()) for s in sources], SOURCE_SCHEMA)
     placed = materialize(stream_positions(sized, table), "mixing-placed")
     draws = drawn_blocks(spark, sources, shard_counts([s["quota"] for s in sources]))
-    drawn = materialize(draws.groupBy("rank", "block").agg(F.count("*").alias("draws")), "mixing-drawn")
+    # a block is drawn once per pass at most; the shards it goes to are bits of one number
+    shards = F.bit_or(F.expr("shiftleft(1L, shard)")).alias("shards")
+    drawn = materialize(draws.groupBy("rank", "block").agg(F.count("*").alias("draws"), shards), "mixing-drawn")
     width = F.lit(BLOCK_WORDS)
     spans = (
         placed.where("size > 0")
@@ -288,16 +291,26 @@ def sized_documents(df: DataFrame, key: str = "doc_id", text: str = "text", sour
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Size, target and taken words of every document."""
+    """Size, target and taken words of every document, its drawn blocks and the output shards they go to."""
     placed, pieces = take_words(sized_documents(documents(spark, sf_dir)))
     taken = pieces.groupBy("rank", "start").agg(
-        F.sum((F.col("to_word") - F.col("from_word")) * F.col("draws")).alias("words")
+        F.sum((F.col("to_word") - F.col("from_word")) * F.col("draws")).alias("words"),
+        F.sum("draws").alias("draws"),
+        F.bit_or("shards").alias("mask"),
     )
     # an empty document shares its start with the next one; it takes nothing
     full = placed.where("size > 0").join(taken, ["rank", "start"], "left")
     columns = ["doc_id", "size", "source_size", "target"]
-    return full.select(*columns, F.coalesce("words", F.lit(0)).cast("long").alias("taken")).union(
-        placed.where("size = 0").select(*columns, F.lit(0).cast("long").alias("taken"))
+    bits = F.filter(F.sequence(F.lit(0), F.lit(SHARDS - 1)), lambda s: F.getbit("mask", s) == 1)
+    return full.select(
+        *columns,
+        F.coalesce("words", F.lit(0)).cast("long").alias("taken"),
+        F.coalesce("draws", F.lit(0)).cast("long").alias("blocks"),
+        F.array_join(F.coalesce(bits, F.array().cast("array<int>")), ",").alias("shards"),
+    ).union(
+        placed.where("size = 0").select(
+            *columns, F.lit(0).cast("long").alias("taken"), F.lit(0).cast("long").alias("blocks"), F.lit("").alias("shards")
+        )
     )
 
 
