@@ -10,8 +10,9 @@ text likewise. The model is checked for the properties this rests on
 (identity normalisation, marker in front, no marker inside or at the end of a
 piece, no user-defined pieces); a model without them is rejected.
 
-The table lives in the Python worker of a task and is cleared when it exceeds
-``TABLE_ENTRIES`` and at the end of the task. A table joined across the cluster by (chunk, position) would
+The table lives in the Python worker of a task and is cleared before a text when
+it exceeds ``TABLE_ENTRIES`` entries or ``TABLE_BYTES`` (texts without blanks are
+one chunk each), and at the end of the task. A table joined across the cluster by (chunk, position) would
 shuffle one row per word, several times the input, to save a segmentation
 that costs microseconds; see the README for figures. There is no shuffle.
 
@@ -37,6 +38,7 @@ from farelake.llm.common import documents, prepare_python, text_of
 MARKER = "▁"
 MODEL = "piece_bpe_32k.model"
 TABLE_ENTRIES = 150_000
+TABLE_BYTES = 48 << 20
 CHUNK = re.compile(f"{MARKER}*[^{MARKER}]+|{MARKER}+")
 
 
@@ -53,10 +55,11 @@ class ChunkCodec:
     integers, ``decode`` the text that the library's ``decode`` gives for them.
     """
 
-    def __init__(self, model_path: str, entries: int = TABLE_ENTRIES):
+    def __init__(self, model_path: str, entries: int = TABLE_ENTRIES, most_bytes: int = TABLE_BYTES):
         self.model = sentencepiece.SentencePieceProcessor(model_file=model_path)
-        self.entries = entries
+        self.entries, self.most_bytes = entries, most_bytes
         self.table: dict[str, tuple[bytes, str]] = {}
+        self.bytes = 0
         self._check()
         # a chunk is segmented behind this piece, which is then cut off again
         self.lead = self.model.encode("a")
@@ -92,10 +95,16 @@ class ChunkCodec:
             except KeyError:  # byte pieces: the library puts characters together
                 text = self.model.decode(self.lead + ids)[len(self.lead_text) :]
             self.table[chunk] = (struct.pack(f"<{len(ids)}I", *ids), text)
+            # ids at four bytes, chunk and text at up to four bytes a character
+            self.bytes += 4 * (len(ids) + len(chunk) + len(text))
+
+    def clear(self) -> None:
+        self.table.clear()
+        self.bytes = 0
 
     def _entries(self, text: str) -> list[tuple[bytes, str]]:
-        if len(self.table) > self.entries:
-            self.table.clear()
+        if len(self.table) > self.entries or self.bytes > self.most_bytes:
+            self.clear()
         chunks = CHUNK.findall(MARKER + text.replace(" ", MARKER))
         new = set(chunks).difference(self.table)
         if new:
@@ -154,7 +163,7 @@ def encode_documents(
             names = ["n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded"]
             yield pd.DataFrame(rows, columns=names[: 5 if with_outputs else 3])
         # the worker process may live on for other tasks
-        pieces.table.clear()
+        pieces.clear()
 
     return df.select(F.col(key).alias("doc_id"), run(text_of(text)).alias("r")).select("doc_id", "r.*")
 

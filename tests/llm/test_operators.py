@@ -110,6 +110,16 @@ def test_chunk_codec_on_odd_texts():
         assert codec.encode_decode(t) == (np.array(ids, dtype="<u4").tobytes(), model.decode(ids))
 
 
+def test_chunk_table_is_bounded_in_bytes():
+    model = sentencepiece.SentencePieceProcessor(model_file=pieces.default_model_path())
+    codec = pieces.ChunkCodec(pieces.default_model_path(), most_bytes=20_000)
+    rng = np.random.default_rng(6)
+    for _ in range(30):
+        text = "".join(rng.choice(list("abcdefgh"), 3000))
+        assert codec.encode_decode(text)[0] == np.array(model.encode(text, add_bos=True, add_eos=True), "<u4").tobytes()
+        assert codec.bytes < 60_000
+
+
 # --- 10: secrets -----------------------------------------------------------------------------
 
 
@@ -514,6 +524,8 @@ def test_mixture_of_documents(docs):
         assert abs(total[rank] - goal) <= mixing.BLOCK_WORDS + 1
     ranks = {r["rank"]: r["source"] for r in placed.collect()}
     assert ranks == {0: "src0", 1: "src1", 2: None}
+    # every drawn block names the shards that drew it
+    assert spans.where("bit_count(shards) < 1 or bit_count(shards) > draws").count() == 0
 
 
 def test_mixed_rows_hold_the_taken_words(docs):
