@@ -104,3 +104,27 @@ def test_entry_registers_the_subpackage():
     assert set(queries.queries()) <= set(names) and names["pipeline"] is corpus_pipeline.run
     assert [n.split("_")[0] for n in queries.queries()] == [f"op{i}" for i in range(1, 11)]
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
+
+
+@pytest.mark.parametrize("empty", [False, True])
+def test_stages_on_awkward_rows(spark, docs, small_dir, tmp_path, empty):
+    """Nulls in every column, empty, very long and repeated texts, clashing extra columns; an empty table."""
+    seen = docs.where("false") if empty else docs
+    for name, stage in corpus_pipeline.STAGES:
+        before = seen
+        out = stage(spark, before, small_dir)
+        out.write.parquet(f"{tmp_path}/{name}")
+        seen = spark.read.parquet(f"{tmp_path}/{name}")
+        if name != "encode_pieces":
+            assert seen.columns == docs.columns
+        if empty:
+            assert seen.count() == 0
+        elif name == "simhash_dedup":
+            # repeated rows, null and empty texts: one of each group
+            texts = [t for _, t in rows(seen) if not (t or "").split()]
+            assert len(texts) <= 1 and 0 < seen.count() < before.count()
+        elif name == "line_dedup":
+            nulls = "text is null or doc_id is null"
+            assert seen.count() == before.count() and seen.where(nulls).count() == before.where(nulls).count()
+        elif name == "encode_pieces":
+            assert seen.count() == before.count() and seen.where("n_tokens < 2").count() == 0
