@@ -102,7 +102,7 @@ def test_run_equals_the_stages(spark, small_dir, stages):
 def test_entry_registers_the_subpackage():
     names = entry.queries()
     assert set(queries.queries()) <= set(names) and names["pipeline"] is corpus_pipeline.run
-    assert [n.split("_")[0] for n in queries.queries()] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in queries.queries()] == [f"op{i}" for i in range(1, 14)]
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
 
 
