@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from farelake.llm import licenses, ranked_search, secrets, templates
+from farelake.llm import licenses, merkle, ranked_search, secrets, templates
 from farelake.plans.sql import values_relation, with_steps
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -182,6 +182,69 @@ SEARCH_STEPS = [
 SEARCH = with_steps(SEARCH_STEPS, f"SELECT item_id, rank, doc_id, score FROM placed WHERE rank <= {ranked_search.TOP}")
 
 
+# --- 13: Merkle manifest -----------------------------------------------------------------
+
+def _encoded(value: str) -> str:
+    return f"coalesce(strlen(({value})::VARCHAR) || ':' || ({value})::VARCHAR, '-')"
+
+
+def _tree(source: str, group: str, levels: int) -> tuple[list[tuple[str, str]], str]:
+    """Steps that build the trees over ``source`` (grp, pos, h, n); the sides of every node are in ``{group}_side_k``."""
+    steps = [(f"{group}_0", f"SELECT grp, pos, h, n FROM {source}")]
+    for k in range(levels):
+        run = "PARTITION BY grp, pos // 16 ORDER BY pos ROWS BETWEEN"
+        steps += [
+            (f"{group}_side_{k}", f"SELECT grp, pos, n, coalesce(string_agg(h, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l, "
+                                  f"coalesce(string_agg(h, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {group}_{k}"),
+            (f"{group}_{k + 1}", f"SELECT grp, pos // 16 AS pos, CASE WHEN n = 1 THEN any_value(h) ELSE sha256(string_agg(h, '' ORDER BY pos)) END AS h, "
+                                 f"(n + 15) // 16 AS n FROM {group}_{k} GROUP BY grp, pos // 16, n"),
+        ]
+    return steps, f"{group}_{levels}"
+
+
+def _folds(start: str, group: str, levels: int, place: str) -> tuple[list[tuple[str, str]], str]:
+    """Steps that fold ``cur`` and lengthen ``proof`` of ``start`` along the tree."""
+    steps, last = [], start
+    for k in range(levels):
+        steps.append((f"{start}_{group}_{k}", (
+            f"SELECT f.* REPLACE (CASE WHEN s.n > 1 THEN sha256(s.l || cur || s.r) ELSE cur END AS cur, proof || s.l || s.r AS proof) "
+            f"FROM {last} f JOIN {group}_side_{k} s ON s.grp IS NOT DISTINCT FROM f.{'grp' if place == 'pos' else 'one'} AND s.pos = f.{place} // {16**k}"
+        )))
+        last = f"{start}_{group}_{k}"
+    return steps, last
+
+
+#: levels of a source (65,536 rows) and of the sources (4,096) that the twin can hold
+_LOW, _TOP = 4, 3
+_CRC = (
+    "xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(doc_id::VARCHAR, ''), "
+    "lambda x: [ord(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))), lambda c, o: CASE WHEN o >= 0 THEN xor(c, o) "
+    "WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END), 4294967295)"
+)
+_FIELDS = [_encoded(c) for c in merkle.FIELDS]
+_CHANGED = [_encoded(f"translate(text, '{UPPER}', '{UPPER.lower()}')") if c == "text" else _encoded(c) for c in merkle.FIELDS]
+_low_steps, _subroots = _tree("leaves", "low", _LOW)
+_top_steps, _roots = _tree("subs", "top", _TOP)
+_fold_low, _folded_low = _folds("f", "low", _LOW, "pos")
+_fold_top, _folded_top = _folds(_folded_low, "top", _TOP, "rank")
+MERKLE = with_steps(
+    [
+        ("hashed", f"SELECT doc_id, source AS grp, sha256({' || '.join(_FIELDS)}) AS h, "
+                   f"CASE WHEN text IS NOT NULL AND {_CRC} % 5 = 0 THEN sha256({' || '.join(_CHANGED)}) END AS changed FROM documents"),
+        ("leaves", "SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, h) - 1 AS pos, count(*) OVER (PARTITION BY grp) AS n FROM hashed"),
+        *_low_steps,
+        ("subs", f"SELECT 0 AS grp, grp AS source, h, row_number() OVER (ORDER BY grp NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM {_subroots}"),
+        *_top_steps,
+        ("f", "SELECT l.*, s.h AS subroot, s.pos AS rank, 0 AS one, coalesce(changed, l.h) AS cur, '' AS proof "
+              "FROM leaves l JOIN subs s ON s.source IS NOT DISTINCT FROM l.grp"),
+        *_fold_low,
+        *_fold_top,
+    ],
+    f"SELECT doc_id, f.h AS leaf, subroot, r.h AS root, sha256(proof) AS proof_sha256, cur AS folded_root, cur = r.h AS verified "
+    f"FROM {_folded_top} f, {_roots} r",
+)
+
+
 def oracle_sql() -> dict[str, str]:
     """Query name → SQL over ``documents``, ``embeddings`` and ``benchmark``."""
     return {
@@ -190,4 +253,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_license_scan": LICENSES,
         "op10_secret_scan": SECRETS,
         "op11_ranked_search": SEARCH,
+        "op13_merkle_manifest": MERKLE,
     }
