@@ -414,13 +414,17 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = F.array(*[F.lit(k) for k in KINDS])
     base = F.filter("spans", lambda s: s["kind"] < len(BASE))
 
+    def count_of(kind: int):
+        # one parameter only: F.filter would bind a second one to the place in the array
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
     def listed(spans):
         part = lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))
         return F.array_join(F.transform(spans, part), ",")
 
     return found.select(
         "doc_id",
-        *[F.size(F.filter("spans", lambda s, i=i: s["kind"] == i)).cast("long").alias(f"n_{k}") for i, k in enumerate(BASE)],
+        *[count_of(i).alias(f"n_{k}") for i, k in enumerate(BASE)],
         F.sha2(listed(base), 256).alias("base_sha256"),
         listed(F.col("spans")).alias("spans"),
         (F.size("spans") - F.size(base)).cast("long").alias("n_added"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import itertools
 import random
 import re
@@ -159,3 +160,22 @@ def test_nothing_to_learn(no_docs, docs):
     assert pd_.train(no_docs) is None
     assert pd_.scan(no_docs, None).collect() == []
     assert pd_.train(docs.where("text like '%boilerplate%'")) is None
+
+
+def test_query_counts_every_kind(spark, tmp_path):
+    texts = [
+        "ip 10.0.0.1, then 10.0.0.2 and 10.0.0.3",
+        "call +1 555 123 4567 or write to ann@example.org",
+        "card 4111 1111 1111 1111 and mail a@b.c, d@e.f",
+        "nothing here", "", None,
+    ]
+    rows = [(i, "src0", "en", len(t or ""), t) for i, t in enumerate([*texts, texts[0]])]
+    schema = "doc_id long, source string, lang string, n_chars long, text string"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/documents.parquet")
+    expected = []
+    for i, *_, text in rows:
+        spans = plain_spans(text or "")
+        names = ",".join(f"{pd_.KINDS[k]}:{a}:{b}" for a, k, b in spans)
+        expected.append((i, *(sum(s[1] == k for s in spans) for k in range(4)), hashlib.sha256(names.encode()).hexdigest()))
+    found = pd_.query(spark, str(tmp_path)).select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256")
+    assert sorted(map(tuple, found.collect())) == expected
