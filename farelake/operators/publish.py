@@ -23,6 +23,7 @@ Layout at scale:
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -191,8 +192,10 @@ def publish(df: DataFrame, contract: TableContract, path: str, mode: str | None
     lay_out(conform(df, contract), contract).write.mode(mode).parquet(path)
 
 
-#: files that one hot key is split over
+#: files that one hot key is split over, at least
 KEY_SPLITS = 4
+#: rows that a writing task gets on average, at most
+TASK_ROWS = 250_000
 
 
 def publish_colocated(df: DataFrame, contract: TableContract, path: str, table: str, buckets: int = 8) -> None:
@@ -201,14 +204,16 @@ def publish_colocated(df: DataFrame, contract: TableContract, path: str, table:
     Rows of one key are in one bucket, so aggregates and joins on the key read
     the table without a shuffle. The tasks that write are dealt by bucket and by
     the day of the sort key, so a key with a third of all rows is written by
-    ``KEY_SPLITS`` tasks into as many files.
+    ``KEY_SPLITS`` tasks at least into as many files. Their number grows with the
+    rows (counted first), so that what one task sorts does not.
     """
     rows = conform(df, contract)
+    splits = max(KEY_SPLITS, math.ceil(df.count() / (buckets * TASK_ROWS)))
     bucket = F.pmod(F.hash(contract.dist_key), F.lit(buckets))
-    split = F.pmod(F.hash(F.to_date(contract.sort_keys[0])), F.lit(KEY_SPLITS))
+    split = F.pmod(F.hash(F.to_date(contract.sort_keys[0])), F.lit(splits))
     df.sparkSession.sql(f"DROP TABLE IF EXISTS {table}")
     (
-        rows.repartition(buckets * KEY_SPLITS, bucket, split)
+        rows.repartition(buckets * splits, bucket, split)
         .write.mode("overwrite")
         .bucketBy(buckets, contract.dist_key)
         .sortBy(contract.dist_key, *contract.sort_keys)

@@ -444,6 +444,16 @@ def test_colocated_table_needs_no_exchange(spark, small_dir):
     assert files > 1
 
 
+def test_colocated_writers_grow_with_the_rows(spark, small_dir, monkeypatch):
+    monkeypatch.setattr(catalog.publish, "TASK_ROWS", 20, raising=False)
+    facts = catalog.fact(spark, small_dir)
+    path, name = scratch_path(spark, "buckets"), "t_buckets_grown"
+    catalog.publish.publish_colocated(facts, catalog.publish.CONTRACTS_BY_NAME["trip_details"], path, name)
+    files = spark.read.parquet(path).groupBy(F.input_file_name()).count().collect()
+    # 8 buckets in KEY_SPLITS files each were all there could be
+    assert sum(r["count"] for r in files) == facts.count() and len(files) > 8 * catalog.publish.KEY_SPLITS
+
+
 def test_late_trips_count_within_the_watermark(spark, small_dir):
     from farelake.streaming.daily import stream_daily_metrics, streamed_metrics
 
