@@ -16,13 +16,14 @@ in the document with the smallest id and are dropped from all others.
 The links are found without comparing all lines of a leaf. Lines that may differ
 in ``k`` places agree in a whole segment when the places are cut into ``k + 1``.
 Lines that share a segment are a bucket. Every line of a bucket is compared with
-one pivot line; those that agree with it are linked by it. In a bucket of at most
-``BUCKET`` lines the others are compared with all its lines, in a larger one they
-are cut again by the places that are still open. So a template with any number of
-variants costs one comparison per variant, and a bucket of unrelated lines falls
-apart. (Of two lines in one large bucket of which one agrees with the pivot and
-the other does not, a direct link is found in another bucket or level, or not;
-below ``BUCKET`` nothing is missed.)
+one pivot line; all links found so far give each line the label of its group, and
+a bucket whose lines have one label is done: no further link can change a group.
+In a bucket with at most ``OUTSIDE`` lines outside its largest group (``k + 1``, if
+that is more) these are compared with all its lines. All lines of any other bucket
+but its pivot are cut again by the places that are still open, until the
+open places are too few to tell two lines apart. So no two lines that agree are
+left in different groups, a template with any number of variants costs one
+comparison per variant, and a bucket of unrelated lines falls apart.
 
 "At least two documents" is ``min(id) < max(id)``, which combines map-side, so
 a leaf, bucket or template that holds a third of all lines costs one row per
@@ -49,7 +50,8 @@ from farelake.sinks.snapshots import materialize
 
 DEPTH = 3
 MIN_CONSTANT = 0.8
-BUCKET = 32
+#: lines outside a bucket's largest group that are compared with all its lines
+OUTSIDE = 128
 WILD = "<*>"
 #: tokens that hold a digit, an address or a URL are variable
 VARIABLE = r"[0-9]|^\S+@\S+\.\S+$|^(?i:https?://|www\.)"
@@ -129,7 +131,7 @@ def most_fields(n: Column) -> Column:
 
 
 def _cut(rows: DataFrame) -> DataFrame:
-    """Each line once per segment of its open places: ``(bucket, leaf, own, cuts)``.
+    """Each line once per segment of its open places: ``(bucket, leaf, own, cuts, parts)``.
 
     ``cuts`` are the numbers of the segments it was put into the bucket by; the
     places outside of them (and the leading tokens) are open. ``bucket`` names
@@ -156,55 +158,75 @@ def _cut(rows: DataFrame) -> DataFrame:
         return F.when(F.size(places) >= parts, cut).otherwise(F.array().cast("array<struct<bucket:bigint,j:int>>"))
 
     places = F.aggregate("cuts", F.sequence(F.lit(DEPTH), F.size("tokens") - 1), rest)
-    return rows.select("leaf", "own", "cuts", F.explode(bind(places, segments)).alias("s")).select(
-        "s.bucket", "leaf", "own", F.concat("cuts", F.array("s.j")).alias("cuts")
+    return rows.select("leaf", "own", "cuts", parts.alias("parts"), F.explode(bind(places, segments)).alias("s")).select(
+        "s.bucket", "leaf", "own", F.concat("cuts", F.array("s.j")).alias("cuts"), "parts"
     )
 
 
+def _groups(edges: DataFrame) -> DataFrame:
+    """``(leaf, own, label)`` of the lines with a link; the label is the group's smallest line."""
+    node = lambda c: F.struct("leaf", F.col(c).alias("own"))
+    found = connected_components(edges.select(node("a").alias("a"), node("b").alias("b")))
+    return found.select("node.leaf", "node.own", F.col("label.own").alias("label"))
+
+
+def _labelled(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """``rows`` with the label of each line's group; a line without a link is its own."""
+    return rows.join(groups, ["leaf", "own"], "left").withColumn("label", F.coalesce("label", "own"))
+
+
 def line_links(lines: DataFrame) -> DataFrame:
-    """``(leaf, a, b)``: links between the lines of ``open_lines`` (``a``, ``b`` are ``own``).
+    """``(leaf, a, b)``: links that join all lines of ``open_lines`` that are linked (``a``, ``b`` are ``own``).
 
-    Buckets hold names of lines only; the tokens are read once per pair.
+    Links between lines that others join already may be left out. Buckets hold
+    names of lines only; the tokens are read once per pair.
     """
     # shuffled once; every later join brings only names of lines to it
     able = clustered(lines.where(most_fields(F.size("tokens")) > 0).select("leaf", "own", "tokens"), "own", "template-able")
     rows = _cut(able.select(F.col("leaf").alias("bucket"), "leaf", "own", F.array().cast("array<int>").alias("cuts"), "tokens"))
-    found = []
+    rows = rows.withColumn("label", F.col("own"))
+    found: list[DataFrame] = []
     while True:
         sizes = materialize(
-            rows.groupBy("bucket").agg(F.count("*").alias("size"), F.min("own").alias("pivot")).where("size > 1"),
+            rows.groupBy("bucket")
+            .agg(F.min(F.struct("own", "label")).alias("pivot"), F.min("label").alias("least"), F.max("label").alias("most"))
+            .where("least <> most")
+            .select("bucket", "pivot"),
             "template-buckets",
         )
-        shared = materialize(rows.join(sizes, "bucket").where("own <> pivot"), "template-shared")
-        first = _judged(shared.select("leaf", F.col("pivot").alias("a"), F.col("own").alias("b")), able)
-        found.append(first.where("near").select("leaf", "a", "b"))
-        unlike = first.where("not near").select("leaf", F.col("a").alias("pivot"), F.col("b").alias("own"))
-        far = materialize(shared.join(unlike, ["leaf", "pivot", "own"]), "template-far")
-        # lines that agree with the pivot are linked by it; only pairs with another line can add a link
-        others = far.where(F.col("size") <= BUCKET).select("bucket", "own", F.lit(True).alias("far"))
-        members = (
-            shared.where(F.col("size") <= BUCKET)
-            .join(others.select("bucket").distinct(), "bucket")
-            .join(others, ["bucket", "own"], "left")
-            .groupBy("bucket", "leaf")
-            .agg(F.sort_array(F.collect_list(F.struct("own", F.coalesce("far", F.lit(False)).alias("far")))).alias("m"))
-        )
-        found.append(_judged(_pairs(members), able).where("near").select("leaf", "a", "b"))
-        large = far.where(F.col("size") > BUCKET)
+        shared = materialize(rows.join(sizes, "bucket").where("own <> pivot.own"), "template-shared")
+        others = shared.where("label <> pivot.label").select("leaf", F.col("pivot.own").alias("a"), F.col("own").alias("b"))
+        found.append(_judged(others, able).where("near").select("leaf", "a", "b"))
+        groups = materialize(_groups(reduce(DataFrame.unionByName, found)), "template-groups")
+        members = materialize(_labelled(shared.drop("pivot", "label"), groups), "template-members")
+        # every bucket's largest group, and how many lines are outside of it
+        mixed = materialize(
+            members.groupBy("bucket", "label").agg(F.count("*").alias("n"), F.min("parts").alias("parts"))
+            .groupBy("bucket")
+            .agg(F.max(F.struct("n", "label")).alias("main"), F.sum("n").alias("size"), F.min("parts").alias("parts"))
+            .select("bucket", F.col("main.label").alias("main"), (F.col("size") - F.col("main.n")).alias("outside"), (F.col("size") - F.col("main.n") <= F.greatest("parts", F.lit(OUTSIDE))).alias("few"))
+            .where("outside > 0"),
+            "template-mixed",
+        )
+        found.append(_judged(_pairs(members, mixed.where("few")), able).where("near").select("leaf", "a", "b"))
+        large = mixed.where("not few").select("bucket")
         if not large.limit(1).count():
             return reduce(DataFrame.unionByName, found)
-        again = _with_tokens(large, able, "own", "tokens")
-        rows = _cut(materialize(again.select("bucket", "leaf", "own", "cuts", "tokens"), "template-again"))
-
+        again = _with_tokens(members.join(large, "bucket"), able, "own", "tokens")
+        cut = _cut(materialize(again.select("bucket", "leaf", "own", "cuts", "tokens"), "template-again"))
+        groups = materialize(_groups(reduce(DataFrame.unionByName, found)), "template-groups")
+        rows = materialize(_labelled(cut, groups), "template-rows")
 
-def _pairs(members: DataFrame) -> DataFrame:
-    """``(leaf, a, b)``: pairs of a small bucket's members of which one is ``far`` at least."""
 
-    def after(x: Column, i: Column) -> Column:
-        rest = F.filter(F.slice("m", i + 2, F.lit(BUCKET)), lambda y: x["far"] | y["far"])
-        return F.transform(rest, lambda y: F.struct(x["own"].alias("a"), y["own"].alias("b")))
+def _pairs(members: DataFrame, buckets: DataFrame) -> DataFrame:
+    """``(leaf, a, b)``: pairs of a bucket's members that are in different groups.
 
-    return members.select("leaf", F.explode(F.flatten(F.transform("m", after))).alias("p")).select("leaf", "p.a", "p.b")
+    One of the two is outside the bucket's largest group; only few lines are.
+    """
+    outside = members.join(buckets.select("bucket", "main"), "bucket").where("label <> main")
+    outside = outside.select("bucket", F.col("own").alias("__own"), F.col("label").alias("__label"))
+    pairs = members.select("bucket", "leaf", "own", "label").join(outside, "bucket").where("label <> __label")
+    return pairs.select("leaf", F.least("own", "__own").alias("a"), F.greatest("own", "__own").alias("b"))
 
 
 def _judged(pairs: DataFrame, able: DataFrame) -> DataFrame:
@@ -233,9 +255,7 @@ def generalised(lines: DataFrame) -> DataFrame:
 
     A template is named after its smallest line.
     """
-    node = lambda c: F.struct("leaf", F.col(c).alias("own"))
-    groups = connected_components(line_links(lines).select(node("a").alias("a"), node("b").alias("b")))
-    named = groups.select("node.leaf", "node.own", F.col("label.own").alias("template"))
+    named = _groups(line_links(lines)).withColumnRenamed("label", "template")
     return lines.select("leaf", "own", "low", "high").join(named, ["leaf", "own"])
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -446,6 +447,37 @@ def test_buckets_beyond_the_limit(spark):
     assert dropped_by_operator(spark, texts) == {i: int(i > 0) for i in range(700)}
 
 
+def test_links_between_pivot_group_and_others_are_kept(spark):
+    """Large buckets in which lines of the pivot's group are the only link to lines that do not agree with the pivot."""
+    rng = random.Random(5)
+    lines = []
+    for family in range(12):
+        base = [f"{c}{c}{'abcdefghijklmnop'[family]}" for c in "abcdefghijklmnopqrst"]
+        for _ in range(150):
+            changed = rng.sample(range(3, 20), rng.choice([3, 4, 5]))
+            lines.append(tuple(f"{w}{rng.choice('xyz')}" if i in changed else w for i, w in enumerate(base)))
+    lines = sorted(set(lines))
+    rows = [(ord(t[0][2]), i, list(t)) for i, t in enumerate(lines)]
+    frame = spark.createDataFrame(rows, "leaf long, own long, tokens array<string>")
+    root = list(range(len(lines)))
+
+    def top(i):
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    for i, x in enumerate(lines):
+        for j in range(i):
+            if x[0] == lines[j][0] and sum(a != b for a, b in zip(x, lines[j])) <= 4:
+                a, b = sorted((top(i), top(j)))
+                root[b] = a
+    sizes = Counter(top(i) for i in range(len(lines)))
+    want = {i: top(i) for i in range(len(lines)) if sizes[top(i)] > 1}
+    found = templates.generalised(frame.selectExpr("*", "0L as low", "1L as high")).collect()
+    assert {r["own"]: r["template"] for r in found} == want and 12 < len(want) < len(lines)
+
+
 # --- 5: quality ----------------------------------------------------------------------------------------------------
 
 
