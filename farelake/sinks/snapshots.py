@@ -109,6 +109,10 @@ class SnapshotTable:
         register_external(self.spark, name or self.name, self.location(), replace=True)
 
 
+def _names(batches: DataFrame) -> list[str]:
+    return sorted({r["batch"] for r in batches.select("batch").collect() if r["batch"] is not None})
+
+
 class BatchTable:
     """A table under ``root`` that grows by batches (partition column ``batch``)."""
 
@@ -147,17 +151,18 @@ class BatchTable:
     def read(self, batches: DataFrame | None = None, keep_batch: bool = False) -> DataFrame:
         """All rows that readers see, of the given ``batches`` if any.
 
-        The batches are a semi-join on the partition column, so the planner
-        prunes the folders of all others.
+        The names of the batches, one per run or micro-batch, are a filter on the
+        partition column: the folders of all others are never listed for a task,
+        and no row is shuffled to find its batch.
         """
         found = read_if_exists(self.spark, self.data)
         if found is None:
             raise FileNotFoundError(f"no batch of {self.name} under {self.root}")
         found = found.withColumn("batch", F.col("batch").cast("string"))
         if self.gated:
-            found = found.join(self.accepted(), "batch", "left_semi")
+            found = found.where(F.col("batch").isin(_names(self.accepted())))
         if batches is not None:
-            found = found.join(batches, "batch", "left_semi")
+            found = found.where(F.col("batch").isin(_names(batches)))
         rows = [c for c in found.columns if c != "batch"]
         return found.select(*rows, "batch") if keep_batch else found.select(*rows)
 

@@ -410,6 +410,42 @@ def test_batches_replace_themselves_and_show_when_accepted(spark):
     assert spark.table("t_batch").count() == 15
 
 
+def test_batches_are_found_without_a_shuffle(spark):
+    """The rows of a batch stay where they are read: they never meet in the one task of their batch's name."""
+    table = BatchTable(spark, "t_found", scratch_path(spark, "batch"), gated=True)
+    for name in ("b1", "b2", "b3"):
+        table.put(spark.range(40, numPartitions=4).toDF("x"), name)
+    table.accept("b1")
+    table.accept("b2")
+    for found, rows in (
+        (table.read(), 80),
+        (table.read(spark.createDataFrame([("b2",), ("b3",), ("b2",), (None,)], "batch string"), keep_batch=True), 40),
+        (table.read(spark.createDataFrame([], "batch string")), 0),
+    ):
+        assert found.count() == rows
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_facts_of_a_batch_are_written_unsorted(spark, small_dir, monkeypatch):
+    from farelake.sinks import snapshots
+
+    root, plans, real = scratch_path(spark, "unsorted"), {}, snapshots.overwrite_partitions
+    lake = runs.Lakehouse(spark, f"{root}/lake", prefix="t_unsorted")
+    raw_trips(spark, small_dir).write.parquet(f"{root}/landing/1")
+
+    def write(df, path, columns):
+        plans[path] = df._jdf.queryExecution().optimizedPlan().toString()
+        real(df, path, columns)
+
+    monkeypatch.setattr(snapshots, "overwrite_partitions", write)
+    masters = (zone_lookup_rows(spark, small_dir), vendor_dictionary(spark), ratecode_dictionary(spark))
+    batches = runs.run_landed(lake, f"{root}/landing", f"{root}/cp", *masters, AS_OF)["batches"]
+    # a dynamic write sorts by its partition column unless that is a constant
+    name = lake.landed.accepted().first()["batch"]
+    assert batches and f"{name} AS batch" in plans[lake.batches("trip_details").data]
+
+
 def test_snapshot_swap_keeps_previous_version(spark):
     table = SnapshotTable(spark, "t_snap", scratch_path(spark, "snap"))
     first = table.commit(spark.range(3).toDF("x"), AS_OF)
