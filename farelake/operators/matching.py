@@ -77,12 +77,13 @@ def _thresholds(min_score: float) -> tuple[float, float]:
 
 
 def vendor_profiles(vendors: DataFrame, id_col: str, name_col: str) -> DataFrame:
-    """``id, name, key`` for every vendor with a non-empty key."""
-    return (
-        vendors.select(F.col(id_col).alias("id"), F.col(name_col).alias("name"))
-        .withColumn("key", key_column(F.col("name")))
-        .filter(F.length("key") > 0)
-    )
+    """``id, name, key`` for every vendor with a non-empty key.
+
+    A key is dear and a vendor a few bytes: vendors are spread over the tasks
+    before, and the keys are written once, before any branch filters by them.
+    """
+    spread = vendors.select(F.col(id_col).alias("id"), F.col(name_col).alias("name")).repartition("id", "name")
+    return materialize(spread.withColumn("key", key_column(F.col("name"))), "vendor-profiles").filter(F.length("key") > 0)
 
 
 def ranked_elements(keys: DataFrame) -> DataFrame:

@@ -97,6 +97,16 @@ def test_duplicate_names_map_to_canonical_vendor(spark):
     assert rows == {(3, 5, 100.0), (3, 9, 100.0)}
 
 
+def test_names_are_profiled_once(spark):
+    """The class table reads written keys; it does not make them from the names a second time."""
+    rows = [(1, "Cold Rod"), (2, "rod, cold"), (3, "!!!"), (4, None), (None, "old rod"), (2, "rod, cold")]
+    classes = matching.vendor_classes(spark.createDataFrame(rows, "vendorid bigint, vendor_name string"))
+    plan = classes._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_distinct" not in plan and "regexp_replace" not in plan
+    found = sorted((r["id"] or 0, r["key"], r["canon_id"], r["last_id"]) for r in classes.collect())
+    assert found == [(0, "old rod", None, None), (1, "cold rod", 1, 2), (2, "cold rod", 1, 2), (2, "cold rod", 1, 2)]
+
+
 def test_no_cartesian_product_in_plan(spark):
     df = spark.createDataFrame([(i, f"name {i}") for i in range(20)], "vendorid bigint, vendor_name string")
     plan = matching.match_vendors(df)._jdf.queryExecution().executedPlan().toString()
