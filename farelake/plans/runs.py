@@ -278,7 +278,8 @@ def update_curated(lake: Lakehouse, as_of: str = DEFAULT_AS_OF) -> dict[str, lis
         lake.batches("trip_details").put(_facts(lake, lake.landed.rows_of(name)), name)
     state_path = lake.path("mart_state")
     measures = curated.trip_state(trips, (*curated.STATE_KEYS, "batch"))
-    _by_month(measures, state_path, "batch")
+    # doubles are added up in the order of the file, smallest first: it must not depend on the tasks
+    _by_month(measures, state_path, "batch", order=("trip_date", "VendorID", "sum_tip", "PULocationID"))
     stored = spark.read.parquet(state_path)
     months = sorted(r["month"] for r in stored.where(F.col("batch").isin(names)).select("month").distinct().collect())
     touched = stored if renamed else stored.where(F.col("month").isin(months))
@@ -293,10 +294,11 @@ def update_curated(lake: Lakehouse, as_of: str = DEFAULT_AS_OF) -> dict[str, lis
     return {"batches": names, "months": months}
 
 
-def _by_month(df: DataFrame, path: str, *more: str) -> None:
-    """Overwrite the months (and further partition columns) that ``df`` has rows for, one file each."""
+def _by_month(df: DataFrame, path: str, *more: str, order: tuple[str, ...] = ()) -> None:
+    """Overwrite the months (and further partition columns) that ``df`` has rows for, one file each, its rows in ``order``."""
     placed = df.withColumn("month", F.year("trip_date") * 100 + F.month("trip_date"))
-    overwrite_partitions(placed.repartition("month", *more), path, ["month", *more])
+    files = placed.repartition("month", *more).sortWithinPartitions("month", *more, *order)
+    overwrite_partitions(files, path, ["month", *more])
 
 
 def landed_marts(lake: Lakehouse) -> dict[str, DataFrame]:
