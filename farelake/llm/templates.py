@@ -170,22 +170,28 @@ def _groups(edges: DataFrame) -> DataFrame:
     return found.select("node.leaf", "node.own", F.col("label.own").alias("label"))
 
 
+def _joined(groups: DataFrame) -> DataFrame:
+    """``(leaf, a, b)``: each line of ``_groups`` with its group's smallest line."""
+    return groups.where("own <> label").select("leaf", F.col("label").alias("a"), F.col("own").alias("b"))
+
+
 def _labelled(rows: DataFrame, groups: DataFrame) -> DataFrame:
     """``rows`` with the label of each line's group; a line without a link is its own."""
     return rows.join(groups, ["leaf", "own"], "left").withColumn("label", F.coalesce("label", "own"))
 
 
 def line_links(lines: DataFrame) -> DataFrame:
-    """``(leaf, a, b)``: links that join all lines of ``open_lines`` that are linked (``a``, ``b`` are ``own``).
+    """``(leaf, a, b)``: pairs that join all lines of ``open_lines`` that are linked (``a``, ``b`` are ``own``).
 
-    Links between lines that others join already may be left out. Buckets hold
-    names of lines only; the tokens are read once per pair.
+    A pair is a link, or a line and its group's smallest line; links between lines
+    that others join already may be left out. Buckets hold names of lines only; the
+    tokens are read once per pair.
     """
     # shuffled once; every later join brings only names of lines to it
     able = clustered(lines.where(most_fields(F.size("tokens")) > 0).select("leaf", "own", "tokens"), "own", "template-able")
     rows = _cut(able.select(F.col("leaf").alias("bucket"), "leaf", "own", F.array().cast("array<int>").alias("cuts"), "tokens"))
     rows = rows.withColumn("label", F.col("own"))
-    found: list[DataFrame] = []
+    found: DataFrame | None = None
     while True:
         sizes = materialize(
             rows.groupBy("bucket")
@@ -196,8 +202,8 @@ def line_links(lines: DataFrame) -> DataFrame:
         )
         shared = materialize(rows.join(sizes, "bucket").where("own <> pivot.own"), "template-shared")
         others = shared.where("label <> pivot.label").select("leaf", F.col("pivot.own").alias("a"), F.col("own").alias("b"))
-        found.append(_judged(others, able).where("near").select("leaf", "a", "b"))
-        groups = materialize(_groups(reduce(DataFrame.unionByName, found)), "template-groups")
+        near = _judged(others, able).where("near").select("leaf", "a", "b")
+        groups = materialize(_groups(found.unionByName(near) if found is not None else near), "template-groups")
         members = materialize(_labelled(shared.drop("pivot", "label"), groups), "template-members")
         # every bucket's largest group, and how many lines are outside of it
         mixed = materialize(
@@ -208,13 +214,15 @@ def line_links(lines: DataFrame) -> DataFrame:
             .where("outside > 0"),
             "template-mixed",
         )
-        found.append(_judged(_pairs(members, mixed.where("few")), able).where("near").select("leaf", "a", "b"))
+        near = _judged(_pairs(members, mixed.where("few")), able).where("near").select("leaf", "a", "b")
+        found = _joined(groups).unionByName(near)
         large = mixed.where("not few").select("bucket")
         if not large.limit(1).count():
-            return reduce(DataFrame.unionByName, found)
+            return found
         again = _with_tokens(members.join(large, "bucket"), able, "own", "tokens")
         cut = _cut(materialize(again.select("bucket", "leaf", "own", "cuts", "tokens"), "template-again"))
-        groups = materialize(_groups(reduce(DataFrame.unionByName, found)), "template-groups")
+        groups = materialize(_groups(found), "template-groups")
+        found = _joined(groups)
         rows = materialize(_labelled(cut, groups), "template-rows")
 
 

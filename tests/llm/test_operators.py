@@ -53,6 +53,20 @@ def test_components_of_nothing(spark):
     assert common.connected_components(spark.createDataFrame([(1, 1)], "a long, b long")).count() == 0
 
 
+def test_components_write_no_table_to_confirm(spark, monkeypatch):
+    """Links to the smallest node only are written once; a chain of three nodes takes one round."""
+    written, write = [], common.materialize
+    monkeypatch.setattr(common, "materialize", lambda df, label: written.append(label) or write(df, label))
+    star = spark.createDataFrame([(1, i) for i in range(2, 9)] + [(9, 8 + 2)] * 2, "a long, b long")
+    got = common.connected_components(star).collect()
+    assert sorted(map(tuple, got)) == [(i, 1) for i in range(1, 9)] + [(9, 9), (10, 9)]
+    assert written == ["cc-edges"]
+    written.clear()
+    chain = spark.createDataFrame([(1, 2), (2, 3)], "a long, b long")
+    assert sorted(map(tuple, common.connected_components(chain).collect())) == [(1, 1), (2, 1), (3, 1)]
+    assert written == ["cc-edges", "cc-min", "cc-edges", "cc-min", "cc-edges"]
+
+
 # --- 8: SimHash ------------------------------------------------------------------------
 
 
