@@ -46,7 +46,8 @@ pairs (no cross join, no per-group all-pairs):
    every member of their classes by equi-joins, one row per member and class.
 
 Shuffles: element frequency (partial aggregation), one regroup per key, the
-two candidate joins (AQE splits a skewed element partition), one distinct.
+two candidate joins (AQE splits a skewed element partition), one distinct. A table
+that grows with the vendors is broadcast only if its rows fit (``sized``).
 The profiles and the distinct keys are written once to the shared folder
 (the Python profile runs once per vendor; the branches read files).
 """
@@ -60,7 +61,7 @@ from farelake.config import MatchRules
 from farelake.constants import MANUAL_RESOLUTION, STEWARD_REVIEW, SYSTEM_AUTO_APPROVED
 from farelake.functions.fuzzy import add_confidence, indexed_chars, key_column
 from farelake.session import ship_package
-from farelake.sinks.snapshots import materialize
+from farelake.sinks.snapshots import materialize, sized
 
 
 SIG_SEP = "\x1e"
@@ -91,16 +92,15 @@ def ranked_elements(keys: DataFrame) -> DataFrame:
 
     ``els`` is an ``array<struct<df, e, w>>`` (any fixed global order keeps
     prefix filtering exact). Tokens and characters share one frequency
-    aggregate and one regroup; the frequency table is the output of an
-    aggregation stage, so AQE sees its measured size and broadcasts it only
-    when it is small, else both sides shuffle on the element (skewed elements
-    are split by AQE).
+    aggregate and one regroup; the frequency table is written, and broadcast
+    only if its rows fit, else both sides shuffle on the element (skewed
+    elements are split by AQE).
     """
     tokens = keys.select("key", F.lit("token").alias("kind"), F.explode("tokens").alias("e"))
     chars = keys.select("key", F.lit("char").alias("kind"), F.explode("chars").alias("e"))
     both = tokens.withColumn("w", F.length("e") + 1).unionByName(chars.withColumn("w", F.lit(1)))
-    freq = both.groupBy("kind", "e").agg(F.count(F.lit(1)).alias("df"))
-    ranked = both.join(freq, ["kind", "e"]).select("key", "kind", F.struct("df", "e", "w").alias("x"))
+    freq = materialize(both.groupBy("kind", "e").agg(F.count(F.lit(1)).alias("df")), "vendor-frequencies")
+    ranked = both.join(sized(freq), ["kind", "e"]).select("key", "kind", F.struct("df", "e", "w").alias("x"))
     return ranked.groupBy("key", "kind").agg(F.array_sort(F.collect_list("x")).alias("els"))
 
 
@@ -165,7 +165,7 @@ def long_key_pairs(per_key: DataFrame, t: float, c: float) -> DataFrame:
     right = cp.select(F.col("key").alias("kb"), F.col("len").alias("lb"), "e", F.col("pos").alias("pb"))
     bound = F.least(F.col("la") - F.col("pa"), F.col("lb") - F.col("pb"))
     return (
-        left.join(right, "e")
+        left.join(right.hint("merge"), "e")
         .filter(F.col("ka") < F.col("kb"))
         .filter(F.greatest("la", "lb") > SIG_MAX_LEN)
         .filter(F.least("la", "lb") >= F.lit(c) * F.greatest("la", "lb"))
@@ -208,6 +208,9 @@ def candidate_key_pairs(keys: DataFrame, min_score: float) -> DataFrame:
 
     A join row failing its bound is dropped; the row of the first shared
     signature of a qualifying pair always passes.
+
+    The joins are shuffled by hint: the planner knows their sides by the files
+    before the explode, so it would broadcast many times what it takes them for.
     """
     t, c = _thresholds(min_score)
     # feeds all branches: computed once, read from files
@@ -219,7 +222,7 @@ def candidate_key_pairs(keys: DataFrame, min_score: float) -> DataFrame:
     )
     index = tp.select(F.col("key").alias("kb"), "tok", F.col("sw").alias("swb"))
     by_token = (
-        probe.join(index, "tok")
+        probe.join(index.hint("merge"), "tok")
         .filter((F.col("ka") != F.col("kb")) & (F.col("swb") >= need))
         .select(F.least("ka", "kb").alias("ka"), F.greatest("ka", "kb").alias("kb"))
     )
@@ -229,7 +232,7 @@ def candidate_key_pairs(keys: DataFrame, min_score: float) -> DataFrame:
     right = cs.select(F.col("key").alias("kb"), F.col("len").alias("lb"), "sig", F.col("pos").alias("pb"))
     overlap_bound = F.least(F.col("la") - F.col("pa"), F.col("lb") - F.col("pb")) + 1
     by_chars = (
-        left.join(right, "sig")
+        left.join(right.hint("merge"), "sig")
         .filter(F.col("ka") < F.col("kb"))
         .filter(F.least("la", "lb") >= F.lit(c) * F.greatest("la", "lb"))
         .filter(overlap_bound >= F.lit(t) * (F.col("la") + F.col("lb")) / 2)
@@ -271,7 +274,7 @@ def vendor_classes(vendors: DataFrame, id_col: str = "vendorid", name_col: str =
         F.max("id").alias("last_id"),
         F.max_by("name", "id").alias("last_name"),
     )
-    return prof.join(materialize(keys, "vendor-keys"), "key")
+    return prof.join(sized(materialize(keys, "vendor-keys")), "key")
 
 
 def resolve_members(matches: DataFrame, classes: DataFrame) -> DataFrame:
@@ -281,16 +284,15 @@ def resolve_members(matches: DataFrame, classes: DataFrame) -> DataFrame:
     the other class is a source here, against one member of that class with a
     larger id: the smallest if that is larger, else the largest. All pairs
     between two classes are never built; the rows grow with the members. Rows
-    inside a class (score 100 by construction) stay as they are.
+    inside a class (score 100 by construction) stay as they are. The matches
+    between classes are written, so that they are broadcast to the members, if
+    any side is: there is a member per vendor.
     """
     heads = classes.filter(F.col("id") == F.col("canon_id")).select(
         F.col("id").alias("head"), "last_id", "last_name"
     )
-    across = matches.join(
-        classes.filter(F.col("id") != F.col("canon_id")).select(F.col("id").alias("matched_vendorid"), F.lit(True).alias("inner")),
-        "matched_vendorid",
-        "left",
-    )
+    others = classes.filter(F.col("id") != F.col("canon_id")).select(F.col("id").alias("matched_vendorid"), F.lit(True).alias("inner"))
+    across = matches.join(sized(others), "matched_vendorid", "left")
     inside = across.filter(F.col("inner").isNotNull()).select(*matches.columns)
     pairs = across.filter(F.col("inner").isNull())
     one_way = pairs.select(
@@ -307,10 +309,9 @@ def resolve_members(matches: DataFrame, classes: DataFrame) -> DataFrame:
     )
     members = classes.select(F.col("canon_id").alias("mine"), "id", "name")
     first = F.col("head") > F.col("id")
+    ways = materialize(one_way.unionByName(other_way).join(sized(heads), "head"), "vendor-ways")
     resolved = (
-        one_way.unionByName(other_way)
-        .join(heads, "head")
-        .join(members, "mine")
+        members.join(sized(ways), "mine")
         .filter(F.col("last_id") > F.col("id"))
         .select(
             F.col("id").alias("source_vendorid"),
@@ -352,8 +353,9 @@ def _match_classes(classes: DataFrame, min_score: float) -> DataFrame:
         "vendor-canonical",
     )
     pairs = candidate_key_pairs(keys.select("key", "tokens", "chars"), min_score)
-    a = keys.select(F.col("key").alias("ka"), F.col("canon_id").alias("ida"), F.col("canon_name").alias("na"))
-    b = keys.select(F.col("key").alias("kb"), F.col("canon_id").alias("idb"), F.col("canon_name").alias("nb"))
+    named = sized(keys.select("key", "canon_id", "canon_name"))
+    a = named.select(F.col("key").alias("ka"), F.col("canon_id").alias("ida"), F.col("canon_name").alias("na"))
+    b = named.select(F.col("key").alias("kb"), F.col("canon_id").alias("idb"), F.col("canon_name").alias("nb"))
     scored = add_confidence(pairs.join(a, "ka").join(b, "kb"), "ka", "kb").filter(
         F.col("confidence") >= min_score
     )

@@ -48,6 +48,7 @@ from farelake.sinks.snapshots import (
     materialize,
     overwrite_partitions,
     register_external,
+    sized,
 )
 from farelake.sources.landing import SchemaLog
 from farelake.streaming.incremental import process_landing
@@ -217,23 +218,33 @@ def review_queue(lake: Lakehouse, as_of: str = DEFAULT_AS_OF, job_name: str = DE
 
 # -- curated tables of one processed snapshot --------------------------------------------
 
-def _names(lake: Lakehouse) -> tuple[DataFrame, DataFrame]:
-    return lake.current("dim_zones"), lake.current("dim_vendors")
+def _names(lake: Lakehouse, state: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Names of the zones, and of the vendors that have trips in the measures ``state``.
+
+    The vendor list may be far longer than what the trips name, and trips are
+    many per vendor: joined to the whole list they would be shuffled.
+    """
+    used = materialize(state.select(F.col("VendorID").alias("_used")).distinct(), "used-vendors")
+    vendors = lake.current("dim_vendors").select("vendorid", "vendor_name")
+    named = materialize(vendors.join(sized(used), F.col("vendorid") == F.col("_used"), "left_semi"), "vendor-names")
+    return sized(lake.current("dim_zones").select("locationid", "zone", "borough")), sized(named)
 
 
-def _facts(lake: Lakehouse, trips: DataFrame) -> DataFrame:
-    return curated.trip_details(trips, *_names(lake), lake.current("dim_ratecodes"))
+def _facts(lake: Lakehouse, trips: DataFrame, names: tuple[DataFrame, DataFrame]) -> DataFrame:
+    ratecodes = lake.current("dim_ratecodes").select("ratecodeid", "ratecode_desc")
+    return curated.trip_details(trips, *names, sized(ratecodes))
 
 
 def build_curated(lake: Lakehouse, as_of: str = DEFAULT_AS_OF) -> dict[str, str]:
     """Write the fact once, and the marts from one aggregate over the processed trips."""
     processed = lake.table("processed").read()
+    state = materialize(curated.trip_state(processed), "mart-state")
+    names = _names(lake, state)
     fact = lake.table("trip_details")
-    paths = {"trip_details": fact.commit(_facts(lake, processed), as_of)}
+    paths = {"trip_details": fact.commit(_facts(lake, processed, names), as_of)}
     fact.register()
-    state = materialize(curated.trip_state(processed), "mart-state")
     for name in MARTS:
-        paths[name] = lake.table(name).commit(curated.mart_of_state(state, name, *_names(lake)), as_of)
+        paths[name] = lake.table(name).commit(curated.mart_of_state(state, name, *names), as_of)
         lake.table(name).register()
     return paths
 
@@ -273,19 +284,20 @@ def update_curated(lake: Lakehouse, as_of: str = DEFAULT_AS_OF) -> dict[str, lis
         return {"batches": [], "months": []}
     new = spark.createDataFrame([(n,) for n in names], "batch string")
     trips = lake.landed.read(new, keep_batch=True)
-    # a batch is written on its own: its name is a constant, so no task sorts its facts by it
-    for name in names:
-        lake.batches("trip_details").put(_facts(lake, lake.landed.rows_of(name)), name)
     state_path = lake.path("mart_state")
     measures = curated.trip_state(trips, (*curated.STATE_KEYS, "batch"))
     # doubles are added up in the order of the file, smallest first: it must not depend on the tasks
     _by_month(measures, state_path, "batch", order=("trip_date", "VendorID", "sum_tip", "PULocationID"))
     stored = spark.read.parquet(state_path)
+    named = _names(lake, stored)
+    # a batch is written on its own: its name is a constant, so no task sorts its facts by it
+    for name in names:
+        lake.batches("trip_details").put(_facts(lake, lake.landed.rows_of(name), named), name)
     months = sorted(r["month"] for r in stored.where(F.col("batch").isin(names)).select("month").distinct().collect())
     touched = stored if renamed else stored.where(F.col("month").isin(months))
-    _by_month(curated.mart_of_state(touched, "daily_metrics", *_names(lake)), lake.path("daily_metrics"))
+    _by_month(curated.mart_of_state(touched, "daily_metrics", *named), lake.path("daily_metrics"))
     for name in ("location_performance", "vendor_performance"):
-        lake.table(name).commit(curated.mart_of_state(stored, name, *_names(lake)), as_of)
+        lake.table(name).commit(curated.mart_of_state(stored, name, *named), as_of)
         lake.table(name).register()
     lake.batches("trip_details").register()
     register_external(spark, lake.name("daily_metrics"), lake.path("daily_metrics"), partitioned=True, replace=True)

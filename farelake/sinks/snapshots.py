@@ -27,6 +27,7 @@ import uuid
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 class StaleSnapshotError(RuntimeError):
@@ -225,3 +226,20 @@ def materialize(df: DataFrame, label: str = "materialized") -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def sized(df: DataFrame) -> DataFrame:
+    """``df`` (flat columns, cheap to read) as the side of a join that is broadcast only if its rows fit.
+
+    The planner knows a written table by the bytes of its compressed files. Ids
+    in order and repeated names take a byte a row there and a hundred in memory,
+    and the driver holds a broadcast whole. Here the rows are counted as they lie
+    in memory: up to ``spark.sql.autoBroadcastJoinThreshold`` the side is
+    broadcast, beyond it both sides are shuffled.
+    """
+    bound = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    # a row is a null word, a word per column, and its texts in whole words
+    texts = [F.ceil(F.coalesce(F.octet_length(f.name), F.lit(0)) / 8) * 8 for f in df.schema if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    row = sum(texts, F.lit(8 + 8 * len(df.columns)))
+    held = df.agg(F.coalesce(F.sum(row), F.lit(0)).alias("bytes")).first()["bytes"]
+    return F.broadcast(df) if held <= bound else df.hint("merge")

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from farelake.functions import fuzzy
 from farelake.functions.fuzzy import confidence, lcs_length, ratio, token_set_ratio
 from farelake.operators import matching
+from farelake.session import scratch_path
+from farelake.sinks.snapshots import sized
 
 
 def lcs_dp(a: str, b: str) -> int:
@@ -107,6 +109,45 @@ def test_names_are_profiled_once(spark):
     assert found == [(0, "old rod", None, None), (1, "cold rod", 1, 2), (2, "cold rod", 1, 2), (2, "cold rod", 1, 2)]
 
 
+def test_exploded_keys_are_not_broadcast(spark):
+    """The signatures of a few names take many times the bytes of the names' files."""
+    rnd = random.Random(5)
+    text = lambda: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(8))
+    names = [f"{text()} {text()} {text()}" for _ in range(2000)]
+    names += [f"{n[:-1]}0" for n in names[:20]]
+    df = spark.createDataFrame(list(enumerate(names)), "vendorid bigint, vendor_name string")
+    old = spark.conf.get("spark.sql.maxBroadcastTableSize")
+    spark.conf.set("spark.sql.maxBroadcastTableSize", "5m")
+    try:
+        found = {(r[0], r[2]) for r in matching.match_vendors(df, min_score=90.0).collect()}
+    finally:
+        spark.conf.set("spark.sql.maxBroadcastTableSize", old)
+    assert found == {(i, 2000 + i) for i in range(20)}
+
+
+def test_side_of_a_join_is_sized_by_its_rows(spark):
+    """Ids in order and one name: a small file of many rows. Broadcast up to the bound, else shuffled."""
+    path = scratch_path(spark, "sized")
+    spark.range(50_000).select("id", F.lit("one name").alias("name")).write.parquet(path)
+    side, rows = spark.read.parquet(path), spark.range(50_000)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    plans = {}
+    # 32 bytes a row: a null word, two columns, eight letters
+    for bound in ("1599999", "1600000", "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", bound)
+        try:
+            plans[bound] = rows.join(sized(side), "id", "left")._jdf.queryExecution().executedPlan().toString()
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert [("BroadcastHashJoin" in p, "SortMergeJoin" in p) for p in plans.values()] == [(False, True), (True, False), (False, True)]
+    texts = spark.createDataFrame([(None, None), (1, "é"), (2, "123456789")], "id bigint, name string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(3 * 24 + 8 + 16))
+    try:
+        assert "BroadcastHashJoin" in rows.join(sized(texts), "id")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_no_cartesian_product_in_plan(spark):
     df = spark.createDataFrame([(i, f"name {i}") for i in range(20)], "vendorid bigint, vendor_name string")
     plan = matching.match_vendors(df)._jdf.queryExecution().executedPlan().toString()

@@ -57,6 +57,36 @@ def test_full_run_and_rerun(spark, small_dir):
     assert zones.filter(~F.col("is_current_flag")).count() == zones.filter("is_current_flag").count()
 
 
+def test_long_vendor_list_is_not_broadcast(spark, small_dir):
+    """Vendors whose files are far under the broadcast bound and whose rows are over it: the driver must not hold them."""
+    n = 200_000
+    name = F.when(F.col("id") == 3, "old rods").when(F.col("id") % 3 == 0, "cold rod").when(F.col("id") % 3 == 1, "cold rods").otherwise("plate")
+    listed = scratch_path(spark, "vendors")
+    spark.range(n).select(F.col("id").alias("vendorid"), name.alias("vendor_name")).write.parquet(listed)
+    raw, vendors = raw_trips(spark, small_dir), spark.read.parquet(listed)
+    lake = runs.Lakehouse(spark, scratch_path(spark, "lake"), prefix="t_long")
+    limits = {"spark.sql.autoBroadcastJoinThreshold": "1m", "spark.sql.maxBroadcastTableSize": "5m"}
+    old = {key: spark.conf.get(key) for key in limits}
+    for key, value in limits.items():
+        spark.conf.set(key, value)
+    try:
+        result = runs.run(lake, raw, zone_lookup_rows(spark, small_dir), vendors, ratecode_dictionary(spark), AS_OF)
+    finally:
+        for key, value in old.items():
+            spark.conf.set(key, value)
+    # 66,666 "cold rod" and 66,667 "cold rods" but the last face one of the other class, 0 and 1 also "old rods" (3), which faces both
+    queue = lake.queue.read()
+    assert result["pending_review"] == queue.count() == 133_336
+    assert queue.select("source_vendorid").distinct().count() == 133_333
+    confidences = {(r[0], r[1]): r[2] for r in queue.groupBy("source_vendor_name", "matched_vendor_name").agg(F.max("confidence")).collect()}
+    assert confidences[("cold rod", "cold rods")] == confidences[("cold rods", "cold rod")] == 94.0
+    fact = lake.table("trip_details").read()
+    assert fact.count() == catalog.processed(spark, small_dir).count()
+    found = {(r[0], r[1]) for r in fact.select("vendorid", "vendor_name").distinct().collect()}
+    assert found == {(1, "cold rods"), (2, "plate"), (6, "cold rod"), (7, "cold rods")}
+    assert lake.table("vendor_performance").read().agg(F.sum("total_trips")).first()[0] == fact.count()
+
+
 def test_steward_review_promotes_and_marks(spark, small_dir):
     lake = runs.Lakehouse(spark, scratch_path(spark, "lake"), prefix="t_stew")
     names = vendor_names(spark, small_dir)
