@@ -232,8 +232,8 @@ def sized(df: DataFrame) -> DataFrame:
     """``df`` (flat columns, cheap to read) as the side of a join that is broadcast only if its rows fit.
 
     The planner knows a written table by the bytes of its compressed files. Ids
-    in order and repeated names take a byte a row there and a hundred in memory,
-    and the driver holds a broadcast whole. Here the rows are counted as they lie
+    in order and repeated names take a few bytes a row there and many times that
+    in memory, and the driver holds a broadcast whole. Here the rows are counted as they lie
     in memory: up to ``spark.sql.autoBroadcastJoinThreshold`` the side is
     broadcast, beyond it both sides are shuffled.
     """
